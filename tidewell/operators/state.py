@@ -11,7 +11,6 @@ import time
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,23 +57,26 @@ def _now() -> tuple[datetime, int]:
     return datetime.fromtimestamp(ns / 1e9, tz=timezone.utc), ns
 
 
-def _read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+class _Log:
+    """A Parquet folder rows are only ever added to."""
 
-
-class IngestState:
-    """Checkpoint of every (pipeline, resource): a JSON object, the newest one valid."""
+    schema: T.StructType
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        spark.createDataFrame([], self.schema).write.mode("ignore").parquet(path)
 
     def log(self) -> DataFrame:
-        return _read_log(self.spark, self.path, STATE_SCHEMA)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def _append(self, rows: DataFrame) -> None:
+        rows.select(self.schema.names).write.mode("append").parquet(self.path)
+
+
+class IngestState(_Log):
+    """Checkpoint of every (pipeline, resource): a JSON object, the newest one valid."""
+
+    schema = STATE_SCHEMA
 
     def save(self, pipeline: str, resource: str, state: dict[str, Any]) -> None:
         at, version = _now()
@@ -116,25 +118,18 @@ class IngestState:
         state = self.load(pipeline, resource)
         return None if state is None else state.get(field)
 
-    def _append(self, rows: DataFrame) -> None:
-        rows.select(STATE_SCHEMA.names).write.mode("append").parquet(self.path)
-
 
-class RunLog:
+class RunLog(_Log):
     """Run state of every (pipeline, mode); a pipeline that never ran is stopped."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def log(self) -> DataFrame:
-        return _read_log(self.spark, self.path, RUN_SCHEMA)
+    schema = RUN_SCHEMA
 
     def set(self, pipeline: str, state: str, mode: str = "batch", metadata: dict | None = None) -> None:
         if state not in (RUNNING, PAUSED, STOPPED, COMPLETED, FAILED):
             raise ValueError(f"unknown run state {state!r}")
         at, version = _now()
         row = (pipeline, mode, state, json.dumps(metadata or {}), at, version)
-        self.spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(self.path)
+        self._append(self.spark.createDataFrame([row], RUN_SCHEMA))
 
     def get(self, pipeline: str, mode: str = "batch") -> str:
         row = current_runs(self.log().where((F.col("pipeline") == pipeline) & (F.col("mode") == mode))).first()

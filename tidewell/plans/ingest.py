@@ -10,7 +10,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from datetime import date
 from typing import Any
 
@@ -39,24 +38,17 @@ PARTITIONS = {
 BACKFILL = "backfill_"
 
 
-@dataclass(frozen=True)
 class Lake:
-    """Folders of one deployment, all below one shared root."""
+    """Folders and logs of one deployment, all below one shared root."""
 
-    spark: SparkSession
-    root: str
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.state = st.IngestState(spark, f"{root}/_state/ingest")
+        self.runs = st.RunLog(spark, f"{root}/_state/runs")
 
     def dataset(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.family}/{spec.entity}"
 
-    @property
-    def state(self) -> st.IngestState:
-        return st.IngestState(self.spark, f"{self.root}/_state/ingest")
-
-    @property
-    def runs(self) -> st.RunLog:
-        return st.RunLog(self.spark, f"{self.root}/_state/runs")
-
     def bronze(self, family: str, entity: str) -> DataFrame:
         """The newest row per key over all loads of a table."""
         spec = find_spec(family, entity)
