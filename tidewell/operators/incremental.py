@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import epoch, first_filled, is_blank
+from ..functions import epoch_key, epoch_text, first_filled, is_blank
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -48,8 +48,7 @@ def skip_completed(work: DataFrame, state: DataFrame, keys: list[str]) -> DataFr
 
 def high_water_marks(rows: DataFrame, key: str, ts: str, mark: str = "mark") -> DataFrame:
     """Highest epoch text per key, compared as a number."""
-    best = F.max(F.struct(epoch(F.col(ts)).alias("n"), F.col(ts).alias("t")))
-    return rows.groupBy(key).agg(best["t"].alias(mark))
+    return rows.groupBy(key).agg(epoch_text(F.max(epoch_key(F.col(ts)))).alias(mark))
 
 
 def newer_than(rows: DataFrame, marks: DataFrame, key: str, stamp: Column, mark: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import epoch
+from ..functions import epoch, epoch_key, epoch_text
 from ..model.specs import FAMILIES
 from ..operators.tables import create_view, table_exists
 
@@ -95,10 +95,6 @@ def ticket_analysis(tickets: DataFrame) -> DataFrame:
 # Chat -------------------------------------------------------------------------------
 
 
-def _stamped() -> Column:
-    return F.struct(epoch(F.col("message_ts")).alias("n"), F.col("message_ts").alias("t"))
-
-
 def compliance_timeline(messages: DataFrame) -> DataFrame:
     rows = messages.select(
         "channel_id", "channel_name", "message_ts", "user_id", "text", "thread_ts", "reactions",
@@ -108,12 +104,12 @@ def compliance_timeline(messages: DataFrame) -> DataFrame:
 
 
 def channel_activity(messages: DataFrame) -> DataFrame:
-    stamp = _stamped()
+    stamp = epoch_key(F.col("message_ts"))
     rolled = messages.groupBy("channel_name", "channel_id").agg(
         F.count(F.lit(1)).alias("message_count"),
         F.count_distinct("user_id").alias("unique_users"),
-        F.max(stamp)["t"].alias("latest_message_ts"),
-        F.min(stamp)["t"].alias("earliest_message_ts"),
+        epoch_text(F.max(stamp)).alias("latest_message_ts"),
+        epoch_text(F.min(stamp)).alias("earliest_message_ts"),
         F.sum("reply_count").alias("total_replies"),
         F.sum("file_count").alias("total_files"),
     )
@@ -124,7 +120,7 @@ def user_activity(messages: DataFrame) -> DataFrame:
     rolled = messages.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("message_count"),
         F.count_distinct("channel_id").alias("channels_active"),
-        F.max(_stamped())["t"].alias("latest_message_ts"),
+        epoch_text(F.max(epoch_key(F.col("message_ts")))).alias("latest_message_ts"),
     )
     return _ordered(rolled, F.col("message_count").desc(), "user_id")
 

@@ -40,14 +40,6 @@ def explode_pages(pages: DataFrame, field: str) -> DataFrame:
     return pages.select(*[c for c in pages.columns if c != field], F.inline(field))
 
 
-def parse_pages(texts: DataFrame, column: str, family: str, entity: str) -> DataFrame:
-    """Like :func:`read_pages`, for page texts that already sit in a column."""
-    field, _ = PAGES[(family, entity)]
-    page = F.from_json(F.col(column), page_schema(family, entity), {"mode": "FAILFAST"})
-    kept = [c for c in texts.columns if c != column]
-    return texts.select(*kept, page.alias("_page")).select(*kept, F.inline(f"_page.{field}"))
-
-
 def within(messages: DataFrame, oldest: str | None = None, latest: str | None = None, ts: str = "ts") -> DataFrame:
     """Messages with ``oldest <= ts <= latest``, compared as numbers."""
     stamp = epoch(F.col(ts))
