@@ -478,7 +478,7 @@ def ingest_two_loads(spark, sf_dir):
     first = pages("2024-01-01", F.col("c_acctbal"), customer, "first")
     ingest.run_family(lake, "sales", {"Account": first}, date(2024, 1, 1))
     second = f"{root}/in/second"
-    pages("2024-01-01", F.lit(0.0), customer.where("c_mktsegment = 'BUILDING'"), "second")
+    pages("2023-12-31", F.lit(0.0), customer.where("c_mktsegment = 'BUILDING'"), "second")
     pages("2024-01-02", F.col("c_acctbal") + 1, customer.where("c_mktsegment <> 'BUILDING'"), "second")
     ingest.run_family(lake, "sales", {"Account": second}, date(2024, 1, 2))
     return lake.bronze("sales", "Account").select("Id", "Name", "AnnualRevenue", "LastModifiedDate")

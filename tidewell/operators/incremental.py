@@ -63,12 +63,15 @@ def newer_than(rows: DataFrame, marks: DataFrame, key: str, stamp: Column, mark:
     return rows.withColumn("_stamp", stamp).join(bounds, key, "left").where(above).drop("_mark", "_stamp")
 
 
-def modified_since(rows: DataFrame, modified: tuple[str, ...], mark: str | None) -> DataFrame:
-    """Rows changed after ``mark``, by the first filled modification column.
+def modified_since(
+    rows: DataFrame, modified: tuple[str, ...], mark: str | None, inclusive: bool = False
+) -> DataFrame:
+    """Rows changed after ``mark`` (or at it), by the first filled modification column.
 
     Rows with none of them filled are kept: nothing shows that they are old.
     """
     if mark is None or not modified:
         return rows
     changed = first_filled(*[F.col(m) for m in modified])
-    return rows.where(changed.isNull() | (changed > mark))
+    newer = changed >= mark if inclusive else changed > mark
+    return rows.where(changed.isNull() | newer)

@@ -34,6 +34,7 @@ def land(
     sort_by: list[str] | None = None,
     codec: str = "snappy",
     measures: dict[str, Column] | None = None,
+    shuffle: bool = True,
 ) -> dict[str, Any]:
     """Replace exactly the partitions that ``rows`` touches.
 
@@ -41,16 +42,18 @@ def land(
 
     Rows are rebalanced by partition before the write: Spark splits a partition that is too
     large for one file and gathers small ones, so a day that holds most rows is written by
-    many tasks and a small day by one.
+    many tasks and a small day by one. Rows that all go to one partition need no shuffle.
     """
-    rebalanced = rows.hint("rebalance", *partitions)
-    ordered = rebalanced.sortWithinPartitions(*partitions, *(sort_by or []))
+    spread = rows.hint("rebalance", *partitions) if shuffle else rows
+    ordered = spread.sortWithinPartitions(*partitions, *(sort_by or []))
     return _measured_write(ordered, path, codec, "overwrite", partitions, measures)
 
 
-def replace(rows: DataFrame, path: str, codec: str = "snappy") -> int:
+def replace(rows: DataFrame, path: str, codec: str = "snappy", sort_by: list[str] | None = None) -> int:
     """Replace a reference dataset as a whole."""
-    return _measured_write(rows.hint("rebalance"), path, codec, "overwrite")["rows"]
+    spread = rows.hint("rebalance")
+    ordered = spread.sortWithinPartitions(*sort_by) if sort_by else spread
+    return _measured_write(ordered, path, codec, "overwrite")["rows"]
 
 
 def append_bronze(rows: DataFrame, path: str, spec: TableSpec, codec: str = "snappy") -> int:

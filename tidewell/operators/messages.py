@@ -17,8 +17,9 @@ def is_threaded(reply_count: str = "reply_count", thread_ts: str = "thread_ts")
 def thread_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
     """Replies to the threaded messages, without the parent each thread repeats.
 
-    Both frames need ``channel_id``. A semi join: the reply side is never multiplied, and
-    AQE splits the replies of one huge thread over many tasks.
+    Both frames need ``channel_id``; ``messages`` may be raw or normalised. A semi join: the
+    reply side is never multiplied, and AQE splits the replies of one huge thread over many
+    tasks.
     """
     parents = messages.where(is_threaded()).select("channel_id", "thread_ts")
     own = replies.where(epoch(F.col("ts")) != epoch(F.col("thread_ts")))

@@ -14,58 +14,108 @@ from datetime import date
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import epoch, first_filled, is_blank
+from ..functions import epoch, first_filled
 from ..model.specs import CHAT, TableSpec, find_spec
 from ..operators import state as st
 from ..operators.coerce import coerce
 from ..operators.flatten import flatten_channels, flatten_properties, flatten_users
 from ..operators.incremental import high_water_marks, latest_per_key, modified_since, newer_than
 from ..operators.landing import land, replace
-from ..operators.messages import normalize_messages, with_replies
-from ..sources.landed import load_bronze
+from ..operators.messages import normalize_messages, thread_replies
+from ..sources.landed import load_bronze, read_landed
 from ..sources.pages import read_pages
+from ..streaming.events import read_events
 
 REPORT_SCHEMA = """family string, resource string, status string, records long, path string,
     started_at double, duration_seconds double, error string"""
 PARTITIONS = {
     "sales": ["org_id", "ingest_date", "load"],
     "marketing": ["year", "month", "load"],
-    "chat": ["ingest_date", "load"],
+    "chat": ["ingest_date", "load", "kind"],
 }
+FOLDER_TYPES = {"load": T.IntegerType()}
 BACKFILL = "backfill_"
+SNAPSHOT = "/snapshot"
 
 
 class Lake:
-    """Folders and logs of one deployment, all below one shared root."""
+    """Folders and logs of one organisation's deployment, all below one shared root."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, org_id: str = "default"):
+        self.spark, self.root, self.org_id = spark, root, org_id
         self.state = st.IngestState(spark, f"{root}/_state/ingest")
         self.runs = st.RunLog(spark, f"{root}/_state/runs")
 
     def dataset(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.family}/{spec.entity}"
 
+    @property
+    def live(self) -> str:
+        """Sink of the event stream."""
+        return self.dataset(CHAT["realtime_events"])
+
+    def landed(self, spec: TableSpec) -> DataFrame:
+        """All rows of all loads, with the columns of the load folders."""
+        folders = [T.StructField(name, FOLDER_TYPES.get(name, T.StringType())) for name in PARTITIONS[spec.family]]
+        return read_landed(self.spark, self.dataset(spec), T.StructType(spec.struct().fields + folders))
+
     def bronze(self, family: str, entity: str) -> DataFrame:
-        """The newest row per key over all loads of a table."""
+        """The newest row per key over all loads of a table; of equals, the later loaded.
+
+        With a snapshot, only the loads after it are compared with it; without later loads
+        the snapshot is read as it is.
+        """
         spec = find_spec(family, entity)
-        if (family, entity) == ("chat", "messages"):
-            keys, version = ["channel_id", "message_ts"], ["processing_date"]
-        else:
-            keys, version = [spec.key], list(spec.modified)
-        return latest_per_key(load_bronze(self.spark, self.dataset(spec), spec), keys, version)
+        if spec in (CHAT["users"], CHAT["channels"]):
+            return load_bronze(self.spark, self.dataset(spec), spec)
+        if spec is CHAT["realtime_events"]:
+            return read_events(self.spark, self.live)
+        taken = self.state.load(family, entity + SNAPSHOT)
+        rows = self.landed(spec).select(*spec.names, "load")
+        if taken is not None:
+            snapshot = read_landed(self.spark, taken["path"], spec.struct())
+            if taken["through"] >= _last_load(self, family, entity):
+                return snapshot
+            through = F.lit(taken["through"])
+            rows = rows.where(F.col("load") > through).unionByName(snapshot.withColumn("load", through))
+        keys, version = _identity(spec)
+        return latest_per_key(rows, keys, [*version, "load"]).drop("load")
+
+    def take_snapshot(self, family: str, entity: str) -> str:
+        """Write :meth:`bronze` as a new folder that later reads start from."""
+        spec = find_spec(family, entity)
+        taken = self.state.load(family, entity + SNAPSHOT) or {"version": 0}
+        through, version = _last_load(self, family, entity), taken["version"] + 1
+        path = f"{self.dataset(spec)}_snapshot/version={version}"
+        replace(self.bronze(family, entity), path, sort_by=[spec.key])
+        self.state.save(family, entity + SNAPSHOT, {"version": version, "through": through, "path": path})
+        return path
+
+
+def _identity(spec: TableSpec) -> tuple[list[str], list[str]]:
+    """Key and version columns of a table."""
+    if spec is CHAT["messages"]:
+        return ["channel_id", "message_ts"], ["processing_date"]
+    return [spec.key], list(spec.modified)
+
+
+def _last_load(lake: Lake, family: str, entity: str) -> int:
+    resource = "historical" if family == "chat" else entity
+    return (lake.state.load(family, resource) or {}).get("loads", 0) - 1
 
 
 def ingest_entity(
-    lake: Lake, family: str, entity: str, source: str, load_date: date, *, org_id: str = "default", limit: int | None = None
+    lake: Lake, family: str, entity: str, source: str, load_date: date, *, limit: int | None = None
 ) -> dict[str, Any]:
     """Load one sales object or marketing resource; returns ``records`` and ``path``.
 
-    Only records modified after the last load's highest modification time are taken. A
-    resource already completed for ``load_date`` is left alone.
+    Only records modified since the last load's highest modification time are taken. Those
+    at that very time are taken again: some may have changed after the extract, and the key
+    removes the rest. A resource already completed for ``load_date`` is left alone.
     """
     spec = find_spec(family, entity)
     path = lake.dataset(spec)
@@ -77,11 +127,11 @@ def ingest_entity(
     if family == "marketing":
         records = flatten_properties(records)
     mark = last.get("last_modified")
-    rows = modified_since(coerce(records, spec), spec.modified, mark)
+    rows = modified_since(coerce(records, spec), spec.modified, mark, inclusive=True)
     load = last.get("loads", 0)
-    rows = rows.withColumns(_partition_values(family, load_date, load, org_id))
+    rows = rows.withColumns(_partition_values(lake, family, load_date, load))
     newest = F.max(first_filled(*[F.col(m) for m in spec.modified])) if spec.modified else F.lit(None)
-    done = land(rows, path, PARTITIONS[family], [spec.key], measures={"newest": newest})
+    done = land(rows, path, PARTITIONS[family], [spec.key], measures={"newest": newest}, shuffle=False)
 
     lake.state.save(
         family,
@@ -98,9 +148,10 @@ def ingest_entity(
     return {"records": done["rows"], "path": path}
 
 
-def _partition_values(family: str, load_date: date, load: int, org_id: str = "default") -> dict:
+def _partition_values(lake: Lake, family: str, load_date: date, load: int, kind: str = "") -> dict[str, Column]:
     values = {
-        "org_id": org_id,
+        "org_id": lake.org_id,
+        "kind": kind,
         "ingest_date": load_date.isoformat(),
         "year": f"{load_date.year}",
         "month": f"{load_date.month:02d}",
@@ -123,7 +174,7 @@ def backfill_chat(
     Page folders of messages and replies are named ``channel_id=<id>``.
     """
     spark, spec = lake.spark, CHAT["messages"]
-    names = None
+    names, dimensions = None, [d for d, given in (("users", users), ("channels", channels)) if given is not None]
     if users is not None:
         rows = coerce(flatten_users(read_pages(spark, users, "chat", "users")), CHAT["users"])
         replace(rows, lake.dataset(CHAT["users"]))
@@ -135,24 +186,42 @@ def backfill_chat(
     last = lake.state.load("chat", "historical") or {}
     load = last.get("loads", 0)
     marks = channel_marks(lake)
-    found = read_pages(spark, messages, "chat", "messages")
-    found = newer_than(found, marks, "channel_id", epoch(F.col("ts")), epoch(F.col("mark")))
-    if replies is not None:
-        found = with_replies(found, read_pages(spark, replies, "chat", "messages"))
-    rows = coerce(normalize_messages(found, F.lit(load_date.isoformat()), names), spec)
-    rows = rows.withColumns(_partition_values("chat", load_date, load))
     path = lake.dataset(spec)
-    done = land(rows, path, PARTITIONS["chat"], ["channel_id", "message_ts"])
+
+    def put(rows: DataFrame, kind: str) -> int:
+        rows = coerce(normalize_messages(rows, F.lit(load_date.isoformat()), names), spec)
+        rows = rows.withColumns(_partition_values(lake, "chat", load_date, load, kind))
+        return land(rows, path, PARTITIONS["chat"], ["channel_id", "message_ts"], shuffle=False)["rows"]
+
+    def landed() -> DataFrame:
+        here = (F.col("ingest_date") == load_date.isoformat()) & (F.col("load") == load) & (F.col("kind") == "message")
+        return lake.landed(spec).where(here)
+
+    # Threads are looked up in what has just landed, so the message pages are parsed once.
+    found = read_pages(spark, messages, "chat", "messages")
+    count = put(newer_than(found, marks, "channel_id", epoch(F.col("ts")), epoch(F.col("mark"))), "message")
+    threads = 0
+    if replies is not None and count:
+        threads = put(thread_replies(landed(), read_pages(spark, replies, "chat", "messages")), "reply")
 
     # The load number moves on before the marks: dying in between repeats rows in the next
     # load, which the key removes, instead of losing them.
     lake.state.save(
-        "chat", "historical",
-        {"completed": True, "load_date": load_date.isoformat(), "records": done["rows"], "path": path, "loads": load + 1},
+        "chat",
+        "historical",
+        {
+            "completed": True,
+            "load_date": load_date.isoformat(),
+            "records": count,
+            "replies": threads,
+            "dimensions": sorted({*dimensions, *last.get("dimensions", [])}),
+            "path": path,
+            "loads": load + 1,
+        },
     )
-    if done["rows"]:
-        _save_marks(lake, path, load_date, load, marks)
-    return {"records": done["rows"], "path": path}
+    if count:
+        _save_marks(lake, landed(), marks)
+    return {"records": count + threads, "path": path}
 
 
 def channel_marks(lake: Lake) -> DataFrame:
@@ -164,13 +233,9 @@ def channel_marks(lake: Lake) -> DataFrame:
     )
 
 
-def _save_marks(lake: Lake, path: str, load_date: date, load: int, marks: DataFrame) -> None:
-    landed = lake.spark.read.parquet(path).where(
-        (F.col("ingest_date") == load_date.isoformat()) & (F.col("load") == load)
-    )
-    # Replies may be newer than messages not yet exported; they do not move the mark.
-    own = landed.where(is_blank(F.col("thread_ts")) | (F.col("thread_ts") == F.col("message_ts")))
-    stamps = own.select("channel_id", F.col("message_ts").alias("ts"))
+def _save_marks(lake: Lake, messages: DataFrame, marks: DataFrame) -> None:
+    # Of messages only: replies may be newer than messages not yet exported.
+    stamps = messages.select("channel_id", F.col("message_ts").alias("ts"))
     merged = high_water_marks(stamps.unionByName(marks.withColumnRenamed("mark", "ts")), "channel_id", "ts")
     lake.state.save_all(
         merged.select(
