@@ -23,8 +23,8 @@ def epoch_key(text: Column) -> Column:
     """One number that orders like :func:`epoch` and still tells the text it came from.
 
     Nine fraction digits, then the number of them the text had. Aggregates over it run as
-    hash aggregates; over the text or a struct they would sort. Text that is no time, or is
-    before 1970, gives null.
+    hash aggregates; over the text or a struct they would sort. Text that does not start
+    with a digit, or is no number, gives null.
     """
     dot = F.instr(text, ".")
     dotted = F.when(dot > 0, text).otherwise(F.concat(text, F.lit(".")))
@@ -32,7 +32,8 @@ def epoch_key(text: Column) -> Column:
     point = F.instr(dotted, ".")
     digits = F.length(dotted) - point
     padded = F.concat(F.rpad(dotted, point + places, "0"), F.lit("0"), digits.cast("string"))
-    return F.when((digits <= places) & ~text.startswith("-"), padded.try_cast(_KEY_TYPE))
+    starts_with_digit = (text >= "0") & (text < ":")
+    return F.when((digits <= places) & starts_with_digit, padded.try_cast(_KEY_TYPE))
 
 
 def epoch_text(key: Column) -> Column:

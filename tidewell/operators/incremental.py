@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_key, epoch_text, first_filled, is_blank
+from .joins import join_on
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -43,7 +44,7 @@ def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> Data
 def skip_completed(work: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key has no completed state row."""
     done = state.where(F.col("completed")).select(*keys)
-    return work.join(done, keys, "left_anti")
+    return join_on(work, done, keys, "left_anti").select(work.columns)
 
 
 def high_water_marks(rows: DataFrame, key: str, ts: str, mark: str = "mark") -> DataFrame:
@@ -55,12 +56,11 @@ def newer_than(rows: DataFrame, marks: DataFrame, key: str, stamp: Column, mark:
     """Rows above their key's mark, and all rows of keys without one.
 
     ``stamp`` is an expression over ``rows``, ``mark`` one over ``marks``. The comparison is
-    strict: the row the mark was taken from is already loaded. The marks are joined as any
-    other table; Spark broadcasts them only while they are small.
+    strict: the row the mark was taken from is already loaded.
     """
     bounds = marks.select(F.col(key), mark.alias("_mark"))
     above = F.col("_mark").isNull() | (F.col("_stamp") > F.col("_mark"))
-    return rows.withColumn("_stamp", stamp).join(bounds, key, "left").where(above).drop("_mark", "_stamp")
+    return join_on(rows.withColumn("_stamp", stamp), bounds, [key], "left").where(above).select(rows.columns)
 
 
 def modified_since(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -42,10 +43,11 @@ def infer_schema(texts: DataFrame, column: str = "value") -> T.StructType:
     driver.
     """
     found = texts.select(F.schema_of_variant_agg(F.parse_json(F.col(column))).alias("s")).first()["s"]
-    parsed = T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<")) if found.startswith("OBJECT<") else None
-    if not isinstance(parsed, T.StructType):
+    if not found.startswith("OBJECT<"):
         raise ValueError(f"expected JSON objects, found {found}")
-    return _settle(parsed)
+    # Quoted field names are left as they are.
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: m[0] if m[0][0] == "`" else "STRUCT<", found)
+    return _settle(T.DataType.fromDDL(ddl))
 
 
 def parse_records(texts: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import epoch, is_blank, json_text, list_size, or_blank
 from ..model.payloads import MESSAGE
 from .incremental import latest_per_key
+from .joins import join_on
 
 
 def is_threaded(reply_count: str = "reply_count", thread_ts: str = "thread_ts") -> Column:
@@ -23,7 +24,7 @@ def thread_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
     """
     parents = messages.where(is_threaded()).select("channel_id", "thread_ts")
     own = replies.where(epoch(F.col("ts")) != epoch(F.col("thread_ts")))
-    return own.join(parents, ["channel_id", "thread_ts"], "left_semi")
+    return join_on(own, parents, ["channel_id", "thread_ts"], "left_semi").select(replies.columns)
 
 
 def with_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
@@ -31,6 +32,11 @@ def with_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
     return messages.unionByName(thread_replies(messages, replies), allowMissingColumns=True)
 
 
+def _with_names(rows: DataFrame, channels: DataFrame) -> DataFrame:
+    names = channels.select(F.col("id").alias("channel_id"), F.col("name").alias("channel_name"))
+    return join_on(rows, names, ["channel_id"], "left")
+
+
 def normalize_messages(messages: DataFrame, load_date: Column, channels: DataFrame | None = None) -> DataFrame:
     """The columns of the messages table, defaults filled in.
 
@@ -38,8 +44,7 @@ def normalize_messages(messages: DataFrame, load_date: Column, channels: DataFra
     (``id``, ``name``) or from a ``channel_name`` column.
     """
     if channels is not None:
-        names = channels.select(F.col("id").alias("channel_id"), F.col("name").alias("channel_name"))
-        messages = messages.join(names, "channel_id", "left")
+        messages = _with_names(messages, channels)
     have = set(messages.columns)
 
     def field(name: str) -> Column:
@@ -47,7 +52,7 @@ def normalize_messages(messages: DataFrame, load_date: Column, channels: DataFra
 
     return messages.select(
         "channel_id",
-        F.col("channel_name") if "channel_name" in have else F.lit("").alias("channel_name"),
+        (or_blank(F.col("channel_name")) if "channel_name" in have else F.lit("")).alias("channel_name"),
         or_blank(field("ts")).alias("message_ts"),
         or_blank(field("user")).alias("user_id"),
         or_blank(field("text")).alias("text"),
@@ -67,12 +72,11 @@ def live_messages(events: DataFrame, channels: DataFrame | None = None) -> DataF
     """Message events of the live feed in the shape of the messages table."""
     rows = events.where(F.col("event_type") == "message")
     if channels is not None:
-        names = channels.select(F.col("id").alias("channel_id"), F.col("name").alias("channel_name"))
-        rows = rows.join(names, "channel_id", "left")
+        rows = _with_names(rows, channels)
     else:
         rows = rows.withColumn("channel_name", F.lit(""))
     return rows.select(
-        "channel_id", "channel_name", "message_ts", "user_id", "text", "thread_ts",
+        "channel_id", or_blank(F.col("channel_name")).alias("channel_name"), "message_ts", "user_id", "text", "thread_ts",
         F.lit(0).alias("reply_count"),
         F.lit("[]").alias("reactions"),
         F.lit(0).alias("has_files"),

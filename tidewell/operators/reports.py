@@ -89,7 +89,8 @@ def describe_dataset(rows: DataFrame, name: str, files: bool = True) -> DataFram
 def channel_counts(messages: DataFrame, channels: DataFrame) -> DataFrame:
     """Messages per channel; a channel without messages counts 0."""
     counts = messages.groupBy("channel_id").agg(F.count(F.lit(1)).alias("message_count"))
-    return channels.select(F.col("id").alias("channel_id"), "name").join(counts, "channel_id", "left").select(
+    named = channels.select(F.col("id").alias("channel_id"), "name")
+    return named.join(counts, "channel_id", "left").select(
         "channel_id", "name", F.coalesce("message_count", F.lit(0).cast("long")).alias("message_count")
     )
 

@@ -174,16 +174,18 @@ def backfill_chat(
     Page folders of messages and replies are named ``channel_id=<id>``.
     """
     spark, spec = lake.spark, CHAT["messages"]
-    names, dimensions = None, [d for d, given in (("users", users), ("channels", channels)) if given is not None]
+    last = lake.state.load("chat", "historical") or {}
+    dimensions = set(last.get("dimensions", []))
     if users is not None:
         rows = coerce(flatten_users(read_pages(spark, users, "chat", "users")), CHAT["users"])
         replace(rows, lake.dataset(CHAT["users"]))
+        dimensions.add("users")
     if channels is not None:
         rows = coerce(flatten_channels(read_pages(spark, channels, "chat", "channels")), CHAT["channels"])
         replace(rows, lake.dataset(CHAT["channels"]))
-        names = load_bronze(spark, lake.dataset(CHAT["channels"]), CHAT["channels"])
+        dimensions.add("channels")
+    names = lake.bronze("chat", "channels") if "channels" in dimensions else None
 
-    last = lake.state.load("chat", "historical") or {}
     load = last.get("loads", 0)
     marks = channel_marks(lake)
     path = lake.dataset(spec)
@@ -214,7 +216,7 @@ def backfill_chat(
             "load_date": load_date.isoformat(),
             "records": count,
             "replies": threads,
-            "dimensions": sorted({*dimensions, *last.get("dimensions", [])}),
+            "dimensions": sorted(dimensions),
             "path": path,
             "loads": load + 1,
         },

@@ -32,14 +32,14 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidewell-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="tidewell-")
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
