@@ -83,6 +83,7 @@ def test_file_listing_and_storage_stats(spark, tmp_path):
 
 def test_tables_views_and_catalog(spark, tmp_path):
     spec = SALES["Opportunity"]
+    tables.drop_table(spark, spec.table)  # other tests define it elsewhere
     ddl = tables.create_family(spark, "sales", str(tmp_path))
     assert len(ddl) == 12 and "IF NOT EXISTS" in ddl[0]
     tables.create_family(spark, "sales", str(tmp_path))

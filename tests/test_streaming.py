@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_raw import ENVELOPES, envelope
-from tidewell.operators.events import classify_events
+from tidewell.operators.events import classify_events, malformed_events
 from tidewell.operators.messages import live_messages, unify_messages
 from tidewell.plans import marts
+from tidewell.plans.ingest import Lake
+from tidewell.plans.live import LiveFeed
+from tidewell.plans.publish import publish
 from tidewell.sources import read_envelopes
 from tidewell.streaming import (
     counter_totals, events, read_counters, read_events, read_marks, start_event_counters, start_event_stream,
@@ -84,8 +87,8 @@ def test_crash_between_write_and_commit_repeats_nothing(spark, write_lines, plac
     write_lines("in", ENVELOPES, "a.json")
     real, calls = events._overwrite, []
 
-    def die_after_the_events(rows_, folder):
-        real(rows_, folder)
+    def die_after_the_events(rows_, folder, *by):
+        real(rows_, folder, *by)
         calls.append(folder)
         raise RuntimeError("lost")
 
@@ -109,6 +112,50 @@ def test_counters_survive_a_restart(spark, write_lines, place):
     assert rows(counter_totals(counted)) == [(12, 4)]
 
 
+def test_malformed_lines_are_counted_and_can_be_read(spark, write_lines, place):
+    folder = write_lines("in", ENVELOPES[1:3], "a.json")
+    with open(f"{folder}/b.json", "w") as out:
+        out.write('{"type": "events_api", "payload"\n5\n"text"\n')
+    drain(spark, place)
+    assert read_events(spark, place["out"]).count() == 2
+    assert dict(rows(count(spark, place))) == {"message": 2, "malformed": 3}
+    broken = malformed_events(read_envelopes(spark, folder))
+    assert '{"type": "events_api", "payload"' in {r["line"] for r in broken.collect()}
+
+
+def test_a_field_of_another_shape_does_not_break_an_event(spark, write_lines, place):
+    odd = envelope("message", "odd", 1, channel={"id": "C9"}, ts=5, item="none", text="still here")
+    write_lines("in", [odd], "a.json")
+    drain(spark, place)
+    assert rows(read_events(spark, place["out"]).select("text", "message_ts")) == [("still here", "5")]
+
+
+def test_feed_of_a_lake(spark, write_lines, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    feed = LiveFeed(lake, write_lines("in", ENVELOPES, "a.json"), interval="1 second")
+    assert feed.status()["state"] == "stopped"
+    feed.start()
+    feed.start()
+    for query in feed.queries:
+        query.processAllAvailable()
+    got = feed.status()
+    assert (got["state"], got["running"], got["total_events"], got["total_messages"], got["total_flushes"]) == (
+        "running", True, 6, 2, 1,
+    )
+    assert got["uptime_seconds"] > 0
+    feed.pause()
+    assert feed.status()["state"] == "paused" and not feed.status()["running"]
+    write_lines("in", [envelope("message", "z", channel="C1", ts="9")], "b.json")
+    feed.resume()
+    feed.drain()
+    feed.stop()
+    assert feed.status()["state"] == "stopped" and feed.status()["total_events"] == 7
+    assert lake.runs.get("chat") == "stopped"
+    assert rows(feed.marks()) == [("C1", "9")]
+    assert "v_chat_realtime_feed" in publish(lake, "chat", live=True)
+    assert spark.table("v_chat_realtime_feed").count() == 5
+
+
 def test_stop_and_resume_on_an_interval(spark, write_lines, place):
     write_lines("in", ENVELOPES, "a.json")
     for name in ("a", "b"):

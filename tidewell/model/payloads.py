@@ -47,6 +47,8 @@ ENVELOPE = _struct(
             channel_type=_S, reaction=_S, event_ts=_S, item=_struct(type=_S, channel=_S, ts=_S),
         ),
     ),
+    # Spark puts the text of a line here that does not fit.
+    _corrupt_record=_S,
 )
 
 _NESTED = {"stages": STAGES, "teams": TEAMS}

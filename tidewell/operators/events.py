@@ -18,7 +18,15 @@ def drop_handshake(envelopes: DataFrame) -> DataFrame:
 
 
 def event_kind() -> Column:
-    return F.coalesce(F.col("payload.event.type"), F.lit("unknown"))
+    """Event type to count by; a line that is no event at all counts as malformed."""
+    kind = F.col("payload.event.type")
+    broken = kind.isNull() & F.col("_corrupt_record").isNotNull()
+    return F.when(broken, "malformed").otherwise(F.coalesce(kind, F.lit("unknown")))
+
+
+def malformed_events(envelopes: DataFrame) -> DataFrame:
+    """The lines that are no events, to be looked into; the live feed goes on without them."""
+    return envelopes.where(event_kind() == "malformed").select(F.col("_corrupt_record").alias("line"))
 
 
 def classify_events(envelopes: DataFrame, load_date: Column) -> DataFrame:

@@ -55,8 +55,9 @@ def start_event_stream(
     no interval the query drains what is there and ends. Stopping the query and starting it
     again on the same ``checkpoint`` is pause and resume.
 
-    Batch ``n`` is written as the folder ``events/batch_id=n``, replacing what an earlier
-    attempt at it left, and then the channel marks of the batch as ``marks/batch_id=n``.
+    Batch ``n`` is written as the folder ``events/batch_id=n``, by day, replacing what an
+    earlier attempt at it left, and then the channel marks of the batch as
+    ``marks/batch_id=n``.
     """
     day = load_date if load_date is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
     envelopes = stream_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes)
@@ -65,7 +66,7 @@ def start_event_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{sink}/events/batch_id={batch_id}"
         rows = batch.hint("rebalance").sortWithinPartitions("channel_id")
-        _overwrite(rows, folder)
+        _overwrite(rows, folder, "processing_date")
         landed = batch.sparkSession.read.schema(EVENTS.struct()).parquet(folder)
         messages = landed.where((F.col("event_type") == MESSAGE_EVENT) & (F.col("channel_id") != ""))
         marks = high_water_marks(messages, "channel_id", "message_ts")
@@ -108,8 +109,8 @@ def start_event_counters(
     )
 
 
-def _overwrite(rows: DataFrame, folder: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+def _overwrite(rows: DataFrame, folder: str, *by: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(folder)
 
 
 def read_events(spark: SparkSession, sink: str) -> DataFrame:
@@ -138,3 +139,8 @@ def counter_totals(counters: DataFrame) -> DataFrame:
         F.coalesce(messages, F.lit(0)).alias("total_messages"),
     )
 
+
+def count_flushes(spark: SparkSession, sink: str) -> int:
+    """Number of batches that landed events."""
+    batches = spark.read.schema(EVENTS.struct().add("batch_id", "long")).parquet(f"{sink}/events")
+    return batches.agg(F.count_distinct("batch_id")).first()[0]
