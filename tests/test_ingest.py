@@ -78,6 +78,10 @@ def test_one_failure_leaves_the_others(lake, write_lines, tmp_path):
     got = {r["resource"]: r for r in report.collect()}
     assert got["deals"]["status"] == "completed" and got["tickets"]["status"] == "failed"
     assert "PATH_NOT_FOUND" in got["tickets"]["error"] and lake.runs.get("marketing") == "failed"
+    ingest.run_family(lake, "marketing", {"deals": good}, D2)
+    state, newest, summary = ingest.status(lake, "marketing")
+    assert state == "completed" and newest.count() == 2
+    assert summary.first()["failed"] == 1 and summary.first()["total_records"] == 1
     assert (tmp_path / "lake/marketing/deals/year=2024/month=01/load=0").is_dir()
     assert rows(lake.bronze("marketing", "deals").select("id", "dealname", "_updated_at")) == [("1", "d", "2024")]
 

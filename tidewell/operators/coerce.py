@@ -30,21 +30,30 @@ def _text(value: Column, source: T.DataType) -> Column:
     return value.cast("string")
 
 
+def _parse(text: Column, target: T.DataType) -> Column:
+    parsed = text.try_cast(target)
+    if isinstance(target, T.DoubleType):
+        parsed = F.when(~text.rlike(_JAVA_ONLY_DOUBLE), parsed)
+    return parsed
+
+
+def _is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
 def _number(value: Column, source: T.DataType, target: T.DataType) -> Column:
-    zero = F.lit(0).cast(target)
+    known = value.isNotNull()
     if isinstance(source, T.VariantType):
-        known = value.isNotNull() & ~F.is_variant_null(value)
-        parsed = F.try_variant_get(value, "$", target.simpleString())
-        if isinstance(target, T.DoubleType):
-            text = F.try_variant_get(value, "$", "string")
-            parsed = F.when(~text.rlike(_JAVA_ONLY_DOUBLE), parsed)
+        known = known & ~F.is_variant_null(value)
+        text = _parse(F.try_variant_get(value, "$", "string"), target)
+        parsed = F.when(_is_text(value), text).otherwise(F.try_variant_get(value, "$", target.simpleString()))
+    elif isinstance(source, T.StringType):
+        parsed = _parse(value, target)
     elif isinstance(source, _NESTED):
-        known, parsed = value.isNotNull(), F.lit(None).cast(target)
+        parsed = F.lit(None).cast(target)
     else:
-        known, parsed = value.isNotNull(), value.try_cast(target)
-        if isinstance(target, T.DoubleType) and isinstance(source, T.StringType):
-            parsed = F.when(~value.rlike(_JAVA_ONLY_DOUBLE), parsed)
-    return F.when(known, F.coalesce(parsed, zero))
+        parsed = value.try_cast(target)
+    return F.when(known, F.coalesce(parsed, F.lit(0).cast(target)))
 
 
 def _flag(value: Column, source: T.DataType) -> Column:
@@ -55,9 +64,8 @@ def _flag(value: Column, source: T.DataType) -> Column:
     if isinstance(source, T.StringType):
         return value.isin(*TRUE_TEXTS).cast("int")
     if isinstance(source, T.VariantType):
-        kind = F.schema_of_variant(value)
         as_text = F.try_variant_get(value, "$", "string")
-        is_set = F.when(kind == "STRING", as_text.isin(*TRUE_TEXTS)).otherwise(
+        is_set = F.when(_is_text(value), as_text.isin(*TRUE_TEXTS)).otherwise(
             F.try_variant_get(value, "$", "double") == 1
         )
         known = value.isNotNull() & ~F.is_variant_null(value)

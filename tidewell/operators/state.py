@@ -38,6 +38,18 @@ RUN_SCHEMA = T.StructType(
         T.StructField("version", T.LongType()),
     ]
 )
+REPORT_SCHEMA = T.StructType(
+    [
+        T.StructField("pipeline", T.StringType()),
+        T.StructField("resource", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("started_at", T.DoubleType()),
+        T.StructField("duration_seconds", T.DoubleType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
 
 # The run states.
 RUNNING, PAUSED, STOPPED, COMPLETED, FAILED = "running", "paused", "stopped", "completed", "failed"
@@ -151,3 +163,15 @@ class RunLog(_Log):
 
     def all(self) -> DataFrame:
         return current_runs(self.log())
+
+
+class Reports(_Log):
+    """What every load did, one row each; the newest per resource tells where things stand."""
+
+    schema = REPORT_SCHEMA
+
+    def add(self, rows: DataFrame) -> None:
+        self._append(rows)
+
+    def newest(self, pipeline: str) -> DataFrame:
+        return latest_per_key(self.log().where(F.col("pipeline") == pipeline), ["resource"], ["started_at"])

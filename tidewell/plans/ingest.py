@@ -26,12 +26,11 @@ from ..operators.flatten import flatten_channels, flatten_properties, flatten_us
 from ..operators.incremental import high_water_marks, latest_per_key, modified_since, newer_than
 from ..operators.landing import land, replace
 from ..operators.messages import normalize_messages, thread_replies
+from ..operators.reports import run_summary
 from ..sources.landed import load_bronze, read_landed
 from ..sources.pages import read_pages
 from ..streaming.events import read_events
 
-REPORT_SCHEMA = """family string, resource string, status string, records long, path string,
-    started_at double, duration_seconds double, error string"""
 PARTITIONS = {
     "sales": ["org_id", "ingest_date", "load"],
     "marketing": ["year", "month", "load"],
@@ -49,6 +48,7 @@ class Lake:
         self.spark, self.root, self.org_id = spark, root, org_id
         self.state = st.IngestState(spark, f"{root}/_state/ingest")
         self.runs = st.RunLog(spark, f"{root}/_state/runs")
+        self.reports = st.Reports(spark, f"{root}/_state/reports")
 
     def dataset(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.family}/{spec.entity}"
@@ -274,7 +274,15 @@ def run_all(
         rows = list(pool.map(inheritable_thread_target(lake.spark)(run), loads))
     ended = {row[2] for row in rows}
     lake.runs.set(family, next((s for s in (st.FAILED, st.PAUSED) if s in ended), st.COMPLETED))
-    return lake.spark.createDataFrame(rows, REPORT_SCHEMA)
+    report = lake.spark.createDataFrame(rows, st.REPORT_SCHEMA)
+    lake.reports.add(report)
+    return report
+
+
+def status(lake: Lake, family: str) -> tuple[str, DataFrame, DataFrame]:
+    """Run state of a family, the newest report row of each resource, and their summary."""
+    newest = lake.reports.newest(family)
+    return lake.runs.get(family), newest, run_summary(newest)
 
 
 def run_family(
