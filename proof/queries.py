@@ -18,12 +18,12 @@ from tidewell.operators.coerce import coerce
 from tidewell.operators.events import classify_events
 from tidewell.operators.flatten import expand_list, flatten_channels, flatten_properties, flatten_users
 from tidewell.operators.infer import infer_schema, parse_records, widen_union
-from tidewell.operators.landing import land, write_parquet
+from tidewell.operators.landing import append_bronze, land, replace, write_parquet
 from tidewell.operators.state import current_state
 from tidewell.plans import ingest, marts
 from tidewell.session import scratch
-from tidewell.sources.landed import read_landed
-from tidewell.sources.pages import read_pages
+from tidewell.sources.landed import load_bronze, read_landed
+from tidewell.sources.pages import read_pages, within
 from tidewell.streaming import events as live
 
 from . import adapters as a
@@ -117,6 +117,19 @@ def compliance_timeline(spark, sf_dir):
     return marts.compliance_timeline(rows)
 
 
+@proof
+def message_normalization(spark, sf_dir):
+    attached = F.struct(F.concat("user", F.lit("-file")).alias("id"), F.length("text").cast("long").alias("size"))
+    raw = a.raw_conversations(spark, sf_dir).withColumns(
+        {
+            "files": F.when(F.col("user") == "assistant", F.array(attached, attached)).when(F.col("user") == "user", F.array()),
+            "subtype": F.when(F.col("user") == "system", "notice"),
+            "reply_count": F.when(F.col("user") == "user", 3),
+        }
+    )
+    return msg.normalize_messages(raw, F.lit(a.LOAD_DATE))
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = a.envelopes_json(spark, sf_dir)
     return classify_events(parse_records(texts, ENVELOPE), F.lit(a.LOAD_DATE))
@@ -327,6 +340,11 @@ def resume_from_hwm(spark, sf_dir):
     return newer.select("event_id", "channel_id", "message_ts")
 
 
+@proof
+def message_range(spark, sf_dir):
+    return within(_stamped_events(spark, sf_dir), "999.5", "1000000.25", "message_ts").select("event_id", "message_ts")
+
+
 @proof
 def high_water_marks(spark, sf_dir):
     return inc.high_water_marks(_stamped_events(spark, sf_dir), "channel_id", "message_ts")
@@ -424,6 +442,97 @@ def page_explode(spark, sf_dir):
     return coerce(records, SALES["Asset"]).select("Id", "AccountId", "Product2Id", "Status", "Quantity", "Price")
 
 
+@proof
+def bronze_append(spark, sf_dir):
+    spec, folder = SALES["Asset"], scratch(spark, "append")
+    assets = _line_assets(spark, sf_dir)
+    append_bronze(assets.where("Status = 'R'"), folder, spec)
+    append_bronze(assets.where("Status <> 'R'"), folder, spec)
+    return load_bronze(spark, folder, spec).select("Id", "AccountId", "Product2Id", "Status", "Quantity", "Price", "Name")
+
+
+@proof
+def users_page_landing(spark, sf_dir):
+    """Customers as user pages, landed as the users dimension."""
+    folder, spec = scratch(spark, "users"), CHAT["users"]
+    members = a.load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_name").alias("name"),
+        F.struct(F.concat("c_name", F.lit("@example.com")).alias("email"), F.col("c_mktsegment").alias("title")).alias("profile"),
+        (F.col("c_acctbal") > 5000).alias("is_admin"),
+        F.when(F.col("c_nationkey") > 10, "True").otherwise("no").alias("is_bot"),
+    )
+    a.write_pages(members, "members", f"{folder}/in")
+    replace(coerce(flatten_users(read_pages(spark, f"{folder}/in", "chat", "users")), spec), f"{folder}/out")
+    return load_bronze(spark, f"{folder}/out", spec)
+
+
+@proof
+def channels_page_landing(spark, sf_dir):
+    """Suppliers as channel pages, landed as the channels dimension."""
+    folder, spec = scratch(spark, "channels"), CHAT["channels"]
+    channels = a.load(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.col("s_name").alias("name"),
+        (F.col("s_acctbal") < 0).alias("is_private"),
+        (F.col("s_suppkey") + 1700000000).alias("created"),
+        F.struct(F.col("s_name").alias("value"), F.lit("U1").alias("creator")).alias("purpose"),
+        F.col("s_acctbal").alias("num_members"),
+    )
+    a.write_pages(channels, "channels", f"{folder}/in")
+    replace(coerce(flatten_channels(read_pages(spark, f"{folder}/in", "chat", "channels")), spec), f"{folder}/out")
+    return load_bronze(spark, f"{folder}/out", spec)
+
+
+@proof
+def marketing_load(spark, sf_dir):
+    """Customers as contact pages and nations as owner pages, loaded and read as bronze."""
+    root = scratch(spark, "marketing")
+    lake = ingest.Lake(spark, root)
+    properties = F.struct(F.col("c_name").alias("firstname"), F.col("c_mktsegment").alias("lifecyclestage"))
+    contact = a.load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), properties.alias("properties"), F.lit("2024-01-01").alias("createdAt")
+    )
+    a.write_pages(contact, "results", f"{root}/in/contacts")
+    owner = a.load(spark, sf_dir, "nation").select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"),
+        F.lower("n_name").alias("firstName"),
+        F.col("n_nationkey").alias("userId"),
+        F.array(F.struct(F.col("n_regionkey").cast("string").alias("id"), F.col("n_name").alias("name"))).alias("teams"),
+    )
+    a.write_pages(owner, "results", f"{root}/in/owners")
+    sources = {name: f"{root}/in/{name}" for name in ("contacts", "owners")}
+    ingest.run_family(lake, "marketing", sources, date(2024, 1, 31))
+    contacts = lake.bronze("marketing", "contacts").select(
+        "id", F.col("firstname").alias("first"), F.col("lifecyclestage").alias("detail"), "_created_at", "_updated_at"
+    )
+    owners = lake.bronze("marketing", "owners").select(
+        "id", F.col("firstName").alias("first"), F.concat_ws("/", F.col("userId").cast("string"), "teams").alias("detail"),
+        "_created_at", "_updated_at",
+    )
+    return contacts.unionByName(owners)
+
+
+@proof
+def bronze_snapshot(spark, sf_dir):
+    """Three loads of orders with a snapshot after the second, read through it."""
+    root = scratch(spark, "snapshot")
+    lake = ingest.Lake(spark, root)
+    orders = a.load(spark, sf_dir, "orders")
+    for day, state in enumerate(("O", "P", "F"), 1):
+        deal = orders.select(
+            F.col("o_orderkey").cast("string").alias("Id"),
+            F.when(F.col("o_orderstatus") == state, f"changed {day}").otherwise("as before").alias("Name"),
+            F.col("o_totalprice").alias("Amount"),
+            F.when(F.col("o_orderstatus") == state, f"2024-01-0{day + 1}").otherwise("2024-01-01").alias("CreatedDate"),
+        )
+        a.write_pages(deal, "records", f"{root}/in/{day}")
+        ingest.ingest_entity(lake, "sales", "Opportunity", f"{root}/in/{day}", date(2024, 2, day))
+        if day == 2:
+            lake.take_snapshot("sales", "Opportunity")
+    return lake.bronze("sales", "Opportunity").select("Id", "Name", "Amount", "CreatedDate")
+
+
 @proof
 def landing_roundtrip(spark, sf_dir):
     folder = scratch(spark, "landing")

@@ -62,6 +62,26 @@ _VERSIONS = """
            CASE o_orderstatus WHEN 'F' THEN o_orderdate + INTERVAL 5 DAY WHEN 'O' THEN o_orderdate - INTERVAL 5 DAY END
     FROM orders"""
 
+# Catalog types as Spark names them.
+_TYPE = """CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+               WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(column_type) END"""
+
+
+def _described(table: str) -> str:
+    return f"""
+        SELECT '{table}' AS dataset, (SELECT COUNT(*) FROM {table}) AS num_rows,
+               CAST(COUNT(*) OVER () AS INTEGER) AS num_columns, CAST(1 AS BIGINT) AS num_files,
+               CAST(ROW_NUMBER() OVER () AS INTEGER) AS position, column_name AS "column", {_TYPE} AS type,
+               TRUE AS nullable
+        FROM (DESCRIBE SELECT * FROM {table})"""
+
+
+_LINES = """
+    SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS "Id", l_suppkey::VARCHAR AS "AccountId",
+           l_partkey::VARCHAR AS "Product2Id", l_returnflag AS "Status",
+           CAST(trunc(l_quantity) AS INTEGER) AS "Quantity", l_extendedprice AS "Price"
+    FROM lineitem"""
+
 ORACLE = {
     "opportunity_stage_rollup": _STAGES,
     "bronze_table_views": _STAGES,
@@ -231,11 +251,47 @@ ORACLE = {
                    value < 5 AS cleared,
                    ROW_NUMBER() OVER (PARTITION BY event_type, user_id ORDER BY event_id DESC) AS rn
             FROM events) WHERE rn = 1 AND NOT cleared""",
-    "page_explode": """
-        SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS "Id", l_suppkey::VARCHAR AS "AccountId",
-               l_partkey::VARCHAR AS "Product2Id", l_returnflag AS "Status",
-               CAST(trunc(l_quantity) AS INTEGER) AS "Quantity", l_extendedprice AS "Price"
-        FROM lineitem""",
+    "page_explode": _LINES,
+    "bronze_append": f'SELECT *, CAST(NULL AS VARCHAR) AS "Name" FROM ({_LINES})',
+    "users_page_landing": """
+        SELECT c_custkey::VARCHAR AS id, c_name AS name, '' AS real_name, c_name || '@example.com' AS email,
+               c_mktsegment AS title, CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS is_admin,
+               CASE WHEN c_nationkey > 10 THEN 1 ELSE 0 END AS is_bot, '' AS tz
+        FROM customer""",
+    "channels_page_landing": """
+        SELECT s_suppkey::VARCHAR AS id, s_name AS name, CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END AS is_private,
+               s_suppkey + 1700000000 AS created, '' AS creator, CAST(trunc(s_acctbal) AS INTEGER) AS num_members,
+               '' AS topic, s_name AS purpose
+        FROM supplier""",
+    "marketing_load": """
+        SELECT c_custkey::VARCHAR AS id, c_name AS first, c_mktsegment AS detail, '2024-01-01' AS _created_at,
+               '' AS _updated_at
+        FROM customer
+        UNION ALL
+        SELECT 'n' || n_nationkey::VARCHAR, lower(n_name),
+               n_nationkey::VARCHAR || '/[{"id":"' || n_regionkey::VARCHAR || '","name":"' || n_name || '"}]', '', ''
+        FROM nation""",
+    "bronze_snapshot": """
+        SELECT o_orderkey::VARCHAR AS "Id",
+               CASE o_orderstatus WHEN 'O' THEN 'changed 1' WHEN 'P' THEN 'changed 2' ELSE 'changed 3' END AS "Name",
+               o_totalprice AS "Amount",
+               CASE o_orderstatus WHEN 'O' THEN '2024-01-02' WHEN 'P' THEN '2024-01-03' ELSE '2024-01-04' END AS "CreatedDate"
+        FROM orders""",
+    "message_range": f"""
+        SELECT event_id, {_TS} AS message_ts FROM events
+        WHERE CAST({_TS} AS DECIMAL(28,9)) BETWEEN 999.5 AND 1000000.25""",
+    "message_normalization": """
+        SELECT 'C' || conv_id::VARCHAR AS channel_id, 'conv-' || conv_id::VARCHAR AS channel_name,
+               conv_id::VARCHAR || '.' || lpad(turn::VARCHAR, 6, '0') AS message_ts, role AS user_id, text,
+               '' AS thread_ts, CASE WHEN role = 'user' THEN 3 ELSE 0 END AS reply_count,
+               CASE WHEN role = 'user'
+                    THEN '[{"name":"user","users":["user"],"count":' || turn::VARCHAR || '}]' ELSE '[]' END AS reactions,
+               CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS has_files,
+               CASE WHEN role = 'assistant' THEN 2 ELSE 0 END AS file_count, '' AS team,
+               CASE WHEN role = 'system' THEN 'notice' ELSE '' END AS subtype,
+               '2024-02-01' AS processing_date, 'historical' AS ingestion_mode
+        FROM conversations""",
+    "dataset_describe": " UNION ALL ".join(_described(t) for t in TABLES),
     "landing_roundtrip": """
         SELECT o_orderkey, o_custkey,
                CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
