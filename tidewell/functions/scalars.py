@@ -52,7 +52,7 @@ def or_blank(value: Column) -> Column:
 
 def list_size(value: Column) -> Column:
     """Length of a list, 0 when it is absent."""
-    return F.coalesce(F.size(value), F.lit(0))
+    return F.coalesce(F.array_size(value), F.lit(0))
 
 
 def json_text(value: Column) -> Column:
