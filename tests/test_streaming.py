@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_raw import ENVELOPES, envelope
+from tidewell.model.payloads import ENVELOPE
 from tidewell.operators.events import classify_events, malformed_events
+from tidewell.operators.infer import parse_records
 from tidewell.operators.messages import live_messages, unify_messages
 from tidewell.plans import marts
 from tidewell.plans.ingest import Lake
@@ -156,6 +158,14 @@ def test_feed_of_a_lake(spark, write_lines, tmp_path):
     assert spark.table("v_chat_realtime_feed").count() == 5
 
 
+def test_envelopes_from_a_text_stream(spark, write_lines, place):
+    write_lines("in", ENVELOPES, "a.json")
+    texts = parse_records(spark.readStream.text(place["in"]), ENVELOPE)
+    start_event_stream(spark, texts, place["out"], place["check"], load_date=F.lit(DAY), interval=None).awaitTermination()
+    batch = classify_events(read_envelopes(spark, place["in"]), F.lit(DAY))
+    assert sorted(rows(read_events(spark, place["out"]))) == sorted(rows(batch))
+
+
 def test_stop_and_resume_on_an_interval(spark, write_lines, place):
     write_lines("in", ENVELOPES, "a.json")
     for name in ("a", "b"):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,11 +16,15 @@ from .joins import join_on
 _UNORDERED = (T.MapType, T.VariantType)
 
 
-def _any_blank(keys: list[str]) -> Column:
-    blank = F.lit(False)
-    for key in keys:
-        blank = blank | is_blank(F.col(key))
-    return blank
+def _keyless(rows: DataFrame, keys: list[str]) -> Column | None:
+    """Whether a row lacks part of its key; None when the schema rules that out."""
+    tests = []
+    for field in (rows.schema[k] for k in keys):
+        if isinstance(field.dataType, T.StringType):
+            tests.append(is_blank(F.col(field.name)))
+        elif field.nullable:
+            tests.append(F.col(field.name).isNull())
+    return reduce(or_, tests) if tests else None
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
@@ -25,7 +32,7 @@ def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> Data
 
     Versions compare left to right, null lowest; equal versions are settled by the other
     columns, so a rerun gives the same rows. Rows whose key is null or empty cannot be
-    matched with others and are all kept.
+    matched with others; all of them are kept, without a shuffle.
 
     Spark keeps one row per key on the map side before the shuffle, so a key that holds a
     large share of all rows sends one row per task.
@@ -34,11 +41,11 @@ def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> Data
         f.name for f in rows.schema.fields
         if f.name not in keys and f.name not in version and not isinstance(f.dataType, _UNORDERED)
     ]
-    alone = F.when(_any_blank(keys), F.monotonically_increasing_id())
-    order = [F.col(f"`{c}`").desc_nulls_last() for c in [*version, *rest]]
-    window = W.partitionBy(*keys, "_alone").orderBy(*order)
-    ranked = rows.withColumn("_alone", alone).withColumn("_rank", F.row_number().over(window))
-    return ranked.where(F.col("_rank") == 1).drop("_alone", "_rank")
+    keyless = _keyless(rows, keys)
+    keyed = rows if keyless is None else rows.where(~keyless)
+    window = W.partitionBy(*keys).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in [*version, *rest]])
+    newest = keyed.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
+    return newest if keyless is None else newest.unionByName(rows.where(keyless))
 
 
 def skip_completed(work: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # AQE splits skewed join partitions and rebalances writes; RocksDB keeps the stream's
-# duplicate keys off the executor heap.
+# duplicate keys off the executor heap; batches without data would land empty folders.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

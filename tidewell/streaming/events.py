@@ -37,9 +37,13 @@ def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
+def _envelopes(spark: SparkSession, source: str | DataFrame, **bounds) -> DataFrame:
+    return source if isinstance(source, DataFrame) else stream_envelopes(spark, source, **bounds)
+
+
 def start_event_stream(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     sink: str,
     checkpoint: str,
     *,
@@ -51,6 +55,9 @@ def start_event_stream(
 ) -> StreamingQuery:
     """Classify, deduplicate and land live events.
 
+    ``source`` is a folder of event files, or a streaming frame of envelopes from elsewhere,
+    such as parsed message-queue values.
+
     A batch starts every ``interval`` and takes at most ``max_files`` or ``max_bytes``; with
     no interval the query drains what is there and ends. Stopping the query and starting it
     again on the same ``checkpoint`` is pause and resume.
@@ -60,7 +67,7 @@ def start_event_stream(
     ``marks/batch_id=n``.
     """
     day = load_date if load_date is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
-    envelopes = stream_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes)
+    envelopes = _envelopes(spark, source, max_files=max_files, max_bytes=max_bytes)
     events = drop_repeats(classify_events(envelopes, day), horizon)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -82,7 +89,7 @@ def start_event_stream(
 
 def start_event_counters(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     sink: str,
     checkpoint: str,
     *,
@@ -94,7 +101,7 @@ def start_event_counters(
 
     Counted as received, redeliveries too. Each batch writes all totals as a new folder.
     """
-    envelopes = drop_handshake(stream_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes))
+    envelopes = drop_handshake(_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes))
     totals = envelopes.groupBy(event_kind().alias("event_type")).agg(F.count(F.lit(1)).alias("events"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
