@@ -140,6 +140,9 @@ def test_chat_backfill(lake, write_lines, spark, tmp_path):
     assert rows(bronze.select("channel_name", "message_ts", "thread_ts"), "message_ts") == [
         ("general", "1000.25", "1000.25"), ("general", "2000", "1000.25"), ("random", "5", ""), ("general", "999.5", ""),
     ]
+    assert rows(ingest.channel_report(lake, D1), "channel_id") == [
+        ("C1", "general", "completed", 2, 1, "1000.25"), ("C2", "random", "completed", 1, 0, "5"),
+    ]
     # The reply at 2000 does not move the mark; the message at 1500 is still new.
     assert rows(ingest.channel_marks(lake), "channel_id") == [("C1", "1000.25"), ("C2", "5")]
     write_lines("m2/channel_id=C1", [{"messages": [message("1000.25"), message("1500")]}])

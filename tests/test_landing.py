@@ -93,7 +93,9 @@ def test_tables_views_and_catalog(spark, tmp_path):
         [("1", "won", 10.0, 50, [1]), ("2", "won", 30.0, 100, None), ("3", "open", None, None, None)],
         "Id string, StageName string, Amount double, Probability int, LeadSource array<int>",
     )
-    tables.insert_rows(deals, spec.table)
+    assert tables.sort_key(spark, spec.table) == ["Id"]
+    tables.insert_rows(deals.orderBy(F.col("Id").desc()).coalesce(1), spec.table)
+    assert [r["Id"] for r in spark.table(spec.table).collect()] == ["1", "2", "3"]
     tables.insert_rows(deals.where("Id = '1'"), spec.table, ["Id", "StageName"])
     assert spark.table(spec.table).where("LeadSource = '[1]'").count() == 1
     with pytest.raises(ValueError):
@@ -119,8 +121,9 @@ def test_tables_views_and_catalog(spark, tmp_path):
 
 
 def test_managed_table_truncate_partition_and_names(spark):
-    ddl = tables.create_named_table(spark, "bronze_named", {"id": "str", "n": "int", "tags": "list"}, partition_by=["n"])
-    assert "PARTITIONED BY (`n`)" in ddl
+    ddl = tables.create_named_table(spark, "bronze_named", {"id": "str", "n": "int", "tags": "list"}, partition_by=["n"],
+                                    order_by=["id", "tags"])
+    assert "PARTITIONED BY (`n`)" in ddl and tables.sort_key(spark, "bronze_named") == ["id", "tags"]
     tables.insert_rows(spark.createDataFrame([("a", 1)], "id string, n int"), "bronze_named")
     assert spark.table("bronze_named").count() == 1
     with pytest.raises(Exception, match="ALREADY_EXISTS"):

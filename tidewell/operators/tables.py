@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model.specs import FAMILIES, TableSpec, schema_from_names
+from .coerce import stringify_nested
 
 # Names an ad-hoc preview may touch.
 PREVIEW_PREFIXES = ("bronze_", "v_")
+SORT_KEY = "tidewell.sort_key"
 
 
 def create_table(
@@ -17,14 +19,15 @@ def create_table(
     name: str,
     schema: T.StructType,
     *,
+    order_by: list[str] | None = None,
     partition_by: list[str] | None = None,
     location: str | None = None,
     if_not_exists: bool = True,
 ) -> str:
     """Create a Parquet table and return its DDL. Without a location Spark manages it.
 
-    Parquet tables have no sort key of their own; the bronze sinks sort the files by the
-    table's key instead, which lets scans skip row groups.
+    The sort key, by default the first column, is kept as a table property; inserts sort
+    their files by it, which lets scans skip row groups.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}`{name}` ({columns}) USING parquet"
@@ -32,10 +35,17 @@ def create_table(
         ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
     if location:
         ddl += f" LOCATION '{location}'"
+    ddl += f" TBLPROPERTIES ('{SORT_KEY}' = '{','.join(order_by or schema.names[:1])}')"
     spark.sql(ddl)
     return ddl
 
 
+def sort_key(spark: SparkSession, name: str) -> list[str]:
+    """Columns the files of a table are sorted by; none for tables made elsewhere."""
+    row = spark.sql(f"SHOW TBLPROPERTIES `{name}`").where(F.col("key") == SORT_KEY).first()
+    return row["value"].split(",") if row else []
+
+
 def create_named_table(spark: SparkSession, name: str, columns: dict[str, str], **options) -> str:
     """Create a table from generic type names such as ``int`` or ``list``."""
     return create_table(spark, name, schema_from_names(columns), **options)
@@ -52,12 +62,11 @@ def create_spec_table(spark: SparkSession, spec: TableSpec, root: str | None = N
 
 
 def insert_rows(rows: DataFrame, table: str, columns: list[str] | None = None) -> None:
-    """Append rows to a table by column name; table columns not given are null.
+    """Append rows to a table by column name, sorted by its key; columns not given are null.
 
-    Lists and structs go into text columns as JSON.
+    Lists and structs go into text columns as JSON. Rows for a partitioned table are
+    rebalanced by partition first.
     """
-    from .coerce import stringify_nested
-
     spark = rows.sparkSession
     chosen = stringify_nested(rows.select(*(columns or rows.columns)))
     target = spark.table(table).schema
@@ -67,7 +76,11 @@ def insert_rows(rows: DataFrame, table: str, columns: list[str] | None = None) -
     fitted = chosen.select(
         *[(F.col(f"`{f.name}`") if f.name in chosen.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
     )
-    fitted.write.insertInto(table)
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partitions:
+        fitted = fitted.hint("rebalance", *partitions)
+    order = [*partitions, *sort_key(spark, table)]
+    (fitted.sortWithinPartitions(*order) if order else fitted).write.insertInto(table)
 
 
 def create_view(rows: DataFrame, name: str, replace: bool = True) -> bool:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import epoch, first_filled
+from ..functions import epoch, epoch_key, epoch_text, first_filled
 from ..model.specs import CHAT, TableSpec, find_spec
 from ..operators import state as st
 from ..operators.coerce import coerce
@@ -235,6 +235,21 @@ def channel_marks(lake: Lake) -> DataFrame:
     )
 
 
+def channel_report(lake: Lake, load_date: date | None = None) -> DataFrame:
+    """Messages and thread replies loaded per channel, and the newest message of each."""
+    landed = lake.landed(CHAT["messages"])
+    if load_date is not None:
+        landed = landed.where(F.col("ingest_date") == load_date.isoformat())
+    is_message = F.col("kind") == "message"
+    newest = F.max(F.when(is_message, epoch_key(F.col("message_ts"))))
+    return landed.groupBy("channel_id", "channel_name").agg(
+        F.lit(st.COMPLETED).alias("status"),
+        F.count_if(is_message).alias("messages_fetched"),
+        F.count_if(~is_message).alias("threads_fetched"),
+        epoch_text(newest).alias("last_message_ts"),
+    )
+
+
 def _save_marks(lake: Lake, messages: DataFrame, marks: DataFrame) -> None:
     # Of messages only: replies may be newer than messages not yet exported.
     stamps = messages.select("channel_id", F.col("message_ts").alias("ts"))
