@@ -513,6 +513,24 @@ def marketing_load(spark, sf_dir):
     return contacts.unionByName(owners)
 
 
+@proof
+def custom_object_load(spark, sf_dir):
+    """Parts as an object nobody declared: its table is typed by its pages."""
+    root = scratch(spark, "custom")
+    lake = ingest.Lake(spark, root)
+    part = a.load(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("Id"),
+        F.col("p_name").alias("Name"),
+        F.col("p_size").alias("Size"),
+        F.col("p_retailprice").alias("Price"),
+        (F.col("p_size") > 25).alias("Large"),
+        F.when(F.col("p_size") > 25, F.array("p_brand", "p_type")).alias("Labels"),
+    )
+    a.write_pages(part, "records", f"{root}/in")
+    ingest.ingest_custom(lake, "Part", f"{root}/in", date(2024, 1, 1))
+    return lake.bronze("sales", "Part")
+
+
 @proof
 def bronze_snapshot(spark, sf_dir):
     """Three loads of orders with a snapshot after the second, read through it."""

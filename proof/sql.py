@@ -271,6 +271,11 @@ ORACLE = {
         SELECT 'n' || n_nationkey::VARCHAR, lower(n_name),
                n_nationkey::VARCHAR || '/[{"id":"' || n_regionkey::VARCHAR || '","name":"' || n_name || '"}]', '', ''
         FROM nation""",
+    "custom_object_load": """
+        SELECT p_partkey::VARCHAR AS "Id", p_name AS "Name", p_size::BIGINT AS "Size", p_retailprice AS "Price",
+               CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS "Large",
+               CASE WHEN p_size > 25 THEN '["' || p_brand || '","' || p_type || '"]' END AS "Labels"
+        FROM part""",
     "bronze_snapshot": """
         SELECT o_orderkey::VARCHAR AS "Id",
                CASE o_orderstatus WHEN 'O' THEN 'changed 1' WHEN 'P' THEN 'changed 2' ELSE 'changed 3' END AS "Name",

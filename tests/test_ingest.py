@@ -121,6 +121,25 @@ def test_snapshots(lake, write_lines):
     assert "Exchange" not in plan(current) and all("version=2" in f for f in current.inputFiles())
 
 
+def test_custom_object(lake, write_lines, spark):
+    pages = write_lines("c", [
+        {"records": [{"Id": "1", "Size": 2, "Tags": ["a"], "CreatedDate": "2024-01-01"}], "done": False},
+        {"records": [{"Id": "2", "Size": 2.5, "Active": True}], "done": True},
+    ])
+    assert ingest.ingest_custom(lake, "Gadget__c", pages, D1)["records"] == 2
+    spec = lake.spec("sales", "Gadget__c")
+    assert dict(spec.columns) == {"Id": "text", "Active": "flag", "CreatedDate": "text", "Size": "double", "Tags": "text"}
+    assert spec.modified == ("CreatedDate",)
+    assert rows(lake.bronze("sales", "Gadget__c").select("Id", "Active", "Size", "Tags"), "Id") == [
+        ("1", None, 2.0, '["a"]'), ("2", 1, 2.5, None),
+    ]
+    later = write_lines("c2", [{"records": [{"Id": "1", "Size": "n/a", "CreatedDate": "2024-01-02"}]}])
+    ingest.ingest_custom(lake, "Gadget__c", later, D2)
+    assert rows(lake.bronze("sales", "Gadget__c").select("Id", "Size"), "Id") == [("1", 0.0), ("2", 2.5)]
+    assert publish(lake, "sales")[0] == "bronze_sales_gadget__c"
+    assert spark.table("bronze_sales_gadget__c").count() == 2
+
+
 def message(ts, **more):
     return {"type": "message", "ts": ts, "user": "U1", "text": f"at {ts}", **more}
 

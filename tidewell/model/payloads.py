@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from .specs import CHAT, MARKETING, SALES, TEXT, TableSpec
+from .specs import MARKETING, SALES, TEXT, TableSpec
 
 _S = T.StringType()
 _L = T.LongType()
@@ -81,9 +81,15 @@ PAGES: dict[tuple[str, str], tuple[str, T.StructType]] = {
     ("chat", "users"): ("members", USER),
     ("chat", "channels"): ("channels", CHANNEL),
 }
-assert set(CHAT) >= {entity for family, entity in PAGES if family == "chat"}
+# The field for objects without a declaration.
+PAGE_FIELDS = {"sales": "records", "marketing": "results"}
 
 
-def page_schema(family: str, entity: str) -> T.StructType:
-    field, record = PAGES[(family, entity)]
-    return T.StructType([T.StructField(field, T.ArrayType(record), True)])
+def page_field(family: str, entity: str) -> str:
+    return PAGES[(family, entity)][0] if (family, entity) in PAGES else PAGE_FIELDS[family]
+
+
+def page_schema(family: str, entity: str, record: T.StructType | None = None) -> T.StructType:
+    """Schema of a page; ``record`` replaces the declared shape of its records."""
+    shape = record if record is not None else PAGES[(family, entity)][1]
+    return T.StructType([T.StructField(page_field(family, entity), T.ArrayType(shape), True)])

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import or_blank
 
-# The event types that become rows.
+# The event types that become rows, the greeting, and the texts that rows get.
 MESSAGE_EVENT, REACTION_EVENT, JOIN_EVENT = "message", "reaction_added", "member_joined_channel"
 HANDSHAKE = "hello"
+JOIN_TEXT = "joined channel"
+REACTION_SUBTYPE, JOIN_SUBTYPE = "reaction", "member_join"
+LIVE_MODE = "realtime"
 
 
 def drop_handshake(envelopes: DataFrame) -> DataFrame:
@@ -48,15 +51,15 @@ def classify_events(envelopes: DataFrame, load_date: Column) -> DataFrame:
         by_kind(of("channel"), of("item.channel"), of("channel")).alias("channel_id"),
         or_blank(of("user")).alias("user_id"),
         by_kind(
-            of("text"), F.concat(F.lit(":"), or_blank(of("reaction")), F.lit(":")), F.lit("joined channel")
+            of("text"), F.concat(F.lit(":"), or_blank(of("reaction")), F.lit(":")), F.lit(JOIN_TEXT)
         ).alias("text"),
         by_kind(of("ts"), of("item.ts"), of("event_ts")).alias("message_ts"),
         by_kind(of("thread_ts"), none, none).alias("thread_ts"),
         by_kind(of("team"), none, of("team")).alias("team"),
         by_kind(of("channel_type"), none, of("channel_type")).alias("channel_type"),
-        by_kind(of("subtype"), F.lit("reaction"), F.lit("member_join")).alias("subtype"),
+        by_kind(of("subtype"), F.lit(REACTION_SUBTYPE), F.lit(JOIN_SUBTYPE)).alias("subtype"),
         by_kind(F.col("payload.event_time"), of("event_ts"), of("event_ts")).alias("event_time"),
         load_date.alias("processing_date"),
-        F.lit("realtime").alias("ingestion_mode"),
+        F.lit(LIVE_MODE).alias("ingestion_mode"),
         or_blank(F.col("envelope_id")).alias("envelope_id"),
     )

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch, is_blank, json_text, list_size, or_blank
 from ..model.payloads import MESSAGE
+from .events import MESSAGE_EVENT
 from .incremental import latest_per_key
 from .joins import join_on
 
 
+# Where a message came from, and the text of no reactions.
+HISTORY_MODE = "historical"
+NO_REACTIONS = "[]"
+
+
 def is_threaded(reply_count: str = "reply_count", thread_ts: str = "thread_ts") -> Column:
     return (F.col(reply_count) > 0) & ~is_blank(F.col(thread_ts))
 
@@ -58,19 +64,19 @@ def normalize_messages(messages: DataFrame, load_date: Column, channels: DataFra
         or_blank(field("text")).alias("text"),
         or_blank(field("thread_ts")).alias("thread_ts"),
         F.coalesce(field("reply_count"), F.lit(0)).cast("int").alias("reply_count"),
-        F.coalesce(json_text(field("reactions")), F.lit("[]")).alias("reactions"),
+        F.coalesce(json_text(field("reactions")), F.lit(NO_REACTIONS)).alias("reactions"),
         (list_size(field("files")) > 0).cast("int").alias("has_files"),
         list_size(field("files")).alias("file_count"),
         or_blank(field("team")).alias("team"),
         or_blank(field("subtype")).alias("subtype"),
         load_date.alias("processing_date"),
-        F.lit("historical").alias("ingestion_mode"),
+        F.lit(HISTORY_MODE).alias("ingestion_mode"),
     )
 
 
 def live_messages(events: DataFrame, channels: DataFrame | None = None) -> DataFrame:
     """Message events of the live feed in the shape of the messages table."""
-    rows = events.where(F.col("event_type") == "message")
+    rows = events.where(F.col("event_type") == MESSAGE_EVENT)
     if channels is not None:
         rows = _with_names(rows, channels)
     else:
@@ -78,7 +84,7 @@ def live_messages(events: DataFrame, channels: DataFrame | None = None) -> DataF
     return rows.select(
         "channel_id", or_blank(F.col("channel_name")).alias("channel_name"), "message_ts", "user_id", "text", "thread_ts",
         F.lit(0).alias("reply_count"),
-        F.lit("[]").alias("reactions"),
+        F.lit(NO_REACTIONS).alias("reactions"),
         F.lit(0).alias("has_files"),
         F.lit(0).alias("file_count"),
         "team", "subtype", "processing_date", "ingestion_mode",
@@ -88,7 +94,7 @@ def live_messages(events: DataFrame, channels: DataFrame | None = None) -> DataF
 def unify_messages(history: DataFrame, live: DataFrame) -> DataFrame:
     """History and live messages, each message once; the history row is the fuller one."""
     both = history.unionByName(live)
-    preferred = (F.col("ingestion_mode") == "historical").cast("int")
+    preferred = (F.col("ingestion_mode") == HISTORY_MODE).cast("int")
     rows = both.withColumn("_preferred", preferred)
     return latest_per_key(rows, ["channel_id", "message_ts"], ["_preferred", "processing_date"]).drop("_preferred")
 

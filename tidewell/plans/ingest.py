@@ -7,6 +7,7 @@ state never runs ahead of the data.
 
 from __future__ import annotations
 
+import dataclasses
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -19,16 +20,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch, epoch_key, epoch_text, first_filled
-from ..model.specs import CHAT, TableSpec, find_spec
+from ..model.specs import CHAT, SALES, TableSpec, find_spec
 from ..operators import state as st
 from ..operators.coerce import coerce
 from ..operators.flatten import flatten_channels, flatten_properties, flatten_users
+from ..operators.infer import spec_from_schema
 from ..operators.incremental import high_water_marks, latest_per_key, modified_since, newer_than
 from ..operators.landing import land, replace
 from ..operators.messages import normalize_messages, thread_replies
 from ..operators.reports import run_summary
 from ..sources.landed import load_bronze, read_landed
-from ..sources.pages import read_pages
+from ..sources.pages import infer_record, read_pages
 from ..streaming.events import read_events
 
 PARTITIONS = {
@@ -50,6 +52,15 @@ class Lake:
         self.runs = st.RunLog(spark, f"{root}/_state/runs")
         self.reports = st.Reports(spark, f"{root}/_state/reports")
 
+        self.declared: dict[tuple[str, str], TableSpec] = {}
+
+    def declare(self, spec: TableSpec) -> None:
+        """Add a table of this organisation to the declared ones, e.g. a custom object."""
+        self.declared[(spec.family, spec.entity)] = spec
+
+    def spec(self, family: str, entity: str) -> TableSpec:
+        return self.declared.get((family, entity)) or find_spec(family, entity)
+
     def dataset(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.family}/{spec.entity}"
 
@@ -69,7 +80,7 @@ class Lake:
         With a snapshot, only the loads after it are compared with it; without later loads
         the snapshot is read as it is.
         """
-        spec = find_spec(family, entity)
+        spec = self.spec(family, entity)
         if spec in (CHAT["users"], CHAT["channels"]):
             return load_bronze(self.spark, self.dataset(spec), spec)
         if spec is CHAT["realtime_events"]:
@@ -87,7 +98,7 @@ class Lake:
 
     def take_snapshot(self, family: str, entity: str) -> str:
         """Write :meth:`bronze` as a new folder that later reads start from."""
-        spec = find_spec(family, entity)
+        spec = self.spec(family, entity)
         taken = self.state.load(family, entity + SNAPSHOT) or {"version": 0}
         through, version = _last_load(self, family, entity), taken["version"] + 1
         path = f"{self.dataset(spec)}_snapshot/version={version}"
@@ -109,7 +120,14 @@ def _last_load(lake: Lake, family: str, entity: str) -> int:
 
 
 def ingest_entity(
-    lake: Lake, family: str, entity: str, source: str, load_date: date, *, limit: int | None = None
+    lake: Lake,
+    family: str,
+    entity: str,
+    source: str,
+    load_date: date,
+    *,
+    record_schema: T.StructType | None = None,
+    limit: int | None = None,
 ) -> dict[str, Any]:
     """Load one sales object or marketing resource; returns ``records`` and ``path``.
 
@@ -117,13 +135,13 @@ def ingest_entity(
     at that very time are taken again: some may have changed after the extract, and the key
     removes the rest. A resource already completed for ``load_date`` is left alone.
     """
-    spec = find_spec(family, entity)
+    spec = lake.spec(family, entity)
     path = lake.dataset(spec)
     last = lake.state.load(family, entity) or {}
     if last.get("completed") and last.get("load_date") == load_date.isoformat():
         return {"records": last.get("records", 0), "path": path}
 
-    records = read_pages(lake.spark, source, family, entity, limit=limit)
+    records = read_pages(lake.spark, source, family, entity, record_schema=record_schema, limit=limit)
     if family == "marketing":
         records = flatten_properties(records)
     mark = last.get("last_modified")
@@ -148,6 +166,19 @@ def ingest_entity(
     return {"records": done["rows"], "path": path}
 
 
+def ingest_custom(lake: Lake, entity: str, source: str, load_date: date, *, key: str = "Id") -> dict[str, Any]:
+    """Load a sales object that has no declaration, typed by what its pages hold.
+
+    The first load declares the table; declare it yourself to fix its types for later loads.
+    """
+    shape = infer_record(lake.spark, source, "sales", entity)
+    if ("sales", entity) not in lake.declared:
+        spec = spec_from_schema("sales", entity, shape, key)
+        modified = tuple(m for m in SALES["Account"].modified if m in spec.names)
+        lake.declare(dataclasses.replace(spec, modified=modified))
+    return ingest_entity(lake, "sales", entity, source, load_date, record_schema=shape)
+
+
 def _partition_values(lake: Lake, family: str, load_date: date, load: int, kind: str = "") -> dict[str, Column]:
     values = {
         "org_id": lake.org_id,

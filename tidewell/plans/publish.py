@@ -24,7 +24,8 @@ def publish(lake: Lake, family: str, *, live: bool = False) -> list[str]:
     if live:
         loaded |= {"realtime_events"}
     names = []
-    for entity, spec in FAMILIES[family].items():
+    specs = FAMILIES[family] | {s.entity: s for s in lake.declared.values() if s.family == family}
+    for entity, spec in specs.items():
         if entity in loaded:
             create_view(lake.bronze(family, entity), spec.table)
             names.append(spec.table)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch
-from ..model.payloads import PAGES, page_schema
+from ..model.payloads import page_field, page_schema
+from ..operators.infer import infer_schema
 
 
 def read_pages(
@@ -26,15 +27,17 @@ def read_pages(
     Folders such as ``channel_id=C1/`` become columns. ``record_schema`` replaces the
     declared record, for exports with more fields; ``limit`` is the optional extract cap.
     """
-    field, _ = PAGES[(family, entity)]
-    schema = page_schema(family, entity)
-    if record_schema is not None:
-        schema = T.StructType([T.StructField(field, T.ArrayType(record_schema), True)])
+    schema = page_schema(family, entity, record_schema)
     pages = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multiline).json(path)
-    records = explode_pages(pages, field)
+    records = explode_pages(pages, page_field(family, entity))
     return records if limit is None else records.limit(limit)
 
 
+def infer_record(spark: SparkSession, path: str, family: str, entity: str) -> T.StructType:
+    """Shape of the records in the pages below ``path``, from all of them."""
+    return infer_schema(spark.read.text(path))[page_field(family, entity)].dataType.elementType
+
+
 def explode_pages(pages: DataFrame, field: str) -> DataFrame:
     """Records of a page list; empty and absent lists give no rows."""
     return pages.select(*[c for c in pages.columns if c != field], F.inline(field))
