@@ -52,6 +52,19 @@ def test_land_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in text and "ReadSchema: struct<id:string>" in text
 
 
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_landed_files_are_sorted(spark, tmp_path, shuffle):
+    ids = spark.range(0, 3000, 1, 3).select(F.sha1(F.col("id").cast("string")).alias("id"), F.lit("d1").alias("day"))
+    path = str(tmp_path / "d")
+    land(ids, path, ["day"], ["id"], shuffle=shuffle)
+    place = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())
+    landed = rows(spark.read.parquet(path).select(place, "id"))
+    by_file: dict = {}
+    for (file, at), key in sorted(landed):
+        by_file.setdefault(file, []).append(key)
+    assert len(landed) == 3000 and all(keys == sorted(keys) for keys in by_file.values())
+
+
 def test_replace_and_append(spark, tmp_path):
     spec = CHAT["users"]
     path = str(tmp_path / "users")

@@ -54,10 +54,19 @@ def test_stream_equals_batch_and_drops_redeliveries(spark, write_lines, place):
 
 
 def test_marks_compare_numbers_over_batches(spark, write_lines, place):
-    for name, ts in (("a", "1000.25"), ("b", "999.5")):
-        write_lines("in", [envelope("message", name, channel="C1", ts=ts)], f"{name}.json")
+    for name, channel, ts in (("a", "C1", "1000.25"), ("b", "C2", "7"), ("c", "C1", "999.5"), ("d", "C3", "8")):
+        write_lines("in", [envelope("message", name, channel=channel, ts=ts)], f"{name}.json")
         drain(spark, place)
-    assert rows(read_marks(spark, place["out"])) == [("C1", "1000.25")]
+    assert rows(read_marks(spark, place["out"]), "channel_id") == [("C1", "1000.25"), ("C2", "7"), ("C3", "8")]
+    assert {d for d in os.listdir(place["out"] + "/marks") if "SUCCESS" not in d} == {"slot=0", "slot=1"}
+
+
+def test_batches_are_numbered_without_gaps(spark, write_lines, place):
+    for n in range(3):
+        write_lines("in", [envelope("message", f"e{n}", channel="C1", ts=str(n))], f"{n}.json")
+        drain(spark, place)
+    ids = sorted(int(d.split("=")[1]) for d in os.listdir(place["out"] + "/events") if d.startswith("batch_id="))
+    assert ids == list(range(len(ids)))
 
 
 def test_events_without_an_id_are_all_kept(spark, write_lines, place):

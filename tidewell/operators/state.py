@@ -70,19 +70,19 @@ def _now() -> tuple[datetime, int]:
 
 
 class _Log:
-    """A Parquet folder rows are only ever added to."""
+    """A Parquet folder, by pipeline, that rows are only ever added to."""
 
     schema: T.StructType
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        spark.createDataFrame([], self.schema).write.mode("ignore").parquet(path)
+        spark.createDataFrame([], self.schema).write.mode("ignore").partitionBy("pipeline").parquet(path)
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
 
     def _append(self, rows: DataFrame) -> None:
-        rows.select(self.schema.names).write.mode("append").parquet(self.path)
+        rows.select(self.schema.names).write.mode("append").partitionBy("pipeline").parquet(self.path)
 
     def _append_row(self, **values: Any) -> None:
         row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in self.schema.fields]

@@ -79,7 +79,7 @@ class LiveFeed:
         spark = self.lake.spark
         totals = {"total_events": 0, "total_messages": 0, "total_flushes": 0}
         try:
-            totals = ev.counter_totals(ev.read_counters(spark, self._counters)).first().asDict()
+            totals |= ev.counter_totals(ev.read_counters(spark, self._counters)).first().asDict()
             totals["total_flushes"] = ev.count_flushes(spark, self.lake.live)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":  # nothing has come in yet

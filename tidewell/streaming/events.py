@@ -12,8 +12,8 @@ from ..operators.incremental import high_water_marks
 from ..sources.events import stream_envelopes
 
 EVENTS = CHAT["realtime_events"]
-MARKS_SCHEMA = "channel_id string, mark string"
-COUNTS_SCHEMA = "event_type string, events long"
+MARKS_SCHEMA = "channel_id string, mark string, batch_id long"
+COUNTS_SCHEMA = "event_type string, events long, batch_id long"
 
 
 def drop_repeats(events: DataFrame, horizon: str | None) -> DataFrame:
@@ -63,13 +63,14 @@ def start_event_stream(
     again on the same ``checkpoint`` is pause and resume.
 
     Batch ``n`` is written as the folder ``events/batch_id=n``, by day, replacing what an
-    earlier attempt at it left, and then the channel marks of the batch as
-    ``marks/batch_id=n``.
+    earlier attempt at it left, and then the marks of all channels so far.
     """
     day = load_date if load_date is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
     envelopes = _envelopes(spark, source, max_files=max_files, max_bytes=max_bytes)
     events = drop_repeats(classify_events(envelopes, day), horizon)
 
+    _open_slots(spark, f"{sink}/marks", MARKS_SCHEMA)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{sink}/events/batch_id={batch_id}"
         rows = batch.hint("rebalance").sortWithinPartitions("channel_id")
@@ -77,7 +78,9 @@ def start_event_stream(
         landed = batch.sparkSession.read.schema(EVENTS.struct()).parquet(folder)
         messages = landed.where((F.col("event_type") == MESSAGE_EVENT) & (F.col("channel_id") != ""))
         marks = high_water_marks(messages, "channel_id", "message_ts")
-        _overwrite(marks, f"{sink}/marks/batch_id={batch_id}")
+        before, slot = _before(spark, f"{sink}/marks", MARKS_SCHEMA, batch_id)
+        merged = high_water_marks(marks.unionByName(before), "channel_id", "mark")
+        _write_slot(merged, f"{sink}/marks", slot, batch_id)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -99,13 +102,16 @@ def start_event_counters(
 ) -> StreamingQuery:
     """Running number of events by type, unknown types included, greetings not.
 
-    Counted as received, redeliveries too. Each batch writes all totals as a new folder.
+    Counted as received, redeliveries too. Each batch writes all totals.
     """
     envelopes = drop_handshake(_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes))
     totals = envelopes.groupBy(event_kind().alias("event_type")).agg(F.count(F.lit(1)).alias("events"))
 
+    _open_slots(spark, sink, COUNTS_SCHEMA)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        _overwrite(batch.hint("rebalance"), f"{sink}/batch_id={batch_id}")
+        _, slot = _before(spark, sink, COUNTS_SCHEMA, batch_id)
+        _write_slot(batch, sink, slot, batch_id)
 
     return (
         totals.writeStream.outputMode("complete")
@@ -127,15 +133,43 @@ def read_events(spark: SparkSession, sink: str) -> DataFrame:
 
 def read_marks(spark: SparkSession, sink: str) -> DataFrame:
     """Highest message time per channel over all batches."""
-    marks = spark.read.schema(MARKS_SCHEMA).parquet(f"{sink}/marks")
-    return high_water_marks(marks, "channel_id", "mark")
+    return _newest(spark, f"{sink}/marks", MARKS_SCHEMA)
 
 
 def read_counters(spark: SparkSession, sink: str) -> DataFrame:
-    """The totals of the newest batch."""
-    counts = spark.read.schema(COUNTS_SCHEMA).parquet(sink)
-    newest = counts.agg(F.max("batch_id")).first()[0]
-    return counts.where(F.col("batch_id") == newest).drop("batch_id")
+    """The totals as of the newest batch."""
+    return _newest(spark, sink, COUNTS_SCHEMA)
+
+
+# Totals are kept in two folders that batches write in turn: while one is replaced the other
+# holds the totals before it, and their number does not grow with the age of the stream.
+
+
+def _slots(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, slot int").option("ignoreMissingFiles", "true").parquet(folder)
+
+
+def _open_slots(spark: SparkSession, folder: str, schema: str) -> None:
+    spark.createDataFrame([], f"{schema}, slot int").write.mode("ignore").partitionBy("slot").parquet(folder)
+
+
+def _before(spark: SparkSession, folder: str, schema: str, batch_id: int) -> tuple[DataFrame, int]:
+    """The totals of the batch before, and the folder that does not hold them."""
+    earlier = _slots(spark, folder, schema).where(F.col("batch_id") < batch_id)
+    last = earlier.orderBy(F.col("batch_id").desc()).select("batch_id", "slot").first()
+    held = (F.col("slot") == last["slot"]) & (F.col("batch_id") == last["batch_id"]) if last else F.lit(False)
+    return earlier.where(held).drop("batch_id", "slot"), 1 - last["slot"] if last else 0
+
+
+def _write_slot(totals: DataFrame, folder: str, slot: int, batch_id: int) -> None:
+    numbered = totals.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    _overwrite(numbered.hint("rebalance"), f"{folder}/slot={slot}")
+
+
+def _newest(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    totals = _slots(spark, folder, schema)
+    newest = totals.agg(F.max("batch_id")).first()[0]
+    return totals.where(F.col("batch_id") == newest).drop("batch_id", "slot")
 
 
 def counter_totals(counters: DataFrame) -> DataFrame:
