@@ -49,16 +49,18 @@ def land(
     return _measured_write(ordered, path, codec, "overwrite", partitions, measures)
 
 
-def replace(rows: DataFrame, path: str, codec: str = "snappy", sort_by: list[str] | None = None) -> int:
+def replace(
+    rows: DataFrame, path: str, codec: str = "snappy", sort_by: list[str] | None = None, shuffle: bool = True
+) -> int:
     """Replace a reference dataset as a whole."""
-    spread = rows.hint("rebalance")
+    spread = rows.hint("rebalance", *(sort_by or [])) if shuffle else rows
     ordered = spread.sortWithinPartitions(*sort_by) if sort_by else spread
     return _measured_write(ordered, path, codec, "overwrite")["rows"]
 
 
 def append_bronze(rows: DataFrame, path: str, spec: TableSpec, codec: str = "snappy") -> int:
     """Append rows to a bronze dataset in the declared shape, sorted by its key."""
-    fitted = coerce(rows, spec).hint("rebalance").sortWithinPartitions(spec.key)
+    fitted = coerce(rows, spec).hint("rebalance", spec.key).sortWithinPartitions(spec.key)
     return _measured_write(fitted, path, codec, "append")["rows"]
 
 

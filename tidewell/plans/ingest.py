@@ -102,7 +102,8 @@ class Lake:
         taken = self.state.load(family, entity + SNAPSHOT) or {"version": 0}
         through, version = _last_load(self, family, entity), taken["version"] + 1
         path = f"{self.dataset(spec)}_snapshot/version={version}"
-        replace(self.bronze(family, entity), path, sort_by=[spec.key])
+        # Already spread by key, one row each: nothing to rebalance.
+        replace(self.bronze(family, entity), path, sort_by=[spec.key], shuffle=False)
         self.state.save(family, entity + SNAPSHOT, {"version": version, "through": through, "path": path})
         return path
 
@@ -209,11 +210,11 @@ def backfill_chat(
     dimensions = set(last.get("dimensions", []))
     if users is not None:
         rows = coerce(flatten_users(read_pages(spark, users, "chat", "users")), CHAT["users"])
-        replace(rows, lake.dataset(CHAT["users"]))
+        replace(rows, lake.dataset(CHAT["users"]), sort_by=["id"])
         dimensions.add("users")
     if channels is not None:
         rows = coerce(flatten_channels(read_pages(spark, channels, "chat", "channels")), CHAT["channels"])
-        replace(rows, lake.dataset(CHAT["channels"]))
+        replace(rows, lake.dataset(CHAT["channels"]), sort_by=["id"])
         dimensions.add("channels")
     names = lake.bronze("chat", "channels") if "channels" in dimensions else None
 

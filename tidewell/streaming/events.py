@@ -73,7 +73,7 @@ def start_event_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{sink}/events/batch_id={batch_id}"
-        rows = batch.hint("rebalance").sortWithinPartitions("channel_id")
+        rows = batch.hint("rebalance", "channel_id", "message_ts").sortWithinPartitions("channel_id")
         _overwrite(rows, folder, "processing_date")
         landed = batch.sparkSession.read.schema(EVENTS.struct()).parquet(folder)
         messages = landed.where((F.col("event_type") == MESSAGE_EVENT) & (F.col("channel_id") != ""))
