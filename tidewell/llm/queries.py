@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import sharding, token_files
+from tidewell.llm import language_id, packing, sharding, token_files, toxicity
 from tidewell.session import scratch
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-planes")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -25,4 +29,17 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_planes, op5_feistel_shards)}
+def op6_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("toxic", F.col("toxic_probability") >= 0.5)
+
+
+def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_language_families, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op10_window_packing)
+}
