@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language_id, packing, sharding, token_files, toxicity
+from tidewell.llm import decontamination, language_id, line_dedup, packing, sharding, token_files, toxicity
 from tidewell.session import scratch
 
 
@@ -18,6 +18,17 @@ def op1_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", "removed_chunks", "removed_bytes", F.octet_length("text").alias("kept_bytes"), F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-planes")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -41,5 +52,5 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_families, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op10_window_packing)
+    for f in (op1_language_families, op2_bm25_decontamination, op3_line_chunks, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op10_window_packing)
 }
