@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontamination, embeddings, language_id, line_dedup, minhash, packing, sharding, token_files, toxicity
+from tidewell.llm import decontamination, embeddings, language_id, line_dedup, minhash, packing, sharding, suffix_dedup, token_files, toxicity
 from tidewell.session import scratch
 
 
@@ -54,11 +54,16 @@ def op8_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_families, op2_bm25_decontamination, op3_line_chunks, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op7_setsketch_duplicates, op8_projection_passes, op10_window_packing)
+    for f in (op1_language_families, op2_bm25_decontamination, op3_line_chunks, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op7_setsketch_duplicates, op8_projection_passes, op9_repeat_intervals, op10_window_packing)
 }
