@@ -41,7 +41,7 @@ from tidewell.session import scratch
 LEAST, GRAM = 200, 50
 SPAN = LEAST - GRAM + 1  # grams in a passage
 BEFORE, AFTER = LEAST - GRAM, LEAST
-GROUP, BUCKET = 5_000, 2_000
+GROUP, BUCKET = 50_000, 2_000
 _inverse = pow(int(T.BASE), -1, 1 << 64)
 _backward = np.ones(1, np.uint64)
 
@@ -103,7 +103,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def intervals(common: list[int], least: int) -> Iterator[tuple[int, int, int]]:
-    """Depth, first and last of all intervals of the common-prefix tree at least so deep.
+    """Depth, first and last of all intervals of the common-prefix tree at least so deep, inner ones first.
 
     ``common[i]`` is what entries i-1 and i of the sorted order share; the first is not used.
     """
@@ -118,30 +118,92 @@ def intervals(common: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
+class Suffixes:
+    """Enhanced suffix array of some byte strings: their order and the lengths neighbours share."""
+
+    def __init__(self, strings: list[bytes]):
+        self.strings = strings
+        self.order = sorted(range(len(strings)), key=strings.__getitem__)
+        self.rank = [0] * len(strings)
+        for k, m in enumerate(self.order):
+            self.rank[m] = k
+        longest = max(map(len, strings))
+        self.numbers = [int.from_bytes(x.ljust(longest, b"\0"), "big") for x in strings]
+        self.longest, self.lengths = longest, list(map(len, strings))
+
+    def common(self, members: list[int]) -> list[int]:
+        """What each of these, in their order, shares with the one before."""
+        out, numbers, lengths, longest = [0], self.numbers, self.lengths, self.longest
+        for a, b in zip(members, members[1:]):
+            same = longest - ((numbers[a] ^ numbers[b]).bit_length() + 7) // 8
+            out.append(min(same, lengths[a], lengths[b]))
+        return out
+
+
+def left_intervals(lefts: list[bytes], rights: list[bytes], least: int) -> Iterator[tuple[int, list[int], list[tuple[int, int, int]]]]:
+    """For each interval of the tree before the anchors, deepest first: its depth, its members in the
+    order of the text after the anchors, and the left-maximal intervals (length, first, last) there.
+    """
+    before, after = Suffixes(lefts), Suffixes(rights)
+    rank, at = after.rank, after.order
+    common = before.common(before.order)
+    for depth, first, last in intervals(common, 0):
+        branch, number = {}, 0
+        ranks = []
+        for k in range(first, last + 1):
+            number += k > first and common[k] == depth
+            r = rank[before.order[k]]
+            branch[r] = number
+            ranks.append(r)
+        ranks.sort()
+        members = [at[r] for r in ranks]
+        shared = after.common(members)
+        if max(shared) < least - depth:
+            continue
+        changes, n, old = [], -1, None  # how often the branch changed so far: an interval is diverse if it does inside
+        for r in ranks:
+            n += branch[r] != old
+            old = branch[r]
+            changes.append(n)
+        yield depth, members, [(length, a, b) for length, a, b in intervals(shared, least - depth) if changes[a] != changes[b]]
+
+
 def maximal_repeats(lefts: list[bytes], rights: list[bytes], least: int = LEAST) -> Iterator[tuple[int, int, list[int]]]:
     """Bytes before the anchor, bytes from its start on, and all members of each maximal repeat.
 
     ``lefts`` are the bytes before the anchors, reversed; ``rights`` those from the anchors on.
     """
-    n = len(lefts)
-    order = sorted(range(n), key=lefts.__getitem__)
-    common = [0] + [_common(lefts[order[i - 1]], lefts[order[i]]) for i in range(1, n)]
-    rank = {m: k for k, m in enumerate(sorted(range(n), key=rights.__getitem__))}
-    tree = list(intervals(common, 0))
-    for depth, first, last in tree:
-        members = order[first : last + 1]
-        branch, number = {}, 0
-        for k, m in enumerate(members):
-            number += k > 0 and common[first + k] == depth
-            branch[m] = number
-        members = sorted(members, key=rank.__getitem__)
-        shared = [0] + [_common(rights[members[i - 1]], rights[members[i]]) for i in range(1, len(members))]
-        changes = [0] * len(members)  # how often the branch changed so far: an interval is diverse if it does inside
-        for k in range(1, len(members)):
-            changes[k] = changes[k - 1] + (branch[members[k]] != branch[members[k - 1]])
-        for length, a, b in intervals(shared, least - depth):
-            if changes[a] != changes[b]:
-                yield depth, length, members[a : b + 1]
+    for depth, members, found in left_intervals(lefts, rights, least):
+        for length, a, b in found:
+            yield depth, length, members[a : b + 1]
+
+
+def reach(lefts: list[bytes], rights: list[bytes], least: int = LEAST) -> tuple[list[int], list[int]]:
+    """How far the maximal repeats of each member go before its anchor, and from its start on; -1 for none.
+
+    All of them hold the anchor, so together they cover one range. Inner intervals come first and
+    give their members their length; outer ones skip the members that have one.
+    """
+    low, high = [-1] * len(lefts), [-1] * len(lefts)
+    for depth, members, found in left_intervals(lefts, rights, least):
+        following = list(range(1, len(members) + 2))  # the next member without a length, by union of runs
+        taken = [False] * (len(members) + 1)
+        for length, a, b in found:
+            k = a
+            while k <= b:
+                if taken[k]:
+                    hop = following[k]
+                    while hop <= b and taken[hop]:
+                        hop = following[hop]
+                    following[k] = hop
+                    k = hop
+                    continue
+                taken[k] = True
+                m = members[k]
+                low[m] = max(low[m], depth)
+                high[m] = max(high[m], length)
+                k += 1
+    return low, high
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -200,13 +262,15 @@ def _search(contexts: DataFrame, buckets: int) -> DataFrame:
         h, ctx, before = (table.column(c).to_numpy() for c in ("h", "ctx", "before"))
         parts = table.column("bytes").to_pylist()
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]]).tolist()
-        out: set[tuple[int, int, int, int]] = set()
+        out: list[list[int]] = [[], [], [], []]
         for a, b in zip(bounds[:-1], bounds[1:]):
             lefts = [parts[i][: before[i]][::-1] for i in range(a, b)]
             rights = [parts[i][before[i] :] for i in range(a, b)]
-            for low, high, members in maximal_repeats(lefts, rights):
-                out.update((int(h[a]), int(ctx[a + m]), -low, high) for m in members)
-        return pa.Table.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out) if out else [[]] * 4, COVER_ARROW)], schema=COVER_ARROW)
+            for m, (low, high) in enumerate(zip(*reach(lefts, rights))):
+                if high >= 0:
+                    for column, value in zip(out, (h[a + m], ctx[a + m], -low, high)):
+                        column.append(value)
+        return pa.Table.from_arrays([pa.array(c, k.type) for c, k in zip(out, COVER_ARROW)], schema=COVER_ARROW)
 
     dealt = contexts.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     return dealt.select("h", "ctx", "before", "bytes", "bucket").groupBy("bucket").applyInArrow(run, COVER)
