@@ -54,6 +54,8 @@ def walks(df: DataFrame, n: int, seed: int) -> int:
 
 def permute(df: DataFrame, name: str, n: int, seed: int) -> DataFrame:
     """Column ``name``, the numbers 0 to n-1, permuted; every other column stays."""
+    if n < 2:
+        return df
     df = feistel(df, name, n, seed)
     for _ in range(walks(df, n, seed)):
         again = feistel(df.withColumn("_w", F.col(name)), "_w", n, seed)
