@@ -43,7 +43,7 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.withColumn("toxic", F.col("toxic_probability") >= 0.5)
+    return scored.withColumn("toxic", F.col("toxic_probability") >= toxicity.THRESHOLD)
 
 
 def op7_setsketch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ from tidewell.llm import text as T
 
 BITS = 18
 PREFIXES = (4, 5, 6)
+#: A text counts as toxic from this chance of any toxicity on.
+THRESHOLD = 0.3
 SEPARATORS = np.ones(256, bool)
 SEPARATORS[0x41:0x5B] = SEPARATORS[0x61:0x7B] = SEPARATORS[0x80:] = False
 
@@ -63,7 +65,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, width: int, steps: int = 400, penalty: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
+def ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, width: int, steps: int = 400, penalty: float = 5e-3) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds by gradient descent with momentum (Adam).
 
     Thresholds are a first one and logarithms of the steps above it, so they stay in order.
@@ -89,7 +91,7 @@ def ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, width: int
     return w, first + np.concatenate([[0], np.cumsum(gaps)])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int = 4096) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int = 8192) -> Model | None:
     """Fit on labelled documents; ``labels`` has doc_id and the ordered number ``toxic``."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     n = marked.count()
@@ -168,7 +170,7 @@ def score(docs: DataFrame, model: Model | None, extra: list[str] | None = None)
     return scored.select("doc_id", "severity", "grade", "toxic_probability", *[F.col(n).alias(c) for c, n in zip(extra, names)])
 
 
-def reject(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
+def reject(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, all columns, whose chance of any toxicity is below the threshold."""
     scored = score(docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_all")), model, ["_all"])
     return scored.filter(F.col("toxic_probability") < threshold).select("_all.*")
