@@ -16,7 +16,7 @@ item's last sentence, or its last third where no sentence ends.
 The index goes to the tasks in shards of ``shard_items`` items, one pass over the documents for
 each shard, so what is sent is bounded whatever the benchmark's size. Documents are never shuffled.
 
-Null or wordless texts and items match nothing. Items with the same text are all reported.
+Null or wordless texts and items, and items without an id, match nothing. Items with the same text are all reported.
 Repeated rows are reported each. Empty tables give no rows. ``decontaminate`` keeps all columns.
 """
 
@@ -175,7 +175,7 @@ MATCHES = "doc_id long, item_id long, score double, question_overlap double, ans
 
 def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
     """Indexes of so many items each; the next shard is read by item id when the last is done."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull())
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
     done = None
     while True:
         rest = items if done is None else items.filter(F.col("item_id") > done)
@@ -184,11 +184,9 @@ def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
             return
         if len(got) == shard_items:  # an id's items stay together
             got = items.filter((F.col("item_id") <= got[-1]["item_id"]) & (F.col("item_id") >= got[0]["item_id"])).collect()
-        done = max((r["item_id"] for r in got if r["item_id"] is not None), default=None)
+        done = got[-1]["item_id"] if len(got) < shard_items else max(r["item_id"] for r in got)
         if (index := build([(r["item_id"], r["text"]) for r in got])) is not None:
             yield index
-        if done is None:
-            return
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.75, shard_items: int = 20_000) -> DataFrame:
