@@ -11,10 +11,12 @@ Jaccard similarity, so runs of four registers are used as bands.
    drawn by a hash. A link to either joins the class to the bucket's component, so large groups
    need a number of comparisons in proportion to their size.
 3. Buckets that still hold several components are compared in blocks of 128 against 128, inside a
-   task, between components only. So no pair that shares a band is left out.
-4. Before any text is looked at, the likelihood of the similarity given both sketches and both
-   set sizes must have its maximum above ``ESTIMATE``, five standard errors below the threshold.
-5. The pairs left are verified on the full sets: 100 * intersection >= 75 * union.
+   task, between components only: first by sketches, then, for members that may link, on the full
+   sets. A task puts out no more links than join its components, so no pairs of a group travel,
+   and no pair that shares a band is left out.
+4. Before any set is fetched, the likelihood of the similarity given both sketches and both set
+   sizes must have its maximum above ``ESTIMATE``, five standard errors below the threshold.
+5. Links are verified on the full sets: 100 * intersection >= 75 * union.
 
 A pair at the threshold misses all 32 bands with a chance of about 5e-6. Null texts and texts
 without words have no set and link with nothing. Rows with the same id are one node; a null id
@@ -131,18 +133,25 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that link on their full sets."""
-    ids = _saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the documents with these ids, as written."""
+    ids = _saved(ids.distinct(), "set-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in T.blocks(*T.column(batch.column("text"))):
                 hashes, bounds = shingle_sets(data, offsets)
                 parts = [x.tobytes() for x in T.slices(hashes, bounds)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(parts)), pa.array(parts, pa.binary())], names=["doc_id", "shingles"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    return _saved(texts.mapInArrow(run, "doc_id long, shingles binary"), "sets")
+
+
+def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that link on their full sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -152,30 +161,82 @@ def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 kept.append(100 * both >= THRESHOLD * (len(x) + len(y) - both) and both > 0)
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    full = _saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").mapInArrow(sets, "doc_id long, shingles binary"), "pair-sets")
+    full = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs)
     left, right = (full.select(F.col("doc_id").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
 
 
+def _sides(group: pa.Table, key: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows to compare: all within a block, or all between two."""
+    block, low, high = group.column("block").to_numpy(), key[-2].as_py(), key[-1].as_py()
+    i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == low), np.flatnonzero(block == high), indexing="ij"))
+    component = group.column("component").to_numpy()
+    kept = (component[i] != component[j]) & ((i < j) | (low != high))
+    return i[kept], j[kept]
+
+
+def _promising(buckets: DataFrame) -> DataFrame:
+    """Members of the buckets that may link, by sizes and sketches, to one of another component.
+
+    A pair is looked at in the first band it shares only.
+    """
+    kinds = pa.schema([(c, k) for c, k in (("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("doc_id", pa.int64()), ("block", pa.int32()), ("component", pa.int64()))])
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        n = group.column("n").to_numpy().astype(float)
+        i, j = _sides(group, key)
+        fit = 100 * np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j])
+        i, j = i[fit], j[fit]
+        sketch, band = np.stack([np.frombuffer(v.as_py(), np.uint16) for v in group.column("sketch")]), group.column("band")[0].as_py()
+        seen = np.zeros(group.num_rows, bool)
+        for k in range(0, len(i), 4096):
+            a, b = i[k : k + 4096], j[k : k + 4096]
+            same = (sketch[a] == sketch[b]).reshape(len(a), -1, BAND).all(2)
+            first = same.argmax(1) == band
+            a, b = a[first], b[first]
+            if len(a):
+                likely = estimate(sketch[a], sketch[b], n[a], n[b]) >= ESTIMATE
+                seen[a[likely]] = seen[b[likely]] = True
+        return group.filter(pa.array(seen)).select(kinds.names).cast(kinds)
+
+    return buckets.groupBy("key", "low", "high").applyInArrow(run, "key long, low int, high int, doc_id long, block int, component long")
+
+
+def intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets: by one matrix product if it is small enough."""
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    if len(every) * len(sets) <= 1 << 24:
+        has = np.zeros((len(sets), len(every)), np.float32)
+        has[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), place] = 1
+        return (has @ has.T)[i, j].astype(np.int64)
+    return np.array([np.intersect1d(sets[a], sets[b], assume_unique=True).size for a, b in zip(i.tolist(), j.tolist())], np.int64)
+
+
 def _between(buckets: DataFrame) -> DataFrame:
-    """Likely pairs of different components in the same bucket, block against block."""
+    """Links on the full sets between components that meet in a block; no more than join them."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        n, component, ids = (group.column(c).to_numpy() for c in ("n", "component", "doc_id"))
-        sketch = np.stack([np.frombuffer(v.as_py(), np.uint16) for v in group.column("sketch")])
-        block = group.column("block").to_numpy()
-        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
-        i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
-        ok = (component[i] != component[j]) & (ids[i] < ids[j]) | (component[i] != component[j]) & (key[1].as_py() != key[2].as_py())
-        ok &= 100 * np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j])
-        i, j = i[ok], j[ok]
-        same = np.concatenate([(sketch[i[k : k + 4096]] == sketch[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)]) if len(i) else np.zeros(0, int)
-        near = same >= REGISTERS * (ESTIMATE - 0.1)
-        i, j = i[near], j[near]
+        ids, component = group.column("doc_id").to_numpy(), group.column("component").to_pylist()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("shingles").combine_chunks()]
+        i, j = _sides(group, key)
+        found: list[tuple[int, int]] = []
         if len(i):
-            likely = estimate(sketch[i], sketch[j], n[i].astype(float), n[j].astype(float)) >= ESTIMATE
-            i, j = i[likely], j[likely]
-        return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            n, both = np.array([len(x) for x in sets]), intersections(sets, i, j)
+            linked = 100 * both >= THRESHOLD * (n[i] + n[j] - both)
+            up = {c: c for c in component}
+
+            def top(c: int) -> int:
+                while up[c] != c:
+                    up[c] = up[up[c]]
+                    c = up[c]
+                return c
+
+            for a, b in zip(i[linked].tolist(), j[linked].tolist()):
+                x, y = top(component[a]), top(component[b])
+                if x != y:
+                    up[x] = y
+                    found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return buckets.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
@@ -188,7 +249,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = _saved(classes, "classes")
     width = 2 * BAND
     bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sketch", k * width + 1, F.lit(width))))
-    banded = classes.select("doc_id", F.explode(bands).alias("key"))
+    banded = classes.select("doc_id", F.posexplode(bands).alias("band", "key"))
     drawn = F.min_by("doc_id", F.xxhash64("doc_id"))
     heads = banded.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"), drawn.alias("drawn"))
     heads = heads.filter("head <> last").select("key", F.explode(F.array_distinct(F.array("head", "drawn"))).alias("head"))
@@ -204,10 +265,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocked = members.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
     # each block meets itself and every other block once
     partners = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")))
-    met = blocked.select("doc_id", "key", "block", "component", F.explode(partners).alias("_b")).select("doc_id", "key", "block", "component", "_b.low", "_b.high")
-    rest = _between(met.join(classes.select("doc_id", "n", "sketch"), "doc_id"))
-    rest = _saved(rest.join(tested, ["a", "b"], "left_anti"), "rest-pairs")
-    final = components(links.unionAll(_links(rest, docs))).withColumnRenamed("node", "doc_id")
+    columns = ["doc_id", "band", "key", "block", "component"]
+    met = blocked.select(*columns, F.explode(partners).alias("_b")).select(*columns, "_b.low", "_b.high")
+    promising = _saved(_promising(met.join(classes.select("doc_id", "n", "sketch"), "doc_id")), "promising")
+    more = _between(promising.join(_sets(promising.select("doc_id"), docs), "doc_id"))
+    final = components(links.unionAll(more)).withColumnRenamed("node", "doc_id")
 
     named = sketches.select("doc_id", "n", "s1", "s2").join(
         classes.join(final, "doc_id", "left").select("s1", "s2", "n", F.coalesce("component", "doc_id").alias("component")), ["s1", "s2", "n"], "left"
