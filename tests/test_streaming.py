@@ -1,4 +1,5 @@
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,11 @@ def drain(spark, place, **options):
     return query
 
 
+def batches(place):
+    """Numbers of the landed batches of one query."""
+    return sorted(int(d.name.split("=")[1]) for d in Path(place["out"]).glob("events/processing_date=*/run=*/batch_id=*"))
+
+
 def count(spark, place):
     query = start_event_counters(spark, place["in"], place["out"] + "-n", place["check"] + "-n", interval=None)
     query.awaitTermination()
@@ -58,15 +64,38 @@ def test_marks_compare_numbers_over_batches(spark, write_lines, place):
         write_lines("in", [envelope("message", name, channel=channel, ts=ts)], f"{name}.json")
         drain(spark, place)
     assert rows(read_marks(spark, place["out"]), "channel_id") == [("C1", "1000.25"), ("C2", "7"), ("C3", "8")]
-    assert {d for d in os.listdir(place["out"] + "/marks") if "SUCCESS" not in d} == {"slot=0", "slot=1"}
 
 
-def test_batches_are_numbered_without_gaps(spark, write_lines, place):
+def test_marks_held_stay_readable(spark, write_lines, place, monkeypatch):
+    monkeypatch.setattr(events, "KEPT_VERSIONS", 4)
+    held = []
+    for n in range(7):
+        write_lines("in", [envelope("message", f"e{n}", channel="C1", ts=str(n))], f"{n}.json")
+        drain(spark, place)
+        held.append(read_marks(spark, place["out"]))
+    assert [rows(h) for h in held[-3:]] == [[("C1", "4")], [("C1", "5")], [("C1", "6")]]
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|File does not"):
+        held[0].collect()  # gone for good is an error, not an empty answer
+    assert len([d for d in os.listdir(place["out"] + "/marks") if not d.startswith(".")]) <= 5
+
+
+def test_a_new_checkpoint_adds_to_the_sink(spark, write_lines, place):
+    for n in range(3):
+        write_lines("in", [envelope("message", f"e{n}", channel="C1", ts=str(97 + n))], f"{n}.json")
+        drain(spark, place)
+    again = {**place, "in": place["in"] + "2", "check": place["check"] + "2"}
+    write_lines("in2", [envelope("message", "late", channel="C1", ts="50"), envelope("message", "e0", channel="C1", ts="97")], "x.json")
+    drain(spark, again)
+    assert sorted(r["envelope_id"] for r in read_events(spark, place["out"]).collect()) == ["e0", "e1", "e2", "late"]
+    assert rows(read_marks(spark, place["out"])) == [("C1", "99")]
+
+
+def test_batches_land_once_each(spark, write_lines, place):
     for n in range(3):
         write_lines("in", [envelope("message", f"e{n}", channel="C1", ts=str(n))], f"{n}.json")
         drain(spark, place)
-    ids = sorted(int(d.split("=")[1]) for d in os.listdir(place["out"] + "/events") if d.startswith("batch_id="))
-    assert ids == list(range(len(ids)))
+    ids = batches(place)
+    assert len(ids) == 3 and ids == sorted(set(ids))
 
 
 def test_events_without_an_id_are_all_kept(spark, write_lines, place):
@@ -90,7 +119,7 @@ def test_batches_are_bounded(spark, write_lines, place):
     for n in range(4):
         write_lines("in", [envelope("message", f"e{n}", channel="C1", ts=str(n))], f"{n}.json")
     drain(spark, place, max_files=1)
-    assert len([d for d in os.listdir(place["out"] + "/events") if d.startswith("batch_id=")]) >= 4
+    assert len(batches(place)) >= 4
     assert read_events(spark, place["out"]).count() == 4
 
 

@@ -8,12 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..model.specs import CHAT
 from ..operators.events import MESSAGE_EVENT, classify_events, drop_handshake, event_kind
-from ..operators.incremental import high_water_marks
+from ..operators.incremental import high_water_marks, latest_per_key
 from ..sources.events import stream_envelopes
 
 EVENTS = CHAT["realtime_events"]
-MARKS_SCHEMA = "channel_id string, mark string, batch_id long"
-COUNTS_SCHEMA = "event_type string, events long, batch_id long"
+MARKS_SCHEMA = "channel_id string, mark string"
+COUNTS_SCHEMA = "event_type string, events long"
+#: How many versions of totals stay readable after they were replaced.
+KEPT_VERSIONS = 32
 
 
 def drop_repeats(events: DataFrame, horizon: str | None) -> DataFrame:
@@ -49,7 +51,7 @@ def start_event_stream(
     *,
     load_date: Column | None = None,
     interval: str | None = "10 seconds",
-    max_files: int | None = None,
+    max_files: int | None = 1000,
     max_bytes: str | None = None,
     horizon: str | None = "1 day",
 ) -> StreamingQuery:
@@ -62,25 +64,25 @@ def start_event_stream(
     no interval the query drains what is there and ends. Stopping the query and starting it
     again on the same ``checkpoint`` is pause and resume.
 
-    Batch ``n`` is written as the folder ``events/batch_id=n``, by day, replacing what an
-    earlier attempt at it left, and then the marks of all channels so far.
+    A batch is written as ``events/processing_date=<day>/run=<query>/batch_id=<n>``, replacing
+    what an earlier attempt at it left, and then the marks of all channels so far. The query's
+    id lives in its checkpoint, so a new checkpoint on the same sink adds to it.
     """
     day = load_date if load_date is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
     envelopes = _envelopes(spark, source, max_files=max_files, max_bytes=max_bytes)
     events = drop_repeats(classify_events(envelopes, day), horizon)
 
-    _open_slots(spark, f"{sink}/marks", MARKS_SCHEMA)
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{sink}/events/batch_id={batch_id}"
-        rows = batch.hint("rebalance", "channel_id", "message_ts").sortWithinPartitions("channel_id")
-        _overwrite(rows, folder, "processing_date")
-        landed = batch.sparkSession.read.schema(EVENTS.struct()).parquet(folder)
+        own = _run(batch.sparkSession), batch_id
+        rows = batch.hint("rebalance", "channel_id", "message_ts").withColumns({"run": F.lit(own[0]), "batch_id": F.lit(batch_id)})
+        rows = rows.sortWithinPartitions("processing_date", "channel_id")
+        _overwrite(rows, f"{sink}/events", "processing_date", "run", "batch_id")
+        landed = _landed(spark, sink).where((F.col("run") == own[0]) & (F.col("batch_id") == batch_id))
         messages = landed.where((F.col("event_type") == MESSAGE_EVENT) & (F.col("channel_id") != ""))
         marks = high_water_marks(messages, "channel_id", "message_ts")
-        before, slot = _before(spark, f"{sink}/marks", MARKS_SCHEMA, batch_id)
+        before = _totals(spark, f"{sink}/marks", MARKS_SCHEMA, but=own)
         merged = high_water_marks(marks.unionByName(before), "channel_id", "mark")
-        _write_slot(merged, f"{sink}/marks", slot, batch_id)
+        _write_version(merged, f"{sink}/marks", own)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -97,7 +99,7 @@ def start_event_counters(
     checkpoint: str,
     *,
     interval: str | None = "10 seconds",
-    max_files: int | None = None,
+    max_files: int | None = 1000,
     max_bytes: str | None = None,
 ) -> StreamingQuery:
     """Running number of events by type, unknown types included, greetings not.
@@ -107,11 +109,8 @@ def start_event_counters(
     envelopes = drop_handshake(_envelopes(spark, source, max_files=max_files, max_bytes=max_bytes))
     totals = envelopes.groupBy(event_kind().alias("event_type")).agg(F.count(F.lit(1)).alias("events"))
 
-    _open_slots(spark, sink, COUNTS_SCHEMA)
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        _, slot = _before(spark, sink, COUNTS_SCHEMA, batch_id)
-        _write_slot(batch, sink, slot, batch_id)
+        _write_version(batch, sink, (_run(batch.sparkSession), batch_id))
 
     return (
         totals.writeStream.outputMode("complete")
@@ -122,54 +121,71 @@ def start_event_counters(
     )
 
 
+def _run(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch this thread writes."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _overwrite(rows: DataFrame, folder: str, *by: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(folder)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
+
+
+def _landed(spark: SparkSession, sink: str) -> DataFrame:
+    schema = EVENTS.struct().add("run", "string").add("batch_id", "long")
+    return spark.read.schema(schema).parquet(f"{sink}/events")
 
 
 def read_events(spark: SparkSession, sink: str) -> DataFrame:
-    """All landed live events, in the shape of the live events table."""
-    return spark.read.schema(EVENTS.struct()).parquet(f"{sink}/events").select(EVENTS.names)
+    """All landed live events, one row per envelope, in the shape of the live events table.
+
+    The stream drops redeliveries within its horizon; later ones are dropped here.
+    """
+    return latest_per_key(_landed(spark, sink).select(EVENTS.names), ["envelope_id"], [])
 
 
 def read_marks(spark: SparkSession, sink: str) -> DataFrame:
     """Highest message time per channel over all batches."""
-    return _newest(spark, f"{sink}/marks", MARKS_SCHEMA)
+    return _totals(spark, f"{sink}/marks", MARKS_SCHEMA)
 
 
 def read_counters(spark: SparkSession, sink: str) -> DataFrame:
     """The totals as of the newest batch."""
-    return _newest(spark, sink, COUNTS_SCHEMA)
-
-
-# Totals are kept in two folders that batches write in turn: while one is replaced the other
-# holds the totals before it, and their number does not grow with the age of the stream.
-
-
-def _slots(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, slot int").option("ignoreMissingFiles", "true").parquet(folder)
+    return _totals(spark, sink, COUNTS_SCHEMA)
 
 
-def _open_slots(spark: SparkSession, folder: str, schema: str) -> None:
-    spark.createDataFrame([], f"{schema}, slot int").write.mode("ignore").partitionBy("slot").parquet(folder)
+# Totals are kept as numbered versions, a folder each, named by the batch that wrote it. A frame
+# reads one version; it stays until 32 newer ones are there, and reading it later is an error.
 
 
-def _before(spark: SparkSession, folder: str, schema: str, batch_id: int) -> tuple[DataFrame, int]:
-    """The totals of the batch before, and the folder that does not hold them."""
-    earlier = _slots(spark, folder, schema).where(F.col("batch_id") < batch_id)
-    last = earlier.orderBy(F.col("batch_id").desc()).select("batch_id", "slot").first()
-    held = (F.col("slot") == last["slot"]) & (F.col("batch_id") == last["batch_id"]) if last else F.lit(False)
-    return earlier.where(held).drop("batch_id", "slot"), 1 - last["slot"] if last else 0
+def _versions(spark: SparkSession, folder: str) -> list[tuple[int, str, int, str]]:
+    """Number, run, batch and path of the versions that are complete, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = []
+    for status in files.listStatus(path):
+        at = status.getPath()
+        parts = at.getName().split(".")
+        if len(parts) == 3 and files.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+            found.append((int(parts[0]), parts[1], int(parts[2]), at.toString()))
+    return sorted(found)
 
 
-def _write_slot(totals: DataFrame, folder: str, slot: int, batch_id: int) -> None:
-    numbered = totals.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _overwrite(numbered.hint("rebalance"), f"{folder}/slot={slot}")
+def _totals(spark: SparkSession, folder: str, schema: str, but: tuple[str, int] | None = None) -> DataFrame:
+    """The newest version, but not that of the batch ``but``, which is being repeated."""
+    held = [v for v in _versions(spark, folder) if v[1:3] != but]
+    return spark.read.schema(schema).parquet(held[-1][3]) if held else spark.createDataFrame([], schema)
 
 
-def _newest(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    totals = _slots(spark, folder, schema)
-    newest = totals.agg(F.max("batch_id")).first()[0]
-    return totals.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+def _write_version(totals: DataFrame, folder: str, own: tuple[str, int]) -> None:
+    spark = totals.sparkSession
+    held = _versions(spark, folder)
+    number = held[-1][0] + 1 if held else 0
+    totals.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{number:012d}.{own[0]}.{own[1]}")
+    for _, _, _, old in held[:-KEPT_VERSIONS]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def counter_totals(counters: DataFrame) -> DataFrame:
@@ -182,6 +198,5 @@ def counter_totals(counters: DataFrame) -> DataFrame:
 
 
 def count_flushes(spark: SparkSession, sink: str) -> int:
-    """Number of batches that landed events."""
-    batches = spark.read.schema(EVENTS.struct().add("batch_id", "long")).parquet(f"{sink}/events")
-    return batches.agg(F.count_distinct("batch_id")).first()[0]
+    """Number of batches that landed events; reads folder names only."""
+    return _landed(spark, sink).select("run", "batch_id").distinct().count()
