@@ -357,7 +357,7 @@ def incremental_modified(spark, sf_dir):
         F.when(F.col("dealstage") == "F", F.col("closedate")).alias("_updated_at"),
         F.when(F.col("dealstage") != "P", F.col("createdate")).alias("_created_at"),
     )
-    return inc.modified_since(rows, MARKETING["deals"].modified, "1998-06-30")
+    return inc.modified_since(rows, ("_updated_at", "_created_at"), "1998-06-30")
 
 
 def _order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -543,7 +543,7 @@ def bronze_snapshot(spark, sf_dir):
             F.when(F.col("o_orderstatus") == state, f"changed {day}").otherwise("as before").alias("Name"),
             F.col("o_totalprice").alias("Amount"),
             F.when(F.col("o_orderstatus") == state, f"2024-01-0{day + 1}").otherwise("2024-01-01").alias("CreatedDate"),
-        )
+        ).withColumn("LastModifiedDate", F.col("CreatedDate"))
         a.write_pages(deal, "records", f"{root}/in/{day}")
         ingest.ingest_entity(lake, "sales", "Opportunity", f"{root}/in/{day}", date(2024, 2, day))
         if day == 2:
@@ -611,6 +611,81 @@ def ingest_two_loads(spark, sf_dir):
     return lake.bronze("sales", "Account").select("Id", "Name", "AnnualRevenue", "LastModifiedDate")
 
 
+def _deal_pages(rows: DataFrame, stage, modified: str, folder: str) -> str:
+    records = rows.withColumns(
+        {"StageName": stage, "CreatedDate": F.lit("2023-01-01"), "LastModifiedDate": F.lit(modified)}
+    )
+    a.write_pages(records, "records", folder)
+    return folder
+
+
+@proof
+def ingest_changed_undated(spark, sf_dir):
+    """Deals whose stage changes in a second load; the table declares no modification time."""
+    root = scratch(spark, "changed")
+    lake, deals = ingest.Lake(spark, root), a.opportunities(spark, sf_dir)
+    moved = deals.where("CAST(Id AS BIGINT) % 3 = 0")
+    first = _deal_pages(deals, F.col("StageName"), "2024-01-01", f"{root}/in/1")
+    second = _deal_pages(moved, F.lit("Closed Won"), "2024-01-02", f"{root}/in/2")
+    _deal_pages(deals.where("CAST(Id AS BIGINT) % 3 = 1"), F.lit("Stale"), "2023-12-31", f"{root}/in/2b")
+    ingest.run_family(lake, "sales", {"Opportunity": first}, date(2024, 1, 1))
+    ingest.run_family(lake, "sales", {"Opportunity": [second, f"{root}/in/2b"]}, date(2024, 1, 2))
+    return _rounded(marts.opportunity_stage_rollup(lake.bronze("sales", "Opportunity")))
+
+
+@proof
+def ingest_after_reset(spark, sf_dir):
+    """Deals loaded, forgotten, and loaded again from an export that holds half of them."""
+    root = scratch(spark, "reset")
+    lake, deals = ingest.Lake(spark, root), a.opportunities(spark, sf_dir)
+    half = deals.where("CAST(Id AS BIGINT) % 2 = 0")
+    first = _deal_pages(deals, F.col("StageName"), "2024-01-05", f"{root}/in/1")
+    second = _deal_pages(half, F.lit("Again"), "2024-01-01", f"{root}/in/2")
+    ingest.run_family(lake, "sales", {"Opportunity": first}, date(2024, 1, 1))
+    ingest.reset(lake, "sales")
+    ingest.run_family(lake, "sales", {"Opportunity": second}, date(2024, 1, 1))
+    return lake.bronze("sales", "Opportunity").select("Id", "StageName", "Amount", "Probability")
+
+
+@proof
+def custom_object_two_sessions(spark, sf_dir):
+    """An undeclared object whose whole numbers become fractions in a load of another session."""
+    root = scratch(spark, "custom-sessions")
+    parts = a.load(spark, sf_dir, "part")
+    old = parts.select(F.col("p_partkey").cast("string").alias("Id"), F.col("p_size").alias("Size"), F.col("p_type").alias("Kind"))
+    new = parts.where("p_partkey % 2 = 0").select(
+        F.col("p_partkey").cast("string").alias("Id"), (F.col("p_size") + F.lit(0.5)).alias("Size"), F.col("p_brand").alias("Brand")
+    )
+    for k, records in enumerate((old, new)):
+        a.write_pages(records, "records", f"{root}/in/{k}")
+        ingest.ingest_custom(ingest.Lake(spark, root), "Part__c", f"{root}/in/{k}", date(2024, 1, 1 + k))
+    return ingest.Lake(spark, root).bronze("sales", "Part__c").select("Id", "Size", "Kind", "Brand")
+
+
+@proof
+def chat_late_replies(spark, sf_dir):
+    """A thread whose replies arrive in two later loads that bring no message."""
+    root = scratch(spark, "late")
+    lake = ingest.Lake(spark, root)
+    talk = a.load(spark, sf_dir, "conversations").select(
+        F.lit("C1").alias("channel_id"),
+        F.concat(F.col("conv_id").cast("string"), F.lit("."), F.lpad(F.col("turn").cast("string"), 6, "0")).alias("ts"),
+        F.concat(F.col("conv_id").cast("string"), F.lit(".000000")).alias("thread_ts"),
+        F.col("role").alias("user"), "text", "turn", F.when(F.col("turn") == 0, "2").alias("reply_count"),
+    )
+
+    def pages(rows: DataFrame, folder: str) -> str:
+        page = F.to_json(F.struct(F.array(F.struct("ts", "thread_ts", "user", "text", "reply_count")).alias("messages")))
+        rows.select("channel_id", page.alias("value")).write.partitionBy("channel_id").text(f"{root}/in/{folder}")
+        return f"{root}/in/{folder}"
+
+    parents = pages(talk.where("turn = 0"), "parents")
+    for k, until in enumerate((0, 2, 1_000_000)):
+        replies = pages(talk.where(F.col("turn") <= until), f"replies{k}")
+        ingest.backfill_chat(lake, date(2024, 2, 1 + k), messages=parents, replies=replies)
+    return lake.bronze("chat", "messages").select("message_ts", "thread_ts", "user_id", "text", "reply_count", "processing_date")
+
+
 @proof
 def chat_backfill(spark, sf_dir):
     """Chat history in two loads that overlap, with thread replies, read as bronze."""
@@ -620,7 +695,7 @@ def chat_backfill(spark, sf_dir):
         a.channel_of().alias("channel_id"), a.seconds_text().alias("ts"), F.col("user_id").cast("string").alias("user"),
         F.col("props").alias("text"), "event_type", F.col("ts").alias("at"),
     )
-    history = raw.where("event_type <> 'error'").withColumn("reply_count", F.when(F.col("event_type") == "view", 1))
+    history = raw.withColumn("reply_count", F.when(F.col("event_type") == "view", 1))
     history = history.withColumn("thread_ts", F.when(F.col("event_type") == "view", F.col("ts")))
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
 
@@ -665,6 +740,16 @@ def stream_event_landing(spark, sf_dir):
     return live.read_events(spark, _live_run(spark, sf_dir, _events_stream))
 
 
+@proof
+def stream_new_checkpoint(spark, sf_dir):
+    """All events landed, then again by a query with a new checkpoint on the same sink."""
+    root = scratch(spark, "new-checkpoint")
+    a.write_texts(a.envelopes_json(spark, sf_dir), f"{root}/in")
+    for checkpoint in ("first", "second"):
+        _events_stream(spark, f"{root}/in", f"{root}/out", f"{root}/{checkpoint}", interval=None).awaitTermination()
+    return live.read_events(spark, f"{root}/out")
+
+
 @proof
 def stream_high_water_marks(spark, sf_dir):
     return live.read_marks(spark, _live_run(spark, sf_dir, _events_stream))

@@ -30,6 +30,13 @@ _STAGES = """
            ROUND(AVG(o_totalprice), 4) AS avg_amount,
            ROUND(AVG((o_orderkey % 8) * 10 + 10), 4) AS avg_probability
     FROM orders GROUP BY 1"""
+_CHANGED_STAGES = """
+    SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'Closed Won' ELSE o_orderpriority END AS "StageName",
+           COUNT(*) AS deal_count,
+           ROUND(SUM(o_totalprice), 2) AS total_amount,
+           ROUND(AVG(o_totalprice), 4) AS avg_amount,
+           ROUND(AVG((o_orderkey % 8) * 10 + 10), 4) AS avg_probability
+    FROM orders GROUP BY 1"""
 
 _CLASSIFIED = f"""
     SELECT CASE event_type WHEN 'view' THEN 'message' WHEN 'click' THEN 'reaction_added'
@@ -143,6 +150,22 @@ ORACLE = {
         FROM conversations WHERE role = 'user'""",
     "event_classification": _CLASSIFIED,
     "stream_event_landing": _CLASSIFIED,
+    "stream_new_checkpoint": _CLASSIFIED,
+    "ingest_changed_undated": _CHANGED_STAGES,
+    "ingest_after_reset": """
+        SELECT o_orderkey::VARCHAR AS "Id", 'Again' AS "StageName", o_totalprice AS "Amount",
+               CAST((o_orderkey % 8) * 10 + 10 AS INTEGER) AS "Probability"
+        FROM orders WHERE o_orderkey % 2 = 0""",
+    "custom_object_two_sessions": """
+        SELECT p_partkey::VARCHAR AS "Id", CASE WHEN p_partkey % 2 = 0 THEN p_size + 0.5 ELSE p_size END::DOUBLE AS "Size",
+               CASE WHEN p_partkey % 2 = 1 THEN p_type END AS "Kind", CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS "Brand"
+        FROM part""",
+    "chat_late_replies": """
+        SELECT conv_id::VARCHAR || '.' || lpad(turn::VARCHAR, 6, '0') AS message_ts, conv_id::VARCHAR || '.000000' AS thread_ts,
+               role AS user_id, text, CAST(CASE WHEN turn = 0 THEN 2 ELSE 0 END AS INTEGER) AS reply_count,
+               CASE WHEN turn = 0 THEN '2024-02-01' WHEN turn <= 2 THEN '2024-02-02' ELSE '2024-02-03' END AS processing_date
+        FROM conversations c
+        WHERE turn = 0 OR conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0)""",
     "live_feed": f"""
         SELECT event_type, channel_id, user_id, text, message_ts, event_time, processing_date FROM ({_CLASSIFIED})""",
     "stream_high_water_marks": f"""
@@ -314,7 +337,7 @@ ORACLE = {
                    CASE WHEN event_type = 'view' THEN {_TS} ELSE '' END AS thread_ts,
                    CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS reply_count,
                    CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2024-02-01' ELSE '2024-02-02' END AS processing_date
-            FROM events WHERE event_type <> 'error')
+            FROM events)
         SELECT channel_id, message_ts, user_id, text, thread_ts, reply_count, processing_date FROM m
         UNION ALL
         SELECT channel_id, message_ts || '5', user_id, 'reply', thread_ts, 0, processing_date FROM m WHERE reply_count = 1""",

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ def test_epoch_key_orders_as_number_and_returns_the_text(spark):
     assert all(a == b for a, b in got)
     order = [r["t"] for r in frame.orderBy(epoch_key(F.col("t"))).collect()]
     assert order == ["0", "0.0", "0.000000001", "5", "999.5", "1000.25", "1000.250", "1700000000.123456"]
-    bad = spark.createDataFrame([("",), ("abc",), (None,), ("-1.5",)], "t string")
-    assert {r[0] for r in bad.select(epoch_key(F.col("t"))).collect()} == {None}
+    bad = spark.createDataFrame([("",), ("abc",), (None,), ("-1.5",), (" 5",), ("1.0000000001",), ("9" * 19,), ("1e3",)], "t string")
+    assert {v for r in bad.select(epoch_key(F.col("t")), epoch(F.col("t"))).collect() for v in r} == {None}
+    longest = spark.createDataFrame([("9" * 18 + "." + "9" * 9,)], "t string")
+    assert longest.select(epoch_text(epoch_key(F.col("t")))).first()[0] == "9" * 18 + "." + "9" * 9
 
 
 def test_marks_compare_numbers(spark):
@@ -26,11 +30,11 @@ def test_marks_compare_numbers(spark):
 
 def test_newer_than_mark(spark):
     frame = spark.createDataFrame(
-        [("a", "999.5"), ("a", "1000.25"), ("a", "1000.3"), ("new", "1"), (None, "2")], "k string, ts string"
+        [("a", "999.5"), ("a", "1000.25"), ("a", "1000.3"), ("a", "soon"), ("new", "1"), (None, "2")], "k string, ts string"
     )
     marks = spark.createDataFrame([("a", "1000.25"), ("gone", "5")], "k string, mark string")
     got = newer_than(frame, marks, "k", epoch(F.col("ts")), epoch(F.col("mark")))
-    assert sorted(r["ts"] for r in got.collect()) == ["1", "1000.3", "2"]
+    assert sorted(r["ts"] for r in got.collect()) == ["1", "1000.3", "2", "soon"]
     assert sorted(got.columns) == ["k", "ts"]
 
 
@@ -51,6 +55,7 @@ def test_latest_per_key(spark):
     assert sorted(r["t"] for r in got.collect()) == ["e1", "e2", "n1", "n1", "new", "only", "y"]
     compound = latest_per_key(frame.withColumn("m", F.create_map("t", "v")), ["k", "t"], ["v"])
     assert compound.count() == 10
+    assert plan(latest_per_key(frame, ["k"], ["v"])).count("Scan ExistingRDD") == 1  # the input is read once
 
 
 def test_latest_per_key_shrinks_before_the_shuffle(spark):
@@ -75,13 +80,12 @@ def test_modified_since_falls_back_to_created(spark, inclusive, want):
 def test_state_log(spark, tmp_path):
     state = IngestState(spark, str(tmp_path / "state"))
     assert state.load("chat", "x") is None
-    assert state.high_water_mark("chat", "x") is None
     state.save("chat", "x", {"completed": False, "last_timestamp": "1"})
     state.save("chat", "x", {"completed": True, "last_timestamp": "2"})
     state.save("chat", "y", {"n": 1})
     state.save("sales", "x", {"n": 2})
     assert state.load("chat", "x") == {"completed": True, "last_timestamp": "2"}
-    assert state.high_water_mark("chat", "x") == "2"
+    assert state.load_some("chat", "x", "none") == {"x": {"completed": True, "last_timestamp": "2"}}
     assert rows(state.current("chat").select("resource", "completed"), "resource") == [("x", True), ("y", False)]
     state.clear("chat", "x")
     assert state.load("chat", "x") is None and state.current().count() == 2
@@ -102,8 +106,15 @@ def test_run_log(spark, tmp_path):
     assert runs.get("chat") == "stopped"
     runs.set("chat", "running", "live", {"by": "test"})
     runs.set("chat", "paused")
-    assert runs.is_running("chat", "live") and runs.is_paused("chat") and not runs.is_running("chat")
+    assert (runs.get("chat", "live"), runs.get("chat")) == ("running", "paused")
     runs.set("chat", "completed")
     assert rows(runs.all().select("mode", "state"), "mode") == [("batch", "completed"), ("live", "running")]
     with pytest.raises(ValueError):
         runs.set("chat", "sleeping")
+
+
+def test_saves_at_the_same_time_are_all_kept(spark, tmp_path):
+    state = IngestState(spark, str(tmp_path / "state"))
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda n: state.save("chat", f"r{n}", {"n": n}), range(16)))
+    assert state.current("chat").count() == 16

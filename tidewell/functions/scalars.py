@@ -12,19 +12,25 @@ from pyspark.sql import types as T
 EPOCH_TYPE = T.DecimalType(28, 9)
 # The same, and two more digits for the number of fraction digits in the text.
 _KEY_TYPE = T.DecimalType(30, 11)
+_EPOCH = "^[0-9]{1,18}([.][0-9]{0,9})?$"
+
+
+def _is_epoch(text: Column) -> Column:
+    """Up to 18 digits, and up to nine more after a point: the one rule of what is a time."""
+    return text.rlike(_EPOCH)
 
 
 def epoch(text: Column) -> Column:
-    """Epoch-second text as a number, so that ``"999.5" < "1000.25"``."""
-    return text.try_cast(EPOCH_TYPE)
+    """Epoch-second text as a number, so that ``"999.5" < "1000.25"``; null for anything else."""
+    return F.when(_is_epoch(text), text.try_cast(EPOCH_TYPE))
 
 
 def epoch_key(text: Column) -> Column:
     """One number that orders like :func:`epoch` and still tells the text it came from.
 
     Nine fraction digits, then the number of them the text had. Aggregates over it run as
-    hash aggregates; over the text or a struct they would sort. Text that does not start
-    with a digit, or is no number, gives null.
+    hash aggregates; over the text or a struct they would sort. What :func:`epoch` does not
+    take gives null.
     """
     dot = F.instr(text, ".")
     dotted = F.when(dot > 0, text).otherwise(F.concat(text, F.lit(".")))
@@ -32,8 +38,7 @@ def epoch_key(text: Column) -> Column:
     point = F.instr(dotted, ".")
     digits = F.length(dotted) - point
     padded = F.concat(F.rpad(dotted, point + places, "0"), F.lit("0"), digits.cast("string"))
-    starts_with_digit = (text >= "0") & (text < ":")
-    return F.when((digits <= places) & starts_with_digit, padded.try_cast(_KEY_TYPE))
+    return F.when(_is_epoch(text), padded.try_cast(_KEY_TYPE))
 
 
 def epoch_text(key: Column) -> Column:

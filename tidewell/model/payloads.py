@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from .specs import MARKETING, SALES, TEXT, TableSpec
 
 _S = T.StringType()
-_L = T.LongType()
 _V = T.VariantType()
 
 
@@ -19,18 +18,18 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-REACTIONS = T.ArrayType(_struct(name=_S, users=T.ArrayType(_S), count=_L))
-FILES = T.ArrayType(_struct(id=_S, name=_S, mimetype=_S, size=_L, url_private=_S, created=_L))
-STAGES = T.ArrayType(_struct(id=_S, label=_S, displayOrder=_L))
+REACTIONS = T.ArrayType(_struct(name=_S, users=T.ArrayType(_S), count=_V))
+FILES = T.ArrayType(_struct(id=_S, name=_S, mimetype=_S, size=_V, url_private=_S, created=_V))
+STAGES = T.ArrayType(_struct(id=_S, label=_S, displayOrder=_V))
 TEAMS = T.ArrayType(_struct(id=_S, name=_S))
 
 MESSAGE = _struct(
     type=_S, subtype=_S, ts=_S, user=_S, text=_S, channel=_S, team=_S, thread_ts=_S,
-    reply_count=_L, reply_users_count=_L, latest_reply=_S, reactions=REACTIONS, files=FILES,
+    reply_count=_V, reply_users_count=_V, latest_reply=_S, reactions=REACTIONS, files=FILES,
 )
 USER = _struct(
     id=_S, team_id=_S, name=_S, real_name=_S, profile=_struct(email=_S, title=_S),
-    is_admin=_V, is_bot=_V, deleted=_V, tz=_S, updated=_L,
+    is_admin=_V, is_bot=_V, deleted=_V, tz=_S, updated=_V,
 )
 CHANNEL = _struct(
     id=_S, name=_S, is_channel=_V, is_private=_V, is_archived=_V, created=_V, creator=_S,
@@ -60,7 +59,8 @@ def _raw_field(name: str, kind: str) -> T.StructField:
 
 
 def sales_record(spec: TableSpec) -> T.StructType:
-    return T.StructType([_raw_field(name, kind) for name, kind in spec.columns])
+    undeclared = [(name, TEXT) for name in spec.modified if name not in spec.names]
+    return T.StructType([_raw_field(name, kind) for name, kind in [*spec.columns, *undeclared]])
 
 
 def marketing_record(spec: TableSpec) -> T.StructType:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -40,8 +40,10 @@ GENERIC_TYPES = {
 class TableSpec:
     """One declared bronze table.
 
-    ``modified`` lists the columns that carry the modification time, best first;
-    incremental loads use the first one that is filled.
+    ``modified`` names the fields of the raw record that carry its modification time, best first,
+    whether or not the table declares them; incremental loads use the first one that is filled.
+    Rows are told apart by ``key`` and ``more_keys``. A table that is landed ``as_text`` is typed
+    when it is read, so its types can widen from load to load.
     """
 
     family: str
@@ -49,6 +51,12 @@ class TableSpec:
     columns: tuple[tuple[str, str], ...]
     key: str
     modified: tuple[str, ...] = ()
+    more_keys: tuple[str, ...] = ()
+    as_text: bool = False
+
+    @property
+    def keys(self) -> list[str]:
+        return [self.key, *self.more_keys]
 
     @property
     def table(self) -> str:
@@ -70,7 +78,7 @@ def _spec(family: str, entity: str, columns: str, modified: tuple[str, ...]) ->
 # The declared columns of every table. A column without a kind is text;
 # the first column is the key.
 SALES_COLUMNS = {
-    "Account": """Id Name Industry AnnualRevenue:double NumberOfEmployees:int BillingCity
+    "Account": """Id Name Industry AnnualRevenue:double NumberOfEmployees:long BillingCity
         BillingState BillingCountry Phone Website Type CreatedDate LastModifiedDate""",
     "Contact": """Id FirstName LastName Email Phone Title Department AccountId MailingCity
         MailingState LeadSource CreatedDate LastModifiedDate""",
@@ -89,9 +97,9 @@ SALES_COLUMNS = {
     "Contract": """Id AccountId Status StartDate EndDate ContractTerm:int OwnerExpirationNotice
         ContractNumber Description CreatedDate""",
     "Asset": """Id Name AccountId ContactId Product2Id SerialNumber Status InstallDate
-        PurchaseDate Quantity:int Price:double CreatedDate""",
+        PurchaseDate Quantity:long Price:double CreatedDate""",
     "Campaign": """Id Name Type Status StartDate EndDate BudgetedCost:double ActualCost:double
-        ExpectedRevenue:double NumberSent:int NumberOfLeads:int NumberOfContacts:int CreatedDate""",
+        ExpectedRevenue:double NumberSent:long NumberOfLeads:long NumberOfContacts:long CreatedDate""",
     "Event": """Id Subject StartDateTime EndDateTime Location WhoId WhatId Description
         IsAllDayEvent:flag OwnerId CreatedDate""",
 }
@@ -111,7 +119,7 @@ MARKETING_COLUMNS = {
     "engagements": """id hs_engagement_type hs_engagement_source hs_timestamp hs_body_preview
         hs_engagement_source_id createdate lastmodifieddate hs_object_id _created_at _updated_at""",
     "pipelines": "id label displayOrder:int stages _created_at _updated_at",
-    "owners": "id email firstName lastName userId:int teams _created_at _updated_at",
+    "owners": "id email firstName lastName userId:long teams _created_at _updated_at",
 }
 
 CHAT_COLUMNS = {
@@ -124,17 +132,17 @@ CHAT_COLUMNS = {
 }
 
 
-def _family(family: str, tables: dict[str, str], modified) -> dict[str, TableSpec]:
+def _family(family: str, tables: dict[str, str], modified: tuple[str, ...]) -> dict[str, TableSpec]:
     specs = {}
     for entity, columns in tables.items():
-        names = {c.partition(":")[0] for c in columns.split()}
-        specs[entity] = _spec(family, entity, columns, tuple(m for m in modified if m in names))
+        specs[entity] = _spec(family, entity, columns, modified)
     return specs
 
 
-SALES = _family("sales", SALES_COLUMNS, ("LastModifiedDate", "CreatedDate"))
-MARKETING = _family("marketing", MARKETING_COLUMNS, ("_updated_at", "_created_at"))
+SALES = _family("sales", SALES_COLUMNS, ("LastModifiedDate",))
+MARKETING = _family("marketing", MARKETING_COLUMNS, ("_updated_at",))
 CHAT = _family("chat", CHAT_COLUMNS, ("message_ts",))
+CHAT["messages"] = replace(CHAT["messages"], more_keys=("message_ts",))
 FAMILIES = {"sales": SALES, "marketing": MARKETING, "chat": CHAT}
 
 

@@ -32,7 +32,8 @@ def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> Data
 
     Versions compare left to right, null lowest; equal versions are settled by the other
     columns, so a rerun gives the same rows. Rows whose key is null or empty cannot be
-    matched with others; all of them are kept, without a shuffle.
+    matched with others; all of them are kept: each is a group of its own, so the input is
+    read once and they spread over all tasks.
 
     Spark keeps one row per key on the map side before the shuffle, so a key that holds a
     large share of all rows sends one row per task.
@@ -42,10 +43,12 @@ def latest_per_key(rows: DataFrame, keys: list[str], version: list[str]) -> Data
         if f.name not in keys and f.name not in version and not isinstance(f.dataType, _UNORDERED)
     ]
     keyless = _keyless(rows, keys)
-    keyed = rows if keyless is None else rows.where(~keyless)
-    window = W.partitionBy(*keys).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in [*version, *rest]])
-    newest = keyed.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
-    return newest if keyless is None else newest.unionByName(rows.where(keyless))
+    groups = keys
+    if keyless is not None:
+        own = F.when(keyless, F.monotonically_increasing_id())
+        rows, groups = rows.withColumn("_own", own), [*keys, "_own"]
+    window = W.partitionBy(*groups).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in [*version, *rest]])
+    return rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank", "_own")
 
 
 def skip_completed(work: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,13 +63,14 @@ def high_water_marks(rows: DataFrame, key: str, ts: str, mark: str = "mark") ->
 
 
 def newer_than(rows: DataFrame, marks: DataFrame, key: str, stamp: Column, mark: Column) -> DataFrame:
-    """Rows above their key's mark, and all rows of keys without one.
+    """Rows above their key's mark, all rows of keys without one, and rows without a stamp.
 
     ``stamp`` is an expression over ``rows``, ``mark`` one over ``marks``. The comparison is
-    strict: the row the mark was taken from is already loaded.
+    strict: the row the mark was taken from is already loaded. Nothing shows that a row without
+    a readable stamp is old.
     """
     bounds = marks.select(F.col(key), mark.alias("_mark"))
-    above = F.col("_mark").isNull() | (F.col("_stamp") > F.col("_mark"))
+    above = F.col("_mark").isNull() | F.col("_stamp").isNull() | (F.col("_stamp") > F.col("_mark"))
     return join_on(rows.withColumn("_stamp", stamp), bounds, [key], "left").where(above).select(rows.columns)
 
 

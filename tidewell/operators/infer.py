@@ -22,8 +22,13 @@ def _settle(kind: T.DataType) -> T.DataType:
     if isinstance(kind, (T.NullType, T.VariantType)):
         return T.StringType()
     if isinstance(kind, T.DecimalType):
-        # No fraction and too long for a bigint: keep every digit as text.
-        return T.StringType() if kind.scale == 0 and kind.precision > 18 else T.DoubleType()
+        # More digits than a bigint or a double holds: keep every one as text. A bigint met
+        # before widens the whole part to 19 or 20 digits, which tells nothing of its own.
+        whole = kind.precision - kind.scale
+        if kind.scale == 0:
+            return T.StringType() if kind.precision > 18 else T.DoubleType()
+        long = kind.scale > 15 or (kind.precision > 15 and whole not in (19, 20))
+        return T.StringType() if long else T.DoubleType()
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_settle(kind.elementType))
     if isinstance(kind, T.StructType):
@@ -75,8 +80,8 @@ def spec_from_schema(family: str, entity: str, schema: T.StructType, key: str) -
 
 
 def spec_from_sample(texts: DataFrame, family: str, entity: str, key: str, column: str = "value") -> TableSpec:
-    """Table declaration from one record of the input."""
-    return spec_from_schema(family, entity, infer_schema(texts.limit(1), column), key)
+    """Table declaration from all records of a sample, so that no field of theirs is dropped."""
+    return spec_from_schema(family, entity, infer_schema(texts, column), key)
 
 
 def widen(a: T.DataType, b: T.DataType) -> T.DataType:

@@ -20,11 +20,13 @@ def _codec(name: str) -> str:
 
 
 def write_parquet(rows: DataFrame, path: str, codec: str = "snappy") -> int:
-    """Replace ``path`` with ``rows`` and return their number; no rows is an error."""
-    count = _measured_write(rows, path, codec, "overwrite")["rows"]
-    if count == 0:
+    """Replace ``path`` with ``rows`` and return their number.
+
+    No rows is an error that leaves ``path`` as it was: the first row is looked for before.
+    """
+    if rows.isEmpty():
         raise ValueError("cannot write a Parquet dataset without rows")
-    return count
+    return _measured_write(rows, path, codec, "overwrite")["rows"]
 
 
 def land(
@@ -58,6 +60,18 @@ def replace(
     return _measured_write(ordered, path, codec, "overwrite")["rows"]
 
 
+def land_folder(
+    rows: DataFrame, folder: str, partitions: list[str], sort_by: list[str], measures: dict[str, Column] | None = None
+) -> dict[str, Any]:
+    """Replace a load's folder as a whole, with sub-folders by ``partitions``.
+
+    Whatever an attempt that died left there goes, also on another day. Rows are written where
+    they were read.
+    """
+    ordered = rows.sortWithinPartitions(*partitions, *sort_by)
+    return _measured_write(ordered, folder, "snappy", "overwrite", partitions, measures, whole=True)
+
+
 def append_bronze(rows: DataFrame, path: str, spec: TableSpec, codec: str = "snappy") -> int:
     """Append rows to a bronze dataset in the declared shape, sorted by its key."""
     fitted = coerce(rows, spec).hint("rebalance", spec.key).sortWithinPartitions(spec.key)
@@ -71,6 +85,7 @@ def _measured_write(
     mode: str,
     partitions: list[str] | None = None,
     measures: dict[str, Column] | None = None,
+    whole: bool = False,
 ) -> dict[str, Any]:
     # Measured in the writing stage itself: a retried task counts once, and the input is
     # not read a second time.
@@ -78,7 +93,7 @@ def _measured_write(
     wanted = [m.alias(name) for name, m in (measures or {}).items()]
     writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *wanted).write.mode(mode)
     writer = writer.option("compression", _codec(codec))
-    writer = writer.option("partitionOverwriteMode", "dynamic" if partitions else "static")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if partitions and not whole else "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch, is_blank, json_text, list_size, or_blank
 from ..model.payloads import MESSAGE
+from ..model.specs import INT
+from .coerce import coerce_column
 from .events import MESSAGE_EVENT
 from .incremental import latest_per_key
 from .joins import join_on
@@ -21,6 +23,13 @@ def is_threaded(reply_count: str = "reply_count", thread_ts: str = "thread_ts")
     return (F.col(reply_count) > 0) & ~is_blank(F.col(thread_ts))
 
 
+def _count(rows: DataFrame, name: str) -> Column:
+    """A number of a raw or normalised message; 0 for what is none."""
+    if name not in rows.columns:
+        return F.lit(0)
+    return F.coalesce(coerce_column(F.col(name), rows.schema[name].dataType, INT), F.lit(0))
+
+
 def thread_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
     """Replies to the threaded messages, without the parent each thread repeats.
 
@@ -28,8 +37,10 @@ def thread_replies(messages: DataFrame, replies: DataFrame) -> DataFrame:
     reply side is never multiplied, and AQE splits the replies of one huge thread over many
     tasks.
     """
-    parents = messages.where(is_threaded()).select("channel_id", "thread_ts")
-    own = replies.where(epoch(F.col("ts")) != epoch(F.col("thread_ts")))
+    parents = messages.select("channel_id", "thread_ts", _count(messages, "reply_count").alias("reply_count"))
+    parents = parents.where(is_threaded()).select("channel_id", "thread_ts")
+    # A reply without a readable time is no parent either.
+    own = replies.where(~epoch(F.col("ts")).eqNullSafe(epoch(F.col("thread_ts"))))
     return join_on(own, parents, ["channel_id", "thread_ts"], "left_semi").select(replies.columns)
 
 
@@ -63,7 +74,7 @@ def normalize_messages(messages: DataFrame, load_date: Column, channels: DataFra
         or_blank(field("user")).alias("user_id"),
         or_blank(field("text")).alias("text"),
         or_blank(field("thread_ts")).alias("thread_ts"),
-        F.coalesce(field("reply_count"), F.lit(0)).cast("int").alias("reply_count"),
+        _count(messages, "reply_count").alias("reply_count"),
         F.coalesce(json_text(field("reactions")), F.lit(NO_REACTIONS)).alias("reactions"),
         (list_size(field("files")) > 0).cast("int").alias("has_files"),
         list_size(field("files")).alias("file_count"),

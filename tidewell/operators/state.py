@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,13 +78,21 @@ class _Log:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        spark.createDataFrame([], self.schema).write.mode("ignore").partitionBy("pipeline").parquet(path)
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+        """All rows; none before the first is written."""
+        try:
+            return self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
 
     def _append(self, rows: DataFrame) -> None:
-        rows.select(self.schema.names).write.mode("append").partitionBy("pipeline").parquet(self.path)
+        # A folder for each save: two jobs that append to one folder at the same time clear away
+        # each other's temporary files.
+        folder = f"{self.path}/save={uuid.uuid4().hex}"
+        rows.select(self.schema.names).write.partitionBy("pipeline").parquet(folder)
 
     def _append_row(self, **values: Any) -> None:
         row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -133,9 +143,10 @@ class IngestState(_Log):
         row = self._newest((F.col("pipeline") == pipeline) & (F.col("resource") == resource))
         return None if row is None or row["cleared"] else json.loads(row["state"])
 
-    def high_water_mark(self, pipeline: str, resource: str, field: str = "last_timestamp") -> Any:
-        state = self.load(pipeline, resource)
-        return None if state is None else state.get(field)
+    def load_some(self, pipeline: str, *resources: str) -> dict[str, dict[str, Any]]:
+        """States of a few resources in one read; those without one are left out."""
+        rows = self.current(pipeline).where(F.col("resource").isin(*resources)).collect()  # a row per resource
+        return {row["resource"]: json.loads(row["state"]) for row in rows}
 
 
 class RunLog(_Log):
@@ -155,12 +166,6 @@ class RunLog(_Log):
         row = self._newest((F.col("pipeline") == pipeline) & (F.col("mode") == mode))
         return STOPPED if row is None else row["state"]
 
-    def is_running(self, pipeline: str, mode: str = "batch") -> bool:
-        return self.get(pipeline, mode) == RUNNING
-
-    def is_paused(self, pipeline: str, mode: str = "batch") -> bool:
-        return self.get(pipeline, mode) == PAUSED
-
     def all(self) -> DataFrame:
         return current_runs(self.log())
 

@@ -1,8 +1,10 @@
 """Loads: landed API pages to typed, partitioned bronze datasets, one report row each.
 
-A load writes its data first and its state after, and its folder is named by the load
-number the state holds. A load that dies in between is repeated into the same folder; the
-state never runs ahead of the data.
+A load writes its data first and its state after, and its folder, the first below the
+dataset, is named by the load number the state holds. A load that dies in between is repeated
+into the same folder, also on another day, and replaces it whole; the state never runs ahead
+of the data. Only loads that the state counts are read. Load numbers are never used again: a
+reset notes the next one, and tables are read from there on.
 """
 
 from __future__ import annotations
@@ -20,27 +22,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch, epoch_key, epoch_text, first_filled
-from ..model.specs import CHAT, SALES, TableSpec, find_spec
+from ..model.specs import CHAT, DOUBLE, INT, LONG, SALES, TEXT, TableSpec, find_spec
 from ..operators import state as st
 from ..operators.coerce import coerce
 from ..operators.flatten import flatten_channels, flatten_properties, flatten_users
 from ..operators.infer import spec_from_schema
 from ..operators.incremental import high_water_marks, latest_per_key, modified_since, newer_than
-from ..operators.landing import land, replace
+from ..operators.joins import join_on
+from ..operators.landing import land_folder, replace
 from ..operators.messages import normalize_messages, thread_replies
 from ..operators.reports import run_summary
 from ..sources.landed import load_bronze, read_landed
 from ..sources.pages import infer_record, read_pages
 from ..streaming.events import read_events
 
-PARTITIONS = {
-    "sales": ["org_id", "ingest_date", "load"],
-    "marketing": ["year", "month", "load"],
-    "chat": ["ingest_date", "load", "kind"],
-}
-FOLDER_TYPES = {"load": T.IntegerType()}
+#: Folders below that of the load.
+PARTITIONS = {"sales": ["org_id", "ingest_date"], "marketing": ["year", "month"], "chat": ["kind", "ingest_date"]}
+#: The record's modification time, landed beside the declared columns.
+MODIFIED = "_modified"
 BACKFILL = "backfill_"
 SNAPSHOT = "/snapshot"
+#: State kept under names of its own: where the loads after a reset begin, and declarations.
+RESETS, DECLARED = "reset:", "declared:"
 
 
 class Lake:
@@ -59,7 +62,28 @@ class Lake:
         self.declared[(spec.family, spec.entity)] = spec
 
     def spec(self, family: str, entity: str) -> TableSpec:
-        return self.declared.get((family, entity)) or find_spec(family, entity)
+        """The declaration of a table: of this session, of the library, or saved in the lake."""
+        try:
+            return self.declared.get((family, entity)) or find_spec(family, entity)
+        except KeyError:
+            saved = self.state.load(DECLARED + family, entity)
+            if saved is None:
+                raise
+        columns = tuple((name, kind) for name, kind in saved["columns"])
+        self.declare(TableSpec(family, entity, columns, saved["key"], tuple(saved["modified"]), as_text=True))
+        return self.declared[(family, entity)]
+
+    def saved_tables(self, family: str) -> list[str]:
+        """Entities whose declarations the lake keeps."""
+        rows = self.state.current(DECLARED + family).select("resource").collect()  # a row per declared table
+        return [row["resource"] for row in rows]
+
+    def span(self, family: str, resource: str, last: dict[str, Any] | None) -> tuple[int, int]:
+        """Numbers of the first load since the last reset, and of the next one."""
+        if last is None:
+            first = (self.state.load(RESETS + family, resource) or {}).get("loads", 0)
+            return first, first
+        return last.get("since", 0), last["loads"]
 
     def dataset(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.family}/{spec.entity}"
@@ -71,8 +95,10 @@ class Lake:
 
     def landed(self, spec: TableSpec) -> DataFrame:
         """All rows of all loads, with the columns of the load folders."""
-        folders = [T.StructField(name, FOLDER_TYPES.get(name, T.StringType())) for name in PARTITIONS[spec.family]]
-        return read_landed(self.spark, self.dataset(spec), T.StructType(spec.struct().fields + folders))
+        own = T.StructType([T.StructField(n, T.StringType()) for n in spec.names]) if spec.as_text else spec.struct()
+        folders = [T.StructField(n, T.StringType()) for n in [MODIFIED, *PARTITIONS[spec.family]]]
+        shape = T.StructType([*own.fields, *folders, T.StructField("load", T.IntegerType())])
+        return read_landed(self.spark, self.dataset(spec), shape)
 
     def bronze(self, family: str, entity: str) -> DataFrame:
         """The newest row per key over all loads of a table; of equals, the later loaded.
@@ -81,43 +107,48 @@ class Lake:
         the snapshot is read as it is.
         """
         spec = self.spec(family, entity)
-        if spec in (CHAT["users"], CHAT["channels"]):
+        if family == "chat" and entity in ("users", "channels"):
             return load_bronze(self.spark, self.dataset(spec), spec)
-        if spec is CHAT["realtime_events"]:
+        if family == "chat" and entity == "realtime_events":
             return read_events(self.spark, self.live)
-        taken = self.state.load(family, entity + SNAPSHOT)
-        rows = self.landed(spec).select(*spec.names, "load")
+        resource = _resource(family, entity)
+        states = self.state.load_some(family, resource, entity + SNAPSHOT)
+        first, following = self.span(family, resource, states.get(resource))
+        taken = states.get(entity + SNAPSHOT)
+        if taken is not None and taken.get("columns", [list(c) for c in spec.columns]) != [list(c) for c in spec.columns]:
+            taken = None  # the table has changed since
+        rows = self.landed(spec).where((F.col("load") >= first) & (F.col("load") < following))
+        if spec.as_text:
+            typed = dataclasses.replace(spec, columns=(*spec.columns, (MODIFIED, TEXT), ("load", INT)))
+            rows = coerce(rows, typed)
+        rows = rows.select(*spec.names, MODIFIED, "load")
         if taken is not None:
-            snapshot = read_landed(self.spark, taken["path"], spec.struct())
-            if taken["through"] >= _last_load(self, family, entity):
-                return snapshot
+            kept = read_landed(self.spark, taken["path"], spec.struct())
+            if taken["through"] >= following - 1:
+                return kept
             through = F.lit(taken["through"])
-            rows = rows.where(F.col("load") > through).unionByName(snapshot.withColumn("load", through))
-        keys, version = _identity(spec)
-        return latest_per_key(rows, keys, [*version, "load"]).drop("load")
+            kept = kept.withColumns({MODIFIED: F.lit(None).cast("string"), "load": through})
+            rows = rows.where(F.col("load") > through).unionByName(kept)
+        # A load takes nothing older than the loads before it, so the later one is the newer.
+        return latest_per_key(rows, spec.keys, ["load", MODIFIED]).drop("load", MODIFIED)
 
     def take_snapshot(self, family: str, entity: str) -> str:
         """Write :meth:`bronze` as a new folder that later reads start from."""
         spec = self.spec(family, entity)
         taken = self.state.load(family, entity + SNAPSHOT) or {"version": 0}
-        through, version = _last_load(self, family, entity), taken["version"] + 1
+        resource = _resource(family, entity)
+        through = self.span(family, resource, self.state.load(family, resource))[1] - 1
+        version = taken["version"] + 1
         path = f"{self.dataset(spec)}_snapshot/version={version}"
         # Already spread by key, one row each: nothing to rebalance.
         replace(self.bronze(family, entity), path, sort_by=[spec.key], shuffle=False)
-        self.state.save(family, entity + SNAPSHOT, {"version": version, "through": through, "path": path})
+        self.state.save(family, entity + SNAPSHOT, {"version": version, "through": through, "path": path, "columns": list(spec.columns)})
         return path
 
 
-def _identity(spec: TableSpec) -> tuple[list[str], list[str]]:
-    """Key and version columns of a table."""
-    if spec is CHAT["messages"]:
-        return ["channel_id", "message_ts"], ["processing_date"]
-    return [spec.key], list(spec.modified)
-
-
-def _last_load(lake: Lake, family: str, entity: str) -> int:
-    resource = "historical" if family == "chat" else entity
-    return (lake.state.load(family, resource) or {}).get("loads", 0) - 1
+def _resource(family: str, entity: str) -> str:
+    """The name under which a table's loads are counted."""
+    return "historical" if family == "chat" else entity
 
 
 def ingest_entity(
@@ -128,29 +159,34 @@ def ingest_entity(
     load_date: date,
     *,
     record_schema: T.StructType | None = None,
-    limit: int | None = None,
 ) -> dict[str, Any]:
-    """Load one sales object or marketing resource; returns ``records`` and ``path``.
+    """Load one sales object or marketing resource; returns ``records`` moved now and ``path``.
 
     Only records modified since the last load's highest modification time are taken. Those
     at that very time are taken again: some may have changed after the extract, and the key
-    removes the rest. A resource already completed for ``load_date`` is left alone.
+    removes the rest. The time is the raw record's, whether or not the table declares it; a
+    record without one is always taken, as it may have changed. A resource already completed
+    for ``load_date`` is left alone.
     """
     spec = lake.spec(family, entity)
     path = lake.dataset(spec)
-    last = lake.state.load(family, entity) or {}
+    last = lake.state.load(family, entity)
+    first, load = lake.span(family, entity, last)
+    last = last or {}
     if last.get("completed") and last.get("load_date") == load_date.isoformat():
-        return {"records": last.get("records", 0), "path": path}
+        return {"records": 0, "path": path}
 
-    records = read_pages(lake.spark, source, family, entity, record_schema=record_schema, limit=limit)
+    records = read_pages(lake.spark, source, family, entity, record_schema=record_schema)
     if family == "marketing":
         records = flatten_properties(records)
+    times = [F.col(f"`{m}`").cast("string") for m in spec.modified if m in records.columns]
+    records = records.withColumn(MODIFIED, first_filled(*times) if times else F.lit(None).cast("string"))
     mark = last.get("last_modified")
-    rows = modified_since(coerce(records, spec), spec.modified, mark, inclusive=True)
-    load = last.get("loads", 0)
-    rows = rows.withColumns(_partition_values(lake, family, load_date, load))
-    newest = F.max(first_filled(*[F.col(m) for m in spec.modified])) if spec.modified else F.lit(None)
-    done = land(rows, path, PARTITIONS[family], [spec.key], measures={"newest": newest}, shuffle=False)
+    columns = tuple((name, TEXT if spec.as_text else kind) for name, kind in spec.columns)
+    stored = dataclasses.replace(spec, columns=(*columns, (MODIFIED, TEXT)))
+    rows = coerce(modified_since(records, (MODIFIED,), mark, inclusive=True), stored)
+    rows = rows.withColumns(_partition_values(lake, family, load_date))
+    done = land_folder(rows, f"{path}/load={load}", PARTITIONS[family], [spec.key], {"newest": F.max(MODIFIED)})
 
     lake.state.save(
         family,
@@ -161,6 +197,7 @@ def ingest_entity(
             "records": done["rows"],
             "path": path,
             "loads": load + 1,
+            "since": first,
             "last_modified": max(filter(None, (mark, done["newest"])), default=None),
         },
     )
@@ -170,24 +207,38 @@ def ingest_entity(
 def ingest_custom(lake: Lake, entity: str, source: str, load_date: date, *, key: str = "Id") -> dict[str, Any]:
     """Load a sales object that has no declaration, typed by what its pages hold.
 
-    The first load declares the table; declare it yourself to fix its types for later loads.
+    The declaration is saved in the lake, so any session can read the table. Later loads add
+    fields and widen whole numbers to fractional ones; other types stay as first declared, and
+    values that don't fit are coerced. Values are landed as text and typed when read. Declare the
+    table yourself to fix its types.
     """
     shape = infer_record(lake.spark, source, "sales", entity)
-    if ("sales", entity) not in lake.declared:
-        spec = spec_from_schema("sales", entity, shape, key)
-        modified = tuple(m for m in SALES["Account"].modified if m in spec.names)
-        lake.declare(dataclasses.replace(spec, modified=modified))
+    try:
+        old = lake.spec("sales", entity)
+    except KeyError:
+        old = None
+    if old is None or old.as_text:
+        found = spec_from_schema("sales", entity, shape, key)
+        kinds = dict(old.columns) if old else {}
+        for name, kind in found.columns:
+            known = kinds.setdefault(name, kind)
+            if known in (INT, LONG) and kind in (LONG, DOUBLE):
+                kinds[name] = kind
+        spec = dataclasses.replace(found, columns=tuple(kinds.items()), modified=SALES["Account"].modified, as_text=True)
+        if spec != old:
+            lake.declare(spec)
+            saved = {"columns": list(spec.columns), "key": spec.key, "modified": list(spec.modified)}
+            lake.state.save(DECLARED + "sales", entity, saved)
     return ingest_entity(lake, "sales", entity, source, load_date, record_schema=shape)
 
 
-def _partition_values(lake: Lake, family: str, load_date: date, load: int, kind: str = "") -> dict[str, Column]:
+def _partition_values(lake: Lake, family: str, load_date: date, kind: str = "") -> dict[str, Column]:
     values = {
         "org_id": lake.org_id,
         "kind": kind,
         "ingest_date": load_date.isoformat(),
         "year": f"{load_date.year}",
         "month": f"{load_date.month:02d}",
-        "load": str(load),
     }
     return {name: F.lit(values[name]) for name in PARTITIONS[family]}
 
@@ -203,10 +254,13 @@ def backfill_chat(
 ) -> dict[str, Any]:
     """Load chat history of all channels in one job, from each channel's mark on.
 
-    Page folders of messages and replies are named ``channel_id=<id>``.
+    Replies are taken to all threads landed so far, also when no new message came; those that
+    are landed already are left out. Messages without a readable time are always taken. Page folders of messages and replies are named ``channel_id=<id>``.
     """
     spark, spec = lake.spark, CHAT["messages"]
-    last = lake.state.load("chat", "historical") or {}
+    last = lake.state.load("chat", "historical")
+    first, load = lake.span("chat", "historical", last)
+    last = last or {}
     dimensions = set(last.get("dimensions", []))
     if users is not None:
         rows = coerce(flatten_users(read_pages(spark, users, "chat", "users")), CHAT["users"])
@@ -218,25 +272,25 @@ def backfill_chat(
         dimensions.add("channels")
     names = lake.bronze("chat", "channels") if "channels" in dimensions else None
 
-    load = last.get("loads", 0)
     marks = channel_marks(lake)
     path = lake.dataset(spec)
 
     def put(rows: DataFrame, kind: str) -> int:
         rows = coerce(normalize_messages(rows, F.lit(load_date.isoformat()), names), spec)
-        rows = rows.withColumns(_partition_values(lake, "chat", load_date, load, kind))
-        return land(rows, path, PARTITIONS["chat"], ["channel_id", "message_ts"], shuffle=False)["rows"]
+        rows = rows.withColumns(_partition_values(lake, "chat", load_date, kind)).drop("kind")
+        return land_folder(rows, f"{path}/load={load}/kind={kind}", ["ingest_date"], ["channel_id", "message_ts"])["rows"]
 
-    def landed() -> DataFrame:
-        here = (F.col("ingest_date") == load_date.isoformat()) & (F.col("load") == load) & (F.col("kind") == "message")
-        return lake.landed(spec).where(here)
+    def landed(kind: str, since: int, until: int) -> DataFrame:
+        return lake.landed(spec).where((F.col("load") >= since) & (F.col("load") <= until) & (F.col("kind") == kind))
 
     # Threads are looked up in what has just landed, so the message pages are parsed once.
     found = read_pages(spark, messages, "chat", "messages")
     count = put(newer_than(found, marks, "channel_id", epoch(F.col("ts")), epoch(F.col("mark"))), "message")
     threads = 0
-    if replies is not None and count:
-        threads = put(thread_replies(landed(), read_pages(spark, replies, "chat", "messages")), "reply")
+    if replies is not None:
+        own = thread_replies(landed("message", first, load), read_pages(spark, replies, "chat", "messages"))
+        known = landed("reply", first, load - 1).select("channel_id", F.col("message_ts").alias("ts"))
+        threads = put(join_on(own, known, ["channel_id", "ts"], "left_anti").select(own.columns), "reply")
 
     # The load number moves on before the marks: dying in between repeats rows in the next
     # load, which the key removes, instead of losing them.
@@ -251,10 +305,11 @@ def backfill_chat(
             "dimensions": sorted(dimensions),
             "path": path,
             "loads": load + 1,
+            "since": first,
         },
     )
     if count:
-        _save_marks(lake, landed(), marks)
+        _save_marks(lake, landed("message", load, load), marks)
     return {"records": count + threads, "path": path}
 
 
@@ -269,7 +324,8 @@ def channel_marks(lake: Lake) -> DataFrame:
 
 def channel_report(lake: Lake, load_date: date | None = None) -> DataFrame:
     """Messages and thread replies loaded per channel, and the newest message of each."""
-    landed = lake.landed(CHAT["messages"])
+    first, following = lake.span("chat", "historical", lake.state.load("chat", "historical"))
+    landed = lake.landed(CHAT["messages"]).where((F.col("load") >= first) & (F.col("load") < following))
     if load_date is not None:
         landed = landed.where(F.col("ingest_date") == load_date.isoformat())
     is_message = F.col("kind") == "message"
@@ -308,13 +364,13 @@ def run_all(
 
     def run(resource: str) -> tuple:
         begun = time.time()
-        if lake.runs.is_paused(family):
+        if lake.runs.get(family) == st.PAUSED:
             return (family, resource, st.PAUSED, 0, None, begun, 0.0, None)
         try:
             done = loads[resource]()
             status, records, path, error = st.COMPLETED, done["records"], done["path"], None
         except Exception as e:
-            status, records, path, error = st.FAILED, 0, None, f"{type(e).__name__}: {e}"[:2000]
+            status, records, path, error = st.FAILED, 0, None, f"{type(e).__name__}: {e}"
         return (family, resource, status, records, path, begun, round(time.time() - begun, 2), error)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -352,5 +408,16 @@ def resume(lake: Lake, family: str, mode: str = "batch") -> None:
 
 
 def reset(lake: Lake, family: str) -> None:
-    """Forget all state of a family, so that the next run loads everything again."""
+    """Forget all state of a family, so that the next run loads everything again.
+
+    Tables are empty until then: only loads after the reset are read, under new numbers. The
+    number after the next is noted, as a load may have died in the next one's folder.
+    """
+    counted = lake.state.current(family).withColumn("_n", F.get_json_object("state", "$.loads").cast("long"))
+    following = F.to_json(F.struct((F.col("_n") + 1).alias("loads")))
+    lake.state.save_all(
+        counted.where(F.col("_n").isNotNull()).select(
+            F.concat(F.lit(RESETS), "pipeline").alias("pipeline"), "resource", following.alias("state")
+        )
+    )
     lake.state.clear(family)

@@ -24,7 +24,8 @@ def publish(lake: Lake, family: str, *, live: bool = False) -> list[str]:
     if live:
         loaded |= {"realtime_events"}
     names = []
-    specs = FAMILIES[family] | {s.entity: s for s in lake.declared.values() if s.family == family}
+    own = {s.entity: s for s in lake.declared.values() if s.family == family}
+    specs = FAMILIES[family] | {e: lake.spec(family, e) for e in lake.saved_tables(family)} | own
     for entity, spec in specs.items():
         if entity in loaded:
             create_view(lake.bronze(family, entity), spec.table)

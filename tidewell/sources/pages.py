@@ -19,18 +19,16 @@ def read_pages(
     *,
     record_schema: T.StructType | None = None,
     multiline: bool = False,
-    limit: int | None = None,
 ) -> DataFrame:
     """One row per record of all pages below ``path``.
 
     A page that is not valid JSON fails the read, so no records go missing unseen.
     Folders such as ``channel_id=C1/`` become columns. ``record_schema`` replaces the
-    declared record, for exports with more fields; ``limit`` is the optional extract cap.
+    declared record, for exports with more fields.
     """
     schema = page_schema(family, entity, record_schema)
     pages = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multiline).json(path)
-    records = explode_pages(pages, page_field(family, entity))
-    return records if limit is None else records.limit(limit)
+    return explode_pages(pages, page_field(family, entity))
 
 
 def infer_record(spark: SparkSession, path: str, family: str, entity: str) -> T.StructType:
