@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import text as T
+from tidewell.operators.joins import join_on
 from tidewell.session import scratch
 
 LEAST, GRAM = 200, 50
@@ -231,23 +232,23 @@ def _saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def _context_bytes(keyed: DataFrame, contexts: DataFrame) -> DataFrame:
-    """h, ctx, before and bytes of one place of each context."""
+    """h, ctx, different, before and bytes of one place of each context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
                 raw = text.as_buffer().to_pybytes()
                 for w in wanted:
-                    values = (w["h"], w["ctx"], w["before"], raw[w["pos"] - w["before"] : w["pos"] + w["after"]])
+                    values = (w["h"], w["ctx"], w["different"], w["before"], raw[w["pos"] - w["before"] : w["pos"] + w["after"]])
                     for column, value in zip(out, values):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int16(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["h", "ctx", "before", "bytes"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["h", "ctx", "different", "before", "bytes"])
 
-    places = contexts.select("h", "ctx", "place.*").groupBy("did", "rid").agg(F.collect_list(F.struct("h", "ctx", "pos", "before", "after")).alias("wanted"))
+    places = contexts.select("h", "ctx", "different", "place.*").groupBy("did", "rid").agg(F.collect_list(F.struct("h", "ctx", "different", "pos", "before", "after")).alias("wanted"))
     texts = keyed.select("did", "rid", "text").join(places, ["did", "rid"])
-    return texts.mapInArrow(run, "h long, ctx long, before short, bytes binary")
+    return texts.mapInArrow(run, "h long, ctx long, different long, before short, bytes binary")
 
 
 COVER = "h long, ctx long, low int, high int"
@@ -299,14 +300,15 @@ def repeats(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(h, ctx, low, high): what repeats around each context; and the places (h, ctx, did, rid, pos) of all contexts."""
     rows = _saved(_anchor_rows(keyed), "anchors")
     often = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    places = _saved(rows.join(often, "h"), "repeated-anchors")
+    places = _saved(join_on(rows, often, ["h"], "inner"), "repeated-anchors")
     place = F.struct("did", "rid", "pos", "before", "after")
     contexts = places.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     contexts = _saved(contexts, "contexts")
     whole = contexts.filter("n > 1 AND place.before + place.after >= 200")
     whole = whole.select("h", "ctx", (-F.col("place.before")).cast("int").alias("low"), F.col("place.after").cast("int").alias("high"))
     several = contexts.groupBy("h").agg(F.count("*").alias("different")).filter("different > 1")
-    mixed = _saved(_context_bytes(keyed, contexts.join(several, "h").select("h", "ctx", "place")).dropDuplicates(["h", "ctx"]).join(several, "h"), "context-bytes")
+    wanted = join_on(contexts, several, ["h"], "inner").select("h", "ctx", "different", "place")
+    mixed = _saved(_context_bytes(keyed, wanted).dropDuplicates(["h", "ctx"]), "context-bytes")
     few, many = mixed.filter(F.col("different") <= GROUP), mixed.filter(F.col("different") > GROUP)
     covers = whole.unionAll(_search(few, max(1, few.count() // BUCKET)))
     if many.limit(1).count():
