@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import text as T
 from tidewell.llm.graph import components
+from tidewell.operators.joins import join_on
 from tidewell.session import scratch
 
 SHINGLE, REGISTERS, BAND = 5, 128, 4
@@ -253,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     drawn = F.min_by("doc_id", F.xxhash64("doc_id"))
     heads = banded.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"), drawn.alias("drawn"))
     heads = heads.filter("head <> last").select("key", F.explode(F.array_distinct(F.array("head", "drawn"))).alias("head"))
-    stars = banded.join(heads, "key").filter("doc_id <> head")
+    stars = join_on(banded, heads, ["key"], "inner").filter("doc_id <> head")
     stars = stars.select(F.least("doc_id", "head").alias("a"), F.greatest("doc_id", "head").alias("b")).distinct()
     tested = _saved(_likely(stars, classes), "star-pairs")
     links = _saved(_links(tested, docs), "star-links")
@@ -262,7 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = banded.join(first, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = members.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("m")).filter("c <> d")
     mixed = mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    blocked = members.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
+    blocked = join_on(members, mixed, ["key"], "inner").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
     # each block meets itself and every other block once
     partners = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")))
     columns = ["doc_id", "band", "key", "block", "component"]
