@@ -792,7 +792,13 @@ def workspace_totals(spark, sf_dir):
 
 @proof
 def storage_stats(spark, sf_dir):
-    return reports.storage_stats(spark, {"tables": sf_dir})
+    """Files of every table beside its rows; of the sizes, that they are there and agree."""
+    stored = reports.storage_stats(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
+    rows = reports.table_stats({t: a.load(spark, sf_dir, t) for t in TABLES})
+    agree = F.abs(F.col("total_size_mb") - F.col("total_size_bytes") / 1048576) <= 0.005
+    return stored.join(rows.withColumnRenamed("name", "dataset"), "dataset").select(
+        "dataset", "total_objects", "rows", (F.col("total_size_bytes") > 0).alias("has_bytes"), agree.alias("sizes_agree")
+    )
 
 
 @proof

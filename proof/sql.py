@@ -350,6 +350,9 @@ ORACLE = {
     "table_stats": " UNION ALL ".join(
         f"SELECT '{t}' AS name, 'table' AS type, COUNT(*) AS rows FROM {t}" for t in TABLES
     ),
+    "storage_stats": " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, 1 AS total_objects, COUNT(*) AS rows, true AS has_bytes, true AS sizes_agree FROM {t}" for t in TABLES
+    ),
     "workspace_counts": """
         SELECT 'C' || n_nationkey::VARCHAR AS channel_id, n_name AS name, COUNT(event_id) AS message_count
         FROM nation LEFT JOIN events ON n_nationkey = user_id % 15 GROUP BY 1, 2""",
