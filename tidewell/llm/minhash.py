@@ -10,7 +10,7 @@ Jaccard similarity, so runs of four registers are used as bands.
 2. In each band's bucket every class is compared with two of its members: the smallest, and one
    drawn by a hash. A link to either joins the class to the bucket's component, so large groups
    need a number of comparisons in proportion to their size.
-3. Buckets that still hold several components are compared in blocks of 128 against 128, inside a
+3. Buckets that still hold several components are compared in blocks of 512 against 512, inside a
    task, between components only: first by sketches, then, for members that may link, on the full
    sets. A task puts out no more links than join its components, so no pairs of a group travel,
    and no pair that shares a band is left out.
@@ -40,7 +40,7 @@ from tidewell.session import scratch
 SHINGLE, REGISTERS, BAND = 5, 128, 4
 #: The sketch: base of the scale, rate of the exponentials, largest register.
 SCALE, RATE, LARGEST = 1.001, 20.0, 65_534
-THRESHOLD, ESTIMATE, BLOCK = 75, 0.55, 128
+THRESHOLD, ESTIMATE, BLOCK = 75, 0.55, 512
 #: Ids of documents to fetch that may be broadcast: 16 MB. Beyond, they are joined.
 BROADCAST_IDS = 2_000_000
 _JOIN = T.constants(SHINGLE, 41)
@@ -204,13 +204,21 @@ def _promising(buckets: DataFrame) -> DataFrame:
 
 
 def intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of pairs of sets: by one matrix product if it is small enough."""
-    every, place = np.unique(np.concatenate(sets), return_inverse=True)
-    if len(every) * len(sets) <= 1 << 24:
-        has = np.zeros((len(sets), len(every)), np.float32)
-        has[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), place] = 1
-        return (has @ has.T)[i, j].astype(np.int64)
-    return np.array([np.intersect1d(sets[a], sets[b], assume_unique=True).size for a, b in zip(i.tolist(), j.tolist())], np.int64)
+    """Sizes of the intersections of pairs of different sets, by matrix products over the shingles that two sets or more share."""
+    values = np.concatenate(sets)
+    every, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    number = np.cumsum(count > 1) - 1
+    kept = count[place] > 1
+    owner, place = owner[kept], number[place[kept]]
+    width, total = max(1, (1 << 24) // len(sets)), int((count > 1).sum())
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for at in range(0, total, width):
+        here = (place >= at) & (place < at + width)
+        has = np.zeros((len(sets), min(width, total - at)), np.float32)
+        has[owner[here], place[here] - at] = 1
+        both += has @ has.T
+    return both[i, j].astype(np.int64)
 
 
 def _between(buckets: DataFrame) -> DataFrame:
@@ -253,14 +261,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = classes.select("doc_id", F.posexplode(bands).alias("band", "key"))
     drawn = F.min_by("doc_id", F.xxhash64("doc_id"))
     heads = banded.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"), drawn.alias("drawn"))
-    heads = heads.filter("head <> last").select("key", F.explode(F.array_distinct(F.array("head", "drawn"))).alias("head"))
-    stars = join_on(banded, heads, ["key"], "inner").filter("doc_id <> head")
+    heads = heads.filter("head <> last").drop("last")
+    shared = _saved(join_on(banded, heads, ["key"], "inner"), "shared-bands")
+    stars = shared.select("doc_id", F.explode(F.array_distinct(F.array("head", "drawn"))).alias("head")).filter("doc_id <> head")
     stars = stars.select(F.least("doc_id", "head").alias("a"), F.greatest("doc_id", "head").alias("b")).distinct()
     tested = _saved(_likely(stars, classes), "star-pairs")
     links = _saved(_links(tested, docs), "star-links")
     first = _saved(components(links).withColumnRenamed("node", "doc_id"), "components")
 
-    members = banded.join(first, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    members = shared.select("doc_id", "band", "key").join(first, "doc_id", "left")
+    members = members.withColumn("component", F.coalesce("component", "doc_id"))
     mixed = members.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("m")).filter("c <> d")
     mixed = mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     blocked = join_on(members, mixed, ["key"], "inner").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int"))
