@@ -1,4 +1,5 @@
 import os
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from tidewell.operators.events import classify_events, malformed_events
 from tidewell.operators.infer import parse_records
 from tidewell.operators.messages import live_messages, unify_messages
 from tidewell.plans import marts
-from tidewell.plans.ingest import Lake
+from tidewell.plans.ingest import Lake, backfill_chat
 from tidewell.plans.live import LiveFeed
 from tidewell.plans.publish import publish
 from tidewell.sources import read_envelopes
@@ -194,6 +195,15 @@ def test_feed_of_a_lake(spark, write_lines, tmp_path):
     assert rows(feed.marks()) == [("C1", "9")]
     assert "v_chat_realtime_feed" in publish(lake, "chat", live=True)
     assert spark.table("v_chat_realtime_feed").count() == 5
+    live = {r["message_ts"] for r in spark.table("bronze_chat_messages").collect()}
+    assert "9" in live and "v_chat_channel_activity" in publish(lake, "chat", live=True)
+
+    # History of a message that also came live counts once, as the history has it.
+    write_lines("history/channel_id=C1", [{"messages": [{"ts": "9", "user": "U1", "text": "fuller"}, {"ts": "3", "user": "U1", "text": "old"}]}])
+    backfill_chat(lake, date(2024, 1, 2), messages=str(tmp_path / "history"))
+    publish(lake, "chat", live=True)
+    got = {r["message_ts"]: r["ingestion_mode"] for r in spark.table("bronze_chat_messages").collect()}
+    assert set(got) == live | {"3"} and got["9"] == got["3"] == "historical"
 
 
 def test_envelopes_from_a_text_stream(spark, write_lines, place):
