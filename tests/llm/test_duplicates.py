@@ -85,6 +85,52 @@ def test_line_chunks_are_those_of_brute_force(spark):
         assert got[i]["removed_bytes"] == len((t or "").encode()) - len((got[i]["text"] or "").encode())
 
 
+def brute_runs(docs):
+    """What stays when each line goes that lies in two lines which came before, not on the same lines; the runs that came before, and how many of them stay in part."""
+    first, out, runs = {}, {}, []
+    for key, text in sorted((k, t) for k, t in docs if t is not None):
+        at, seen = 0, []
+        for x in re.findall(r"[^\n]*\n|[^\n]+", text):
+            seen.append((at, at + len(x), x.rstrip("\n")))
+            at += len(x)
+        solid = [k for k, x in enumerate(seen) if x[2]]
+        gone = set()
+        for a, b in zip(solid, solid[1:]):
+            name = (seen[a][2], b - a, seen[b][2])
+            if name not in first:
+                first[name] = (key, b)
+            elif first[name][0] != key or a > first[name][1]:
+                gone |= set(range(a, b + 1))
+                runs.append((key, a, b))
+        out[key] = "".join(text[s:e] for k, (s, e, _) in enumerate(seen) if k not in gone)
+    return out, runs
+
+
+def test_every_repeated_run_of_lines_goes(spark):
+    rng = np.random.default_rng(4)
+    lines = [f"line number {i} é\n" for i in range(60)] + ["\n"]
+    docs = []
+    for i in range(80):
+        body = f"own {i}\n" + "".join(rng.choice(lines, rng.integers(0, 9))) + f"also own {i}\n" + "".join(rng.choice(lines, 3))
+        docs.append((i, body.rstrip("\n") if i % 3 == 0 else body))
+    docs += [(100, docs[3][1]), (101, docs[4][1] + "\n"), (103, ""), (104, "q\n" * 3), (105, "q\n" * 6), (106, "two\nlines"), (107, "x\ntwo\nlines\ny"), (108, "two\n\nlines")]
+    got = {r["doc_id"]: r for r in line_dedup.remove_runs(spark.createDataFrame([*docs, (102, None), docs[7]], "doc_id long, text string")).collect()}
+    wanted, runs = brute_runs(docs)
+    assert len(runs) > 30 and {i: r["text"] for i, r in got.items()} == {**wanted, 102: None}
+    assert got[100]["text"] == got[101]["text"].strip("\n") == "" and got[107]["text"] == "x\ny" and got[108]["text"] == "two\n\nlines"
+    for i, t in docs:
+        assert got[i]["removed_bytes"] == len(t.encode()) - len(got[i]["text"].encode()) and (got[i]["removed_chunks"] > 0) == (got[i]["removed_bytes"] > 0)
+
+
+def test_runs_of_the_given_table_and_edge_cases(spark, messy, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    wanted, runs = brute_runs([tuple(r) for r in docs.collect()])
+    assert runs and {r["doc_id"]: r["text"] for r in line_dedup.remove_runs(docs).collect() if r["text"] is not None} == wanted
+    out = line_dedup.remove_runs(messy.drop("removed_chunks"))
+    assert out.columns == [*messy.drop("removed_chunks").columns, "removed_chunks", "removed_bytes"] and out.count() == len(MESSY)
+    assert line_dedup.remove_runs(empty.drop("removed_chunks")).count() == 0
+
+
 def test_a_hot_chunk(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a\nb\nc\nd\ne\nf\ng\nh\n"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("own "), "id")).otherwise("")).alias("text"))
     rows = line_dedup.dedup(docs).filter("removed_bytes > 0")

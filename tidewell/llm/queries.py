@@ -23,7 +23,7 @@ def op2_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cleaned = line_dedup.remove_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select(
         "doc_id", "removed_chunks", "removed_bytes", F.octet_length("text").alias("kept_bytes"), F.sha2(F.col("text"), 256).alias("kept_sha256")
     )
