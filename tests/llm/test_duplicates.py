@@ -137,6 +137,22 @@ def test_a_hot_chunk(spark):
     assert rows.count() >= 2998
 
 
+@pytest.mark.parametrize("first_ends", [True, False])
+def test_a_footer_at_the_end_and_before_text(spark, first_ends):
+    for k in range(100):  # one that is cut at its end, wherever it stands
+        footer = "".join(f"footer line {k} {i}\n" for i in range(12))
+        body = f"{footer}more".encode()
+        *_, end, lines = line_dedup.chunks(np.frombuffer(body, np.uint8), np.array([0, len(body)]))
+        if end[-2:].tolist() == [len(footer), len(body)] and lines[-2] >= 2:
+            break
+    docs = [(i, f"own {i}\n{footer}" + (f"more {i}" if (i > 0) == first_ends and i != 9 else "")) for i in range(10)]
+    docs = [(i, t.rstrip("\n")) for i, t in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(frame).collect()} == brute_lines(docs)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_runs(frame).collect()}
+    assert footer.strip() in got[0] and not any("footer" in got[i] for i in range(1, 10))
+
+
 def test_line_edge_cases(messy, empty):
     out = line_dedup.dedup(messy.drop("removed_chunks"))
     assert out.columns == [*messy.drop("removed_chunks").columns, "removed_chunks", "removed_bytes"]
