@@ -133,6 +133,17 @@ def test_matches_are_those_of_brute_force(spark, shard_items):
     assert clean == {i for i, _ in docs} - {d for d, _ in got}
 
 
+def test_verbatim_items_of_every_length_match(spark):
+    rng = np.random.default_rng(3)
+    words = [f"v{i}" for i in range(3000)]
+    items = [(n, " ".join(rng.choice(words, n, replace=False))) for n in range(1, 41)]
+    items += [(n + 100, " ".join(rng.choice(words, n - 1, replace=False)) + "? yes") for n in range(2, 41)]
+    docs = [(i, f"{' '.join(rng.choice(WORDS, 50))} {t} {' '.join(rng.choice(WORDS, 30))}") for i, t in items]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(*frames).collect()}
+    assert {(i, i) for i, _ in items} - got == set()
+
+
 def test_decontamination_edge_cases(spark, messy, empty):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (None, "b"), (1, "a"), (2, None)], "item_id long, text string")
     pairs = decontamination.matches(messy, items)

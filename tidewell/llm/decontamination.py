@@ -11,7 +11,8 @@ largest weights must reach the threshold, else no item can; then, for each block
 sum of the terms' block maxima; only blocks that reach it are scored, and all items above the
 threshold are retrieved. Those are verified on the words: of the five-word shingles of the item's
 question, and of its answer, at least ``overlap`` must be in the passage. The answer is the
-item's last sentence, or its last third where no sentence ends.
+item's last sentence, or its last third where no sentence ends, and five words at least; shorter
+items than ten words are judged as a whole.
 
 The index goes to the tasks in shards of ``shard_items`` items, one pass over the documents for
 each shard, so what is sent is bounded whatever the benchmark's size. Documents are never shuffled.
@@ -72,14 +73,14 @@ def _text_words(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _split(text: str, starts: np.ndarray) -> int:
-    """The answer's first word: that of the last sentence, or of the last third."""
+    """The answer's first word: that of the last sentence, or of the last third; both parts have five words or more."""
     raw = text.encode().rstrip()
     for at in range(len(raw) - 2, 0, -1):
         if raw[at : at + 1] in b".?!\n" and (raw[at + 1 : at + 2].isspace() or raw[at : at + 1] == b"\n"):
             k = int(np.searchsorted(starts, at))
             if SHINGLE <= k <= len(starts) - SHINGLE:
                 return k
-    return 2 * len(starts) // 3
+    return max(SHINGLE, min(2 * len(starts) // 3, len(starts) - SHINGLE))
 
 
 def build(items: list[tuple[int, str]]) -> Index | None:
