@@ -144,6 +144,43 @@ def test_verbatim_items_of_every_length_match(spark):
     assert {(i, i) for i, _ in items} - got == set()
 
 
+def edited(words, rng, kind):
+    """One word replaced, left out or put in."""
+    at = int(rng.integers(0, len(words)))
+    return words[:at] + {0: ["edited"], 1: [], 2: ["edited", words[at]]}[kind] + words[at + 1 :]
+
+
+def test_one_edit_hides_no_item(spark):
+    rng = np.random.default_rng(5)
+    words = [f"v{i}" for i in range(3000)]
+    items = [(n, list(rng.choice(words, n, replace=False))) for n in range(5, 61)]
+    filler = lambda n: " ".join(rng.choice(WORDS, n))
+    docs, wanted = [], set()
+    for n, x in items:
+        for k in range(6):
+            docs.append((len(docs), f"{filler(50)} {' '.join(edited(x, rng, k % 3))} {filler(30)}"))
+            wanted.add((docs[-1][0], n))
+        if n >= 10:  # half of the answer, or its words in other places, are not the item
+            at = decontamination._split(" ".join(x), np.arange(n))
+            docs.append((len(docs), f"{filler(40)} {' '.join(x[: (at + n) // 2])} {filler(30)}"))
+            mixed = " ".join(f"{w} {filler(1)}" for w in rng.permutation(x))
+            docs.append((len(docs), f"{filler(10)} {mixed} {filler(10)}"))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(x)) for n, x in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(*frames).collect()} == wanted
+
+
+def test_edits():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        part, words = rng.integers(0, 4, rng.integers(1, 7)), rng.integers(0, 4, rng.integers(0, 9))
+        rows = [[0] * (len(words) + 1)]
+        for i, p in enumerate(part, 1):
+            rows.append([i])
+            for j, w in enumerate(words, 1):
+                rows[i].append(min(rows[i - 1][j - 1] + (p != w), rows[i - 1][j] + 1, rows[i][j - 1] + 1))
+        assert decontamination.edits(part, words) == min(rows[-1])
+
+
 def test_decontamination_edge_cases(spark, messy, empty):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (None, "b"), (1, "a"), (2, None)], "item_id long, text string")
     pairs = decontamination.matches(messy, items)

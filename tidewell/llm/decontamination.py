@@ -9,10 +9,13 @@ twice the longest item's words, half overlapping, so an item that occurs lies wh
 Passages are evaluated a batch at a time, as in block-max WAND: first the sum of the terms'
 largest weights must reach the threshold, else no item can; then, for each block of items, the
 sum of the terms' block maxima; only blocks that reach it are scored, and all items above the
-threshold are retrieved. Those are verified on the words: of the five-word shingles of the item's
-question, and of its answer, at least ``overlap`` must be in the passage. The answer is the
-item's last sentence, or its last third where no sentence ends, and five words at least; shorter
-items than ten words are judged as a whole.
+threshold are retrieved. Those are verified on the words: of the shingles of the item's question,
+and of its answer, at least ``overlap`` must be in the passage. Shingles have five words, and fewer
+in parts of under 24 words, so that one edited word breaks a quarter of a part's shingles at most.
+Shingles of one or two words can lie anywhere, so a part that has them must also be in the passage
+as a run in which not more than 1 - ``overlap`` of its words are edited. The answer is the item's
+last sentence, or its last third where no sentence ends, and five words at least; shorter items
+than ten words are judged as a whole, and those under five words must be there as they are.
 
 The index goes to the tasks in shards of ``shard_items`` items, one pass over the documents for
 each shard, so what is sent is bounded whatever the benchmark's size. Documents are never shuffled.
@@ -54,18 +57,36 @@ class Index(NamedTuple):
     weight: np.ndarray
     question: list[np.ndarray]  # shingles by item
     answer: list[np.ndarray]
-    size: list[int]  # words in a shingle: five, or the whole of a shorter item
+    size: list[tuple[int, int]]  # words in a shingle of the question, and of the answer
+    loose: list[list[np.ndarray]]  # words of the parts whose shingles don't tell where they lie
     stride: int
 
 
-def shingles(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of n words."""
+def shingle_size(words: int) -> int:
+    """So many words that one edit breaks a quarter of a part's shingles at most; all of them in a part under five."""
+    return words if words < SHINGLE else min(SHINGLE, (words + 1) // 5)
+
+
+def shingles(words: np.ndarray, n: int | tuple[int, int]) -> np.ndarray:
+    """Hashes of all runs of n words, or of the two sizes."""
+    if isinstance(n, tuple):
+        return np.concatenate([shingles(words, k) for k in sorted(set(n))])
     if len(words) < n:
         return np.zeros(0, np.uint64)
     size = len(words) - n + 1
     return T.mix(sum((words[k : k + size] * _JOIN[k] for k in range(n)), np.zeros(size, np.uint64)))
 
 
+def edits(part: np.ndarray, words: np.ndarray) -> int:
+    """The fewest words to replace, leave out or put in that make some run of the words the part."""
+    at = np.arange(len(words) + 1)
+    row = np.zeros(len(words) + 1, np.int64)
+    for k, word in enumerate(part, 1):
+        here = np.append(k, np.minimum(row[:-1] + (words != word), row[1:] + 1))
+        row = np.minimum.accumulate(here - at) + at
+    return int(row.min())
+
+
 def _text_words(text: str) -> tuple[np.ndarray, np.ndarray]:
     data = T.LOWER[np.frombuffer(text.encode(), np.uint8)]
     starts, hashes, _ = T.words(data, np.array([0, len(data)]), SEPARATORS)
@@ -93,7 +114,7 @@ def build(items: list[tuple[int, str]]) -> Index | None:
             lists.append(hashes)
             k = _split(text, starts)
             whole = len(hashes) < 2 * SHINGLE
-            parts.append((hashes, hashes, min(SHINGLE, len(hashes))) if whole else (hashes[:k], hashes[k:], SHINGLE))
+            parts.append((hashes, hashes) if whole else (hashes[:k], hashes[k:]))
     if not names:
         return None
     lengths = np.array([len(x) for x in lists])
@@ -112,7 +133,9 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     return Index(
         np.array(names), terms, most, np.searchsorted(term[first], np.arange(len(terms) + 1)), (item // ITEMS_IN_BLOCK)[first],
         np.maximum.reduceat(weight, first), np.append(first, len(item)), (item % ITEMS_IN_BLOCK).astype(np.int64), weight,
-        [shingles(q, n) for q, _, n in parts], [shingles(a, n) for _, a, n in parts], [n for _, _, n in parts], max(32, int(lengths.max())),
+        [shingles(q, shingle_size(len(q))) for q, _ in parts], [shingles(a, shingle_size(len(a))) for _, a in parts],
+        [(shingle_size(len(q)), shingle_size(len(a))) for q, a in parts],
+        [[x for x in (q, a) if len(x) >= SHINGLE and shingle_size(len(x)) <= 2] for q, a in parts], max(32, int(lengths.max())),
     )
 
 
@@ -163,11 +186,13 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: float
     for passage, item, score in zip(*(x.tolist() for x in retrieve(index, pairs >> 32, pairs & 0xFFFFFFFF, int(base[-1]), threshold))):
         r = int(np.searchsorted(base, passage, "right")) - 1
         first = int(begin[r]) + (passage - int(base[r])) * index.stride
-        there = shingles(hashes[first : min(first + 2 * index.stride, int(begin[r + 1]))], index.size[item])
+        words = hashes[first : min(first + 2 * index.stride, int(begin[r + 1]))]
+        there = shingles(words, index.size[item])
         question = float(np.isin(index.question[item], there).mean())
         answer = float(np.isin(index.answer[item], there).mean())
         if question >= overlap and answer >= overlap and best.get((r, item), (0.0,))[0] < score:
-            best[r, item] = (score, question, answer)
+            if all(edits(part, words) <= (1 - overlap) * len(part) for part in index.loose[item]):
+                best[r, item] = (score, question, answer)
     return [(r, item, *values) for (r, item), values in best.items()]
 
 
