@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -295,6 +296,26 @@ def test_vector_recall_on_the_given_table(spark):
     assert (got <= degree).all() and got.sum() >= 0.99 * degree.sum()
 
 
+def test_links_in_a_cone_are_found(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    n, dim, pairs = 100_000, 64, 2000
+    axis = np.zeros(dim)
+    axis[0] = 1
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    x = unit(0.8**0.5 * axis + 0.2**0.5 * unit(rng.standard_normal((n, dim))))  # mean cosine 0.8
+    away = rng.standard_normal((pairs, dim))
+    away = unit(away - (away * x[:pairs]).sum(1, keepdims=True) * x[:pairs])
+    x[pairs : 2 * pairs] = 0.905 * x[:pairs] + (1 - 0.905**2) ** 0.5 * away
+    degree = np.concatenate([(x[i : i + 500] @ x.T >= 0.9).sum(1) - 1 for i in range(0, n, 500)])
+    path = str(tmp_path / "cone.parquet")
+    pq.write_table(pa.table({"vec_id": pa.array(range(n), pa.int64()), "embedding": pa.array(list(x), pa.list_(pa.float64()))}), path, row_group_size=20_000)
+    got = embeddings.near_duplicates(spark.read.parquet(path)).select("vec_id", "n_links").toPandas().sort_values("vec_id")["n_links"].to_numpy()
+    assert len(got) == n and (got <= degree).all() and got.sum() >= 0.99 * degree.sum()
+
+
 def test_vector_edge_cases(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embeddings.near_duplicates(none).count() == 0
