@@ -1,0 +1,134 @@
+"""The prefix trie against a dictionary of prefixes."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tests.conftest import rows
+from tidewell.llm import prefix_trie as P
+
+
+def rebuilt(table):
+    """Conversations as lists of turns; equal turns of one number go by their mark."""
+
+    def mark(turn):
+        import base64
+
+        role, text = turn
+        told = str(len(role.encode())).encode() + b":" + role.encode() + text.encode()
+        return base64.b64encode(hashlib.sha256(told).digest()[:18]).decode()
+
+    own = defaultdict(list)
+    for conv, turn, role, text in table:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, (role or "", text or "")))
+    own = {c: [x[2] for x in sorted(t, key=lambda x: (x[0], x[1], mark(x[2])))] for c, t in own.items()}
+    out = {}
+    for c, t in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        host = (abs(c) - abs(c) % 100) * (1 if c >= 0 else -1)
+        out[c] = own.get(host, [])[:h] + t[h:]
+    return out
+
+
+def brute(table):
+    built = rebuilt(table)
+    members = defaultdict(list)
+    for c, t in sorted(built.items()):
+        for d in range(len(t) + 1):
+            members[tuple(t[:d])].append(c)
+    kids = defaultdict(int)
+    for prefix in members:
+        if prefix:
+            kids[prefix[:-1]] += 1
+    out = []
+    for prefix, convs in members.items():
+        below = [q for q in members if q[: len(prefix)] == prefix]
+        saved = sum((len(members[q]) - 1) * len(q[-1][1]) for q in below if q)
+        ends = [c for c in convs if len(built[c]) == len(prefix)]
+        out.append(
+            (convs[0], len(prefix), members[prefix[:-1]][0] if prefix else None, len(convs), kids[prefix], sum(kids[q] == 0 for q in below), saved,
+             hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest())
+        )
+    return sorted(out, key=repr)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string, key string, chars int, part int, host long, n_convs long"
+
+
+def frame(spark, table):
+    return spark.createDataFrame([(*t, "k", 1, 2, 3, 4) for t in table], SCHEMA)
+
+
+def drawn(seed, convs, words):
+    random.seed(seed)
+    table = []
+    for c in range(convs):
+        for turn in range(random.choice([1, 2, 3, 5, 9])):
+            table.append((c, turn, random.choice(["user", "bot", None]), random.choice(words)))
+    return table
+
+
+MESSY = [
+    (100, 0, "user", "a"), (100, None, "user", "first"), (100, None, None, None), (100, 3, "é", "日本"), (100, 4, "user", ""), (100, 5, "u", "x" * 300_000),
+    (101, 0, "user", "a"), (101, 0, "user", "a"), (101, 0, "bot", "b"), (102, 7, None, "t"), (None, 1, "user", "lost"), (-7, 0, "user", "a"), (-100, 0, "user", "z"),
+    (250, 0, "user", "a"), (251, 0, "user", "a"), (252, 0, "user", "a"), (300, 0, "ab", "c"), (301, 0, "a", "bc"),
+]
+
+
+@pytest.mark.parametrize("run_turns", [P.RUN, 40, 1])
+def test_nodes(spark, run_turns):
+    for table in (drawn(1, 230, ["", "a", "b"]), drawn(2, 60, ["a"]), MESSY):
+        df = frame(spark, table).repartition(3)
+        assert sorted(rows(P.nodes(P.rebuild(df), run_turns)), key=repr) == brute(table)
+
+
+def test_a_very_common_conversation_and_a_very_long_one(spark):
+    same = [(c, t, "user", f"turn {t}") for c in range(1000, 1400) for t in range(3)]
+    long = [(5, t, "user", str(t % 7)) for t in range(3000)] + [(6, t, "user", str(t % 7)) for t in range(2990)]
+    table = same + long
+    got = rows(P.nodes(P.rebuild(frame(spark, table)), 64))
+    built = rebuilt(table)
+    want = {tuple(t[:d]) for t in built.values() for d in range(len(t) + 1)}
+    assert len(got) == len(want)
+    assert sum(r[3] for r in got) == sum(len(t) + 1 for t in built.values())
+    root = next(r for r in got if r[1] == 0)
+    assert root[3] == len(built) and root[2] is None
+    ends = hashlib.sha256(",".join(str(c) for c in sorted(built) if built[c] == built[1000]).encode()).hexdigest()
+    assert ends in {r[7] for r in got}
+
+
+def test_empty(spark):
+    assert rows(P.nodes(P.rebuild(frame(spark, MESSY).limit(0)))) == []
+    assert rows(P.nodes(P.rebuild(frame(spark, [(None, 1, "user", "a")])))) == []
+
+
+def test_extents():
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 4, 200)
+    table = P.sparse(common)
+    at, depth = rng.integers(0, 200, 500), rng.integers(0, 5, 500)
+    left, right = P.extents(table, at, depth)
+    for i, d, a, b in zip(at, depth, left, right):
+        lo = hi = i
+        while lo > 0 and common[lo] >= d:
+            lo -= 1
+        while hi + 1 < 200 and common[hi + 1] >= d:
+            hi += 1
+        assert (a, b) == (lo, hi)
+    assert P.least(table, np.array([0, 3]), np.array([199, 3])).tolist() == [common.min(), common[3]]
+
+
+def test_a_common_prefix_meets_no_single_task(spark):
+    """Whatever many conversations share, what is shuffled by prefix is some rows a run."""
+    table = [(c, t, "user", "same" if t < 2 else str(c)) for c in range(2000) for t in range(3)]
+    df = frame(spark, table)
+    built = P.rebuild(df)
+    whole = built.repartitionByRange(4, "key", "conv_id").sortWithinPartitions("key", "conv_id").mapInArrow(P._search(500), P.PARTS)
+    kinds = dict(whole.groupBy("kind").count().collect())
+    # two paths of four nodes at most a run, of which there are 16 or so; most third turns are the host's
+    assert kinds[P.PART] < 200 and kinds[P.WHOLE] > 900

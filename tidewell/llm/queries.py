@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontamination, embeddings, language_id, line_dedup, minhash, packing, sharding, suffix_dedup, token_files, toxicity
+from tidewell.llm import bpe_codec, decontamination, divergence, embeddings, language_id, line_dedup, minhash, packing, prefix_trie, sharding, suffix_dedup, token_files, toxicity
 from tidewell.session import scratch
 
 
@@ -63,7 +63,22 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
 
 
+def op11_prefix_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.rebuild(table(spark, sf_dir, "conversations")))
+
+
+def op12_rank_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *ranks).drop("text")
+    decoded = bpe_codec.decode(encoded, *ranks)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_source_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_families, op2_bm25_decontamination, op3_line_chunks, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op7_setsketch_duplicates, op8_projection_passes, op9_repeat_intervals, op10_window_packing)
+    for f in (op1_language_families, op2_bm25_decontamination, op3_line_chunks, op4_token_planes, op5_feistel_shards, op6_toxic_severity, op7_setsketch_duplicates, op8_projection_passes, op9_repeat_intervals, op10_window_packing, op11_prefix_ranges, op12_rank_codec, op13_source_pairs)
 }
