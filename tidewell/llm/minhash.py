@@ -6,7 +6,8 @@ exponential variable and rounded down on the scale of powers of 1.001, cut off a
 registers merge by maximum, and two sketches agree in a register about as often as the sets'
 Jaccard similarity, so runs of four registers are used as bands.
 
-1. Documents with equal sets are one class, named by the smallest id; only classes go on.
+1. Documents with equal sets, by a BLAKE2 digest of all their shingles, are one class, named by the
+   smallest id; only classes go on.
 2. In each band's bucket every class is compared with two of its members: the smallest, and one
    drawn by a hash. A link to either joins the class to the bucket's component, so large groups
    need a number of comparisons in proportion to their size.
@@ -19,12 +20,13 @@ Jaccard similarity, so runs of four registers are used as bands.
 5. Links are verified on the full sets: 100 * intersection >= 75 * union.
 
 A pair at the threshold misses all 32 bands with a chance of about 5e-6. Null texts and texts
-without words have no set and link with nothing. Rows with the same id are one node; a null id
-links with nothing. Empty tables give no rows; other columns are not read.
+without words have no set and link with nothing. Rows with the same id are one node, linked with
+all that any of them is equal or near to; a null id links with nothing. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,21 +97,19 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.binary())])
+    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in T.blocks(*T.column(batch.column("text"))):
                 hashes, bounds = shingle_sets(data, offsets)
                 rows, n = len(offsets) - 1, np.diff(bounds)
-                sums = np.concatenate([[0], np.cumsum(hashes)]).astype(np.uint64)
-                mixed = np.concatenate([[0], np.cumsum(T.mix(hashes ^ _HASH[0]))]).astype(np.uint64)
-                signs = ((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in (sums, mixed))
+                signs = [hashlib.blake2b(x, digest_size=16).digest() for x in T.slices(hashes, bounds)]
                 sketch = registers(hashes, bounds)
-                columns = [batch.column("doc_id").slice(at, rows), pa.array(n), *map(pa.array, signs), pa.array([x.tobytes() for x in sketch], pa.binary())]
+                columns = [batch.column("doc_id").slice(at, rows), pa.array(n), pa.array(signs, pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, sig binary, sketch binary")
 
 
 def _saved(df: DataFrame, label: str) -> DataFrame:
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     sketches = _saved(_sketches(docs), "sketches")
     full = sketches.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"))
+    classes = full.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     classes = _saved(classes, "classes")
     width = 2 * BAND
     bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sketch", k * width + 1, F.lit(width))))
@@ -280,11 +280,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = blocked.select(*columns, F.explode(partners).alias("_b")).select(*columns, "_b.low", "_b.high")
     promising = _saved(_promising(met.join(classes.select("doc_id", "n", "sketch"), "doc_id")), "promising")
     more = _between(promising.join(_sets(promising.select("doc_id"), docs), "doc_id"))
-    final = components(links.unionAll(more)).withColumnRenamed("node", "doc_id")
-
-    named = sketches.select("doc_id", "n", "s1", "s2").join(
-        classes.join(final, "doc_id", "left").select("s1", "s2", "n", F.coalesce("component", "doc_id").alias("component")), ["s1", "s2", "n"], "left"
-    )
+    # an id with several sets belongs to several classes, which are thereby one
+    several = full.groupBy("doc_id").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).filter("x <> y").select("doc_id")
+    named = join_on(join_on(full.select("doc_id", "sig"), several, ["doc_id"], "inner"), classes.select("sig", F.col("doc_id").alias("b")), ["sig"], "inner")
+    same = named.filter("doc_id <> b").select(F.col("b").alias("a"), F.col("doc_id").alias("b")).distinct()
+    final = components(links.unionAll(more).unionAll(same)).withColumnRenamed("node", "doc_id")
+
+    of_class = classes.join(final, "doc_id", "left").select("sig", F.coalesce("component", "doc_id").alias("component"))
+    named = join_on(sketches.select("doc_id", "n", "sig"), of_class, ["sig"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return named.select(

@@ -7,7 +7,8 @@ has the same anchor at the same distance. What a passage can span around an anch
 anchor's *context*: 150 bytes before its start and 200 after.
 
 1. Anchors that occur once are dropped; counts are combined before the shuffle.
-2. Equal contexts of an anchor are one, with a count. One that occurs twice repeats as a whole.
+2. Equal contexts of an anchor, by a 128-bit BLAKE2 digest, are one, with a count. One that occurs
+   twice repeats as a whole.
 3. Anchors with several different contexts are searched for maximal repeats. Suffixes that end at
    the anchor are sorted backwards, their common lengths stack-scanned to a tree of intervals: all
    places that share so many bytes before the anchor and then differ. For each interval its
@@ -21,8 +22,8 @@ anchor's *context*: 150 bytes before its start and 200 after.
 5. Each document gets the places of its anchors' repeats, and they are united.
 
 Texts are bytes of UTF-8; null is empty; matches never cross documents, overlaps count, and texts
-of under 200 bytes match nothing. Rows with the same id and text are different documents that
-repeat each other. Empty tables give no rows. ``remove`` keeps all columns.
+of under 200 bytes match nothing. Every row is a document, whatever its id: rows with the same id and
+text repeat each other, rows with the same or no id and different texts don't share anything. Empty tables give no rows. ``remove`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,12 +75,12 @@ def _slide(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash, start, first and end byte of the context, and context hash of a block's anchors."""
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash, start, first and end byte of the context of a block's anchors."""
     empty = np.zeros(0, np.int64)
     lengths = np.diff(offsets)
     if not len(data) or lengths.max() < LEAST:
-        return empty, empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty
     sums, back = _sums(data), _inverse_powers(len(data) + 1)
     grams = len(data) - GRAM + 1
     hashes = T.mix((sums[GRAM:] - sums[:grams]) * back[:grams])
@@ -92,8 +94,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     at = np.flatnonzero((hashes == most) & (rest[:grams] >= GRAM))
     row = np.searchsorted(offsets, at, "right") - 1
     first, end = np.maximum(at - BEFORE, offsets[row]), np.minimum(at + AFTER, offsets[row + 1])
-    context = (sums[end] - sums[first]) * back[first] + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return row, hashes[at].view(np.int64), at, first, end, T.mix(context + (end - first).astype(np.uint64)).view(np.int64)
+    return row, hashes[at].view(np.int64), at, first, end
+
+
+def _digests(data: np.ndarray, at: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """128 bits of each context and of where the anchor lies in it."""
+    raw = data.tobytes()
+    return [hashlib.blake2b(raw[a:b], digest_size=16, salt=(i - a).to_bytes(2, "big")).digest() for i, a, b in zip(at.tolist(), first.tolist(), end.tolist())]
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -208,21 +215,33 @@ def reach(lefts: list[bytes], rights: list[bytes], least: int = LEAST) -> tuple[
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("rid", F.hash("text"))
+    """Adds ``key``, 128 bits of a SHA-256 of id and text: rows that share it are alike in both."""
+    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return docs.withColumn("key", F.substring(F.unhex(F.sha2(told, 256)), 1, 16))
+
+
+ROWS = "h long, ctx binary, row long, pos int, before short, after short, key binary"
+ROWS_ARROW = pa.schema([("h", pa.int64()), ("ctx", pa.binary()), ("row", pa.int64()), ("pos", pa.int32()), ("before", pa.int16()), ("after", pa.int16()), ("key", pa.binary())])
 
 
 def _anchor_rows(keyed: DataFrame) -> DataFrame:
-    kinds = pa.schema([("h", pa.int64()), ("ctx", pa.int64()), ("did", pa.int64()), ("rid", pa.int32()), ("pos", pa.int32()), ("before", pa.int16()), ("after", pa.int16())])
+    """A row per anchor with the number of its document, and one (row, key) per document with anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            did, rid = (batch.column(c).to_numpy() for c in ("did", "rid"))
+            keys = batch.column("key")
             for base, data, offsets in T.blocks(*T.column(batch.column("text"))):
-                row, h, at, first, end, ctx = anchors(data, offsets)
-                columns = (h, ctx, did[base + row], rid[base + row], (at - offsets[row]).astype(np.int32), (at - first).astype(np.int16), (end - at).astype(np.int16))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds)], schema=kinds)
+                row, h, at, first, end = anchors(data, offsets)
+                columns = (h, _digests(data, at, first, end), number + base + row, at - offsets[row], at - first, end - at, [None] * len(row))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, ROWS_ARROW)], schema=ROWS_ARROW)
+                held = base + np.unique(row)
+                nothing = {k.name: pa.nulls(len(held), k.type) for k in ROWS_ARROW}
+                found = nothing | {"row": pa.array(number + held), "key": keys.take(pa.array(held))}
+                yield pa.RecordBatch.from_arrays(list(found.values()), schema=ROWS_ARROW)
+            number += batch.num_rows
 
-    return keyed.select("did", "rid", "text").mapInArrow(run, "h long, ctx long, did long, rid int, pos int, before short, after short")
+    return keyed.select("key", "text").mapInArrow(run, ROWS)
 
 
 def _saved(df: DataFrame, label: str) -> DataFrame:
@@ -231,7 +250,7 @@ def _saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _context_bytes(keyed: DataFrame, contexts: DataFrame) -> DataFrame:
+def _context_bytes(keyed: DataFrame, numbers: DataFrame, contexts: DataFrame) -> DataFrame:
     """h, ctx, different, before and bytes of one place of each context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,16 +262,17 @@ def _context_bytes(keyed: DataFrame, contexts: DataFrame) -> DataFrame:
                     values = (w["h"], w["ctx"], w["different"], w["before"], raw[w["pos"] - w["before"] : w["pos"] + w["after"]])
                     for column, value in zip(out, values):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.binary())
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int16(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["h", "ctx", "different", "before", "bytes"])
 
-    places = contexts.select("h", "ctx", "different", "place.*").groupBy("did", "rid").agg(F.collect_list(F.struct("h", "ctx", "different", "pos", "before", "after")).alias("wanted"))
-    texts = keyed.select("did", "rid", "text").join(places, ["did", "rid"])
-    return texts.mapInArrow(run, "h long, ctx long, different long, before short, bytes binary")
+    asked = contexts.select("h", "ctx", "different", "place.*").join(numbers, "row")
+    places = asked.groupBy("key").agg(F.collect_list(F.struct("h", "ctx", "different", "pos", "before", "after")).alias("wanted"))
+    texts = join_on(keyed.select("key", "text"), places, ["key"], "inner").select("text", "wanted")
+    return texts.mapInArrow(run, "h long, ctx binary, different long, before short, bytes binary")
 
 
-COVER = "h long, ctx long, low int, high int"
-COVER_ARROW = pa.schema([("h", pa.int64()), ("ctx", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
+COVER = "h long, ctx binary, low int, high int"
+COVER_ARROW = pa.schema([("h", pa.int64()), ("ctx", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
 
 
 def _search(contexts: DataFrame, buckets: int) -> DataFrame:
@@ -260,8 +280,8 @@ def _search(contexts: DataFrame, buckets: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("h", "ascending"), ("ctx", "ascending")])
-        h, ctx, before = (table.column(c).to_numpy() for c in ("h", "ctx", "before"))
-        parts = table.column("bytes").to_pylist()
+        h, before = (table.column(c).to_numpy() for c in ("h", "before"))
+        ctx, parts = (table.column(c).to_pylist() for c in ("ctx", "bytes"))
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]]).tolist()
         out: list[list[int]] = [[], [], [], []]
         for a, b in zip(bounds[:-1], bounds[1:]):
@@ -287,42 +307,44 @@ def _count_strings(contexts: DataFrame) -> DataFrame:
                 digests = [hashlib.blake2b(raw[s : s + LEAST], digest_size=16).digest() for s in starts]
                 n = len(digests)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h] * n, pa.int64()), pa.array([ctx] * n, pa.int64()), pa.array([s - before for s in starts], pa.int32()), pa.array(digests, pa.binary())],
+                    [pa.array([h] * n, pa.int64()), pa.array([ctx] * n, pa.binary()), pa.array([s - before for s in starts], pa.int32()), pa.array(digests, pa.binary())],
                     names=["h", "ctx", "low", "string"],
                 )
 
-    strings = contexts.select("h", "ctx", "before", "bytes").mapInArrow(run, "h long, ctx long, low int, string binary")
+    strings = contexts.select("h", "ctx", "before", "bytes").mapInArrow(run, "h long, ctx binary, low int, string binary")
     often = strings.groupBy("h", "low", "string").agg(F.count("*").alias("n")).filter("n > 1")
     return strings.join(often, ["h", "low", "string"]).select("h", "ctx", "low", (F.col("low") + LEAST).alias("high"))
 
 
-def repeats(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(h, ctx, low, high): what repeats around each context; and the places (h, ctx, did, rid, pos) of all contexts."""
-    rows = _saved(_anchor_rows(keyed), "anchors")
+def repeats(keyed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(h, ctx, low, high): what repeats around each context; the places (h, ctx, row, pos) of all contexts; (row, key) of the documents."""
+    found = _saved(_anchor_rows(keyed), "anchors")
+    rows, numbers = found.filter("key is null").drop("key"), found.filter("key is not null").select("row", "key")
     often = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     places = _saved(join_on(rows, often, ["h"], "inner"), "repeated-anchors")
-    place = F.struct("did", "rid", "pos", "before", "after")
+    place = F.struct("row", "pos", "before", "after")
     contexts = places.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     contexts = _saved(contexts, "contexts")
     whole = contexts.filter("n > 1 AND place.before + place.after >= 200")
     whole = whole.select("h", "ctx", (-F.col("place.before")).cast("int").alias("low"), F.col("place.after").cast("int").alias("high"))
     several = contexts.groupBy("h").agg(F.count("*").alias("different")).filter("different > 1")
     wanted = join_on(contexts, several, ["h"], "inner").select("h", "ctx", "different", "place")
-    mixed = _saved(_context_bytes(keyed, wanted).dropDuplicates(["h", "ctx"]), "context-bytes")
+    mixed = _saved(_context_bytes(keyed, numbers, wanted).dropDuplicates(["h", "ctx"]), "context-bytes")
     few, many = mixed.filter(F.col("different") <= GROUP), mixed.filter(F.col("different") > GROUP)
     covers = whole.unionAll(_search(few, max(1, few.count() // BUCKET)))
     if many.limit(1).count():
         covers = covers.unionAll(_count_strings(many))
-    return _saved(covers, "repeats"), places
+    return _saved(covers, "repeats"), places, numbers
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """All columns, then n_bytes, n_removed, n_spans, and the bytes that stay as ``kept``."""
     columns = docs.columns
     keyed = _keyed(docs.select(F.col("doc_id"), F.col("text")))
-    covers, places = repeats(keyed)
-    spans = places.join(covers, ["h", "ctx"]).select("did", "rid", (F.col("pos") + F.col("low")).alias("first"), (F.col("pos") + F.col("high")).alias("end"))
-    spans = spans.groupBy("did", "rid").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("spans"))  # a document's own places
+    covers, places, numbers = repeats(keyed)
+    spans = places.join(covers, ["h", "ctx"]).select("row", (F.col("pos") + F.col("low")).alias("first"), (F.col("pos") + F.col("high")).alias("end"))
+    spans = spans.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("spans"))  # a document's own places
+    spans = spans.join(numbers, "row").groupBy("key").agg(F.max("spans").alias("spans"))  # rows alike in id and text have the same ones
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,6 +370,6 @@ def remove(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_all"), *fresh], names=["_all", "n_bytes", "n_removed", "n_spans", "kept"])
 
     source = _keyed(docs.select("doc_id", "text", F.struct(*[F.col(c) for c in columns]).alias("_all")))
-    joined = source.join(spans, ["did", "rid"], "left").select("text", "spans", "_all")
+    joined = join_on(source, spans, ["key"], "left").select("text", "spans", "_all")
     out = joined.mapInArrow(run, f"_all {source.schema['_all'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select("_all.*", "n_bytes", "n_removed", "n_spans", "kept")

@@ -39,7 +39,10 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(seed)) | U64(1)
 
 
-BYTE = constants(256, 11)
+BYTE = constants(256, 11) << U64(8) | np.arange(1, 257, dtype=U64)
+#: Bytes hashed together at once, and the multipliers of their places, by level.
+RUNG = 4096
+PLACE = [constants(RUNG, 13 + level) for level in range(4)]
 BASE = U64(0xD1342543DE82EF95)
 _powers = np.ones(1, U64)
 
@@ -82,7 +85,9 @@ def blocks(data: np.ndarray, offsets: np.ndarray, size: int = BLOCK) -> Iterator
 def hash_runs(data: np.ndarray, starts: np.ndarray, skip: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of the bytes from each start to the next, without those marked ``skip``.
 
-    The runs must begin at byte 0 or after skipped bytes, and skipped bytes must end a run.
+    The runs must begin at byte 0 or after skipped bytes, and skipped bytes must end a run. Every place
+    in a run has a multiplier of its own, drawn without regard to the others, as powers of one base
+    collide on Thue-Morse words. Longer runs are hashed in rungs of 4096 bytes, whose hashes are summed the same way.
     """
     if not len(starts):
         return np.zeros(0, U64)
@@ -90,10 +95,19 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, skip: np.ndarray | None = No
     at[starts] = starts
     at = np.arange(len(data), dtype=np.int64) - np.maximum.accumulate(at)
     at[: starts[0]] = 0
-    values = BYTE[data] * powers(int(at.max()) + 1)[at]
+    values = BYTE[data] * PLACE[0][at % RUNG]
     if skip is not None:
         values[skip] = 0
-    return mix(np.add.reduceat(values, starts))
+    if int(at.max()) < RUNG:
+        return mix(np.add.reduceat(values, starts))
+    heads = starts[0] + np.flatnonzero(at[starts[0] :] % RUNG == 0)
+    sums, first = mix(np.add.reduceat(values, heads)), np.searchsorted(heads, starts)
+    for level in (1, 2, 3):  # a run without further rungs, or of skipped bytes only, keeps its first one's hash
+        k = np.arange(len(sums)) - np.repeat(first, np.diff(np.append(first, len(sums))))
+        heads = np.flatnonzero(k % RUNG == 0)
+        sums = np.add.reduceat(np.where(k % RUNG == 0, sums, sums * PLACE[level][k % RUNG]), heads)
+        first = np.searchsorted(heads, first)
+    return sums
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

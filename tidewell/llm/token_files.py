@@ -122,7 +122,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, planes: str =
         if names:
             yield close()
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    head = F.substring("text", 1, 64)  # spreads null and repeated ids, in the same order as whole texts
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", head).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, SCHEMA).write.option("compression", "none").parquet(path)
 
 

@@ -3,7 +3,8 @@
 The library spends most of its time on words it has seen before. Texts of plain Latin
 letters are cut here, by the rules of the two kinds of tokenizer that state them in their
 files, into the pieces that the library's own pre-tokenizer would give; each distinct piece
-goes to the library once and its ids are kept. Every other text, and every other kind of
+goes to the library once and its ids are kept by its bytes. A hash finds the distinct pieces of a
+block; a text with a piece that only shares its hash goes to the library whole. Every other text, and every other kind of
 tokenizer, goes to the library whole. ``tests/llm/test_tokens.py`` compares both ways.
 """
 
@@ -150,52 +151,58 @@ class Encoder:
         if not len(starts):
             return [np.zeros(0, np.uint32)] * rows
         keys, at, inverse = np.unique(T.hash_runs(data, starts, skip), return_index=True, return_inverse=True)
-        place = self._learn(keys, data, starts, at)
-        begin, per = self.begin[place][inverse], self.size[place][inverse]
+        size = np.diff(np.append(starts, len(data))) if skip is None else np.add.reduceat((~skip).astype(np.int64), starts)
+        raw = data.tobytes()
+        found = self._learn([raw[a : a + n] for a, n in zip(starts[at].tolist(), size[at].tolist())])
+        per = np.array([len(x) // 4 for x in found], np.int64)
+        pool, begin, per = np.frombuffer(b"".join(found), np.uint32), (np.cumsum(per) - per)[inverse], per[inverse]
         total = np.concatenate([[0], np.cumsum(per)])
-        ids = self.pool[np.repeat(begin - total[:-1], per) + np.arange(total[-1])]
-        return T.slices(ids, total[np.searchsorted(starts, offsets)])
+        ids = pool[np.repeat(begin - total[:-1], per) + np.arange(total[-1])]
+        bounds = np.searchsorted(starts, offsets)
+        out = T.slices(ids, total[bounds])
+        for row in self._unlike(data, starts, size, at[inverse], bounds):
+            (got,) = self.library.encode_batch_fast([raw[offsets[row] : offsets[row + 1]].decode()], add_special_tokens=False)
+            out[row] = np.array(got.ids, np.uint32)
+        return out
+
+    @staticmethod
+    def _unlike(data: np.ndarray, starts: np.ndarray, size: np.ndarray, twin: np.ndarray, bounds: np.ndarray) -> list[int]:
+        """Rows with a piece that isn't byte for byte the first one of its hash."""
+        same = size == size[twin]
+        later = np.flatnonzero((twin != np.arange(len(twin))) & same)
+        n = size[later]
+        total = np.concatenate([[0], np.cumsum(n)])
+        k = np.arange(total[-1]) - np.repeat(total[:-1], n)
+        differ = data[np.repeat(starts[later], n) + k] != data[np.repeat(starts[twin[later]], n) + k]
+        if differ.any():
+            same[later] &= np.add.reduceat(differ, total[:-1]) == 0
+        wrong = np.flatnonzero(~same)
+        return np.unique(np.searchsorted(bounds, wrong, "right") - 1).tolist()
 
     def _forget(self) -> None:
-        """No piece known: hashes in order, where their ids begin in the pool, how many they are."""
-        self.keys = np.zeros(0, np.uint64)
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.used = np.zeros(0, bool)
-        self.pool = np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Places of these pieces among those known, after the library has encoded the new ones."""
-        if len(self.keys) > KEPT:
-            if self.used.mean() > 0.5:
-                self._forget()
-            keep = self.used
-            self.keys, self.begin, self.size = self.keys[keep], self.begin[keep], self.size[keep]
-            total = np.concatenate([[0], np.cumsum(self.size)])
-            self.pool = self.pool[np.repeat(self.begin - total[:-1], self.size) + np.arange(total[-1])]
-            self.begin, self.used = total[:-1], np.zeros(len(self.keys), bool)
-        place = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        inside = place < len(self.keys)
-        new[inside] = self.keys[place[inside]] != keys[inside]
-        if new.any():
-            ends = np.append(starts[1:], len(data))
-            raw = data.tobytes()
-            bounds = zip(starts[at[new]].tolist(), ends[at[new]].tolist())
-            pieces = [raw[a:b] for a, b in bounds]
-            if self.rule == "lower":
-                pieces = [x.rstrip(b" \t\n\v\f\r") for x in pieces]
-            tokenize, letters = self.library.model.tokenize, self._letters
-            found = [[y.id for y in tokenize(x.decode("latin1").translate(letters))] for x in pieces]
-            size = np.array([len(x) for x in found], np.int64)
-            begin = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, np.array([y for x in found for y in x], np.uint32)])
-            where = place[new]
-            self.keys = np.insert(self.keys, where, keys[new])
-            self.begin, self.size = np.insert(self.begin, where, begin), np.insert(self.size, where, size)
-            self.used = np.insert(self.used, where, True)
-            place = np.searchsorted(self.keys, keys)
-        self.used[place] = True
-        return place
+        """No piece known. Ids of pieces by their bytes: those met lately, and those met before that."""
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @property
+    def keys(self) -> list[bytes]:
+        """All pieces whose ids are kept."""
+        return [*self.known, *(x for x in self.older if x not in self.known)]
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece; the library encodes those not known."""
+        if len(self.known) > KEPT // 2:
+            self.known, self.older = {}, self.known
+        out, tokenize, letters = [], self.library.model.tokenize, self._letters
+        for piece in pieces:
+            ids = self.known.get(piece)
+            if ids is None:
+                ids = self.older.get(piece)
+                if ids is None:
+                    ids = np.array([y.id for y in tokenize(piece.decode("latin1").translate(letters))], np.uint32).tobytes()
+                self.known[piece] = ids
+            out.append(ids)
+        return out
 
 
 def _byte_letters() -> list[int]:
