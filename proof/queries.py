@@ -27,6 +27,7 @@ from tidewell.sources.pages import read_pages, within
 from tidewell.streaming import events as live
 
 from . import adapters as a
+from . import maintained
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -760,6 +761,15 @@ def stream_counters(spark, sf_dir):
     return live.read_counters(spark, _live_run(spark, sf_dir, live.start_event_counters))
 
 
+# Maintained tables and views -------------------------------------------------------
+
+for _query in (
+    maintained.merge_buckets, maintained.merge_pending, maintained.maintained_stages, maintained.maintained_counts,
+    maintained.channel_activity_increments, maintained.user_activity_increments, maintained.distinct_companies,
+):
+    proof(_query)
+
+
 # Reports ----------------------------------------------------------------------------
 
 

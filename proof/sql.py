@@ -360,4 +360,23 @@ ORACLE = {
         SELECT 'channels' AS name, COUNT(*) AS rows FROM nation UNION ALL
         SELECT 'users', COUNT(*) FROM customer UNION ALL
         SELECT 'messages', COUNT(*) FROM events""",
+    "merge_pending": """
+        SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'newer' ELSE c_name END AS c_name, c_acctbal,
+               CAST(CASE WHEN c_custkey % 5 = 0 THEN 3 ELSE 2 END AS INTEGER) AS v
+        FROM customer""",
+    "distinct_companies": """
+        SELECT c_mktsegment AS lifecyclestage, 's' || (c_custkey % 5)::VARCHAR AS hs_lead_status,
+               COUNT(DISTINCT CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END) AS unique_companies
+        FROM customer GROUP BY 1, 2""",
 }
+
+ORACLE["merge_buckets"] = ORACLE["bronze_snapshot"]
+ORACLE["maintained_stages"] = ORACLE["opportunity_stage_rollup"]
+ORACLE["channel_activity_increments"] = ORACLE["channel_activity"]
+ORACLE["user_activity_increments"] = ORACLE["user_activity"]
+ORACLE["maintained_counts"] = f"""
+    SELECT 'Lead' AS view, "Status" AS g1, "LeadSource" AS g2, "Rating" AS g3, CAST(NULL AS VARCHAR) AS g4, lead_count AS rows
+    FROM ({ORACLE["lead_funnel"]}) UNION ALL
+    SELECT 'Case', "Status", "Priority", "Origin", "Type", case_count FROM ({ORACLE["case_analysis"]}) UNION ALL
+    SELECT 'engagements', hs_engagement_type, hs_engagement_source, NULL, NULL, engagement_count FROM ({ORACLE["engagement_summary"]}) UNION ALL
+    SELECT 'tickets', hs_ticket_priority, hs_ticket_category, hs_pipeline_stage, NULL, ticket_count FROM ({ORACLE["ticket_analysis"]})"""

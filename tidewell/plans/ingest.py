@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ..functions import epoch, epoch_key, epoch_text, first_filled
 from ..model.specs import CHAT, DOUBLE, INT, LONG, SALES, TEXT, TableSpec, find_spec
 from ..operators import state as st
+from ..operators.buckets import MergeTable
 from ..operators.coerce import coerce
 from ..operators.flatten import flatten_channels, flatten_properties, flatten_users
 from ..operators.infer import spec_from_schema
@@ -41,7 +42,7 @@ PARTITIONS = {"sales": ["org_id", "ingest_date"], "marketing": ["year", "month"]
 #: The record's modification time, landed beside the declared columns.
 MODIFIED = "_modified"
 BACKFILL = "backfill_"
-SNAPSHOT = "/snapshot"
+SNAPSHOT, MERGED = "/snapshot", "/merged"
 #: State kept under names of its own: where the loads after a reset begin, and declarations.
 RESETS, DECLARED = "reset:", "declared:"
 
@@ -103,8 +104,8 @@ class Lake:
     def bronze(self, family: str, entity: str) -> DataFrame:
         """The newest row per key over all loads of a table; of equals, the later loaded.
 
-        With a snapshot, only the loads after it are compared with it; without later loads
-        the snapshot is read as it is.
+        With a snapshot or merged loads, only the loads after them are compared with them; without
+        later loads they are read as they are.
         """
         spec = self.spec(family, entity)
         if family == "chat" and entity in ("users", "channels"):
@@ -112,18 +113,16 @@ class Lake:
         if family == "chat" and entity == "realtime_events":
             return read_events(self.spark, self.live)
         resource = _resource(family, entity)
-        states = self.state.load_some(family, resource, entity + SNAPSHOT)
+        states = self.state.load_some(family, resource, entity + SNAPSHOT, entity + MERGED)
         first, following = self.span(family, resource, states.get(resource))
-        taken = states.get(entity + SNAPSHOT)
-        if taken is not None and taken.get("columns", [list(c) for c in spec.columns]) != [list(c) for c in spec.columns]:
-            taken = None  # the table has changed since
-        rows = self.landed(spec).where((F.col("load") >= first) & (F.col("load") < following))
-        if spec.as_text:
-            typed = dataclasses.replace(spec, columns=(*spec.columns, (MODIFIED, TEXT), ("load", INT)))
-            rows = coerce(rows, typed)
-        rows = rows.select(*spec.names, MODIFIED, "load")
+        columns = [list(c) for c in spec.columns]
+        bases = [b for b in (states.get(entity + MERGED), states.get(entity + SNAPSHOT)) if b is not None]
+        # of tables as they are now: not from before a reset or a change of columns
+        bases = [b for b in bases if b.get("columns", columns) == columns and b.get("since", first) == first]
+        taken = max(bases, key=lambda b: b["through"], default=None)
+        rows = self._loads(spec, first, following)
         if taken is not None:
-            kept = read_landed(self.spark, taken["path"], spec.struct())
+            kept = self._merge_table(spec, taken).read() if "buckets" in taken else read_landed(self.spark, taken["path"], spec.struct())
             if taken["through"] >= following - 1:
                 return kept
             through = F.lit(taken["through"])
@@ -132,6 +131,40 @@ class Lake:
         # A load takes nothing older than the loads before it, so the later one is the newer.
         return latest_per_key(rows, spec.keys, ["load", MODIFIED]).drop("load", MODIFIED)
 
+    def _loads(self, spec: TableSpec, first: int, following: int) -> DataFrame:
+        """Typed rows of the loads from first up to following, with their modification time and load."""
+        rows = self.landed(spec).where((F.col("load") >= first) & (F.col("load") < following))
+        if spec.as_text:
+            typed = dataclasses.replace(spec, columns=(*spec.columns, (MODIFIED, TEXT), ("load", INT)))
+            rows = coerce(rows, typed)
+        return rows.select(*spec.names, MODIFIED, "load")
+
+    def _merge_table(self, spec: TableSpec, taken: dict[str, Any]) -> MergeTable:
+        return MergeTable(self.spark, taken["path"], spec.struct(), spec.keys, taken["buckets"])
+
+    def merge_loads(self, family: str, entity: str, buckets: int = 64) -> list[int]:
+        """Merge the loads since the last merge into a bucketed table that later reads start from.
+
+        Only the buckets that these loads touch are rewritten; returns them. A merge that died
+        before its state was saved is known by its load number and not repeated. After a reset or a
+        change of columns a new table is begun.
+        """
+        spec, resource = self.spec(family, entity), _resource(family, entity)
+        states = self.state.load_some(family, resource, entity + MERGED)
+        first, following = self.span(family, resource, states.get(resource))
+        columns = [list(c) for c in spec.columns]
+        taken = states.get(entity + MERGED)
+        if taken is None or taken["columns"] != columns or taken["since"] != first:
+            number = 0 if taken is None else taken["table"] + 1
+            path = f"{self.dataset(spec)}_merged/since={first}/table={number}"  # a reset forgets the state, but not the folder
+            taken = {"table": number, "path": path, "buckets": buckets, "columns": columns, "since": first, "through": first - 1}
+        table = self._merge_table(spec, taken)
+        rows = self._loads(spec, max(first, taken["through"] + 1), following)
+        newest = latest_per_key(rows, spec.keys, ["load", MODIFIED]).select(spec.names)
+        touched = table.upsert(newest, tag=following - 1)
+        self.state.save(family, entity + MERGED, taken | {"through": following - 1})
+        return touched
+
     def take_snapshot(self, family: str, entity: str) -> str:
         """Write :meth:`bronze` as a new folder that later reads start from."""
         spec = self.spec(family, entity)
