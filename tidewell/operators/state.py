@@ -1,22 +1,29 @@
-"""Ingestion state and run state as append-only Parquet logs; the newest row per key counts.
+"""Ingestion state and run state as Parquet logs; the newest row per key counts.
 
 Nothing is updated in place, so a job that dies while saving leaves the earlier state
 readable, and saving never rewrites a path that the same plan reads.
+
+A save is a folder. Each time ``CHECKPOINT`` saves have come together, a checkpoint takes in the one before it and
+all saves there are, and reads begin with the newest checkpoint that is whole. A save may be in both: it is the
+same row twice, of which the newest per key counts once. Saves go when the checkpoint after the one that took them in
+is there, so a read that listed them still finds them, and a job that dies at any point loses nothing. However old a
+log is, a read opens one checkpoint and some ``2 * CHECKPOINT`` saves at most, and what concurrent jobs add meanwhile.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import time
 import uuid
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import children, delete, exists, read_text, write_new
 from .incremental import latest_per_key
 
 STATE_SCHEMA = T.StructType(
@@ -53,6 +60,12 @@ REPORT_SCHEMA = T.StructType(
     ]
 )
 
+#: Saves that a checkpoint is written after.
+CHECKPOINT = 16
+#: Name of a checkpoint, which is a save of many.
+TAKEN = "save=checkpoint-"
+_logger = logging.getLogger(__name__)
+
 # The run states.
 RUNNING, PAUSED, STOPPED, COMPLETED, FAILED = "running", "paused", "stopped", "completed", "failed"
 
@@ -72,27 +85,62 @@ def _now() -> tuple[datetime, int]:
 
 
 class _Log:
-    """A Parquet folder, by pipeline, that rows are only ever added to."""
+    """A Parquet folder of saves and checkpoints, by pipeline."""
 
     schema: T.StructType
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        """What a checkpoint keeps of all rows."""
+        raise NotImplementedError
+
+    def _listed(self) -> tuple[str | None, list[str]]:
+        """The newest checkpoint that is whole, and the saves that are."""
+        names = children(self.spark, self.path)
+        whole = [n for n in names if n.startswith("save=") and exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        return max((n for n in whole if n.startswith(TAKEN)), default=None), [n for n in whole if not n.startswith(TAKEN)]
+
     def log(self) -> DataFrame:
-        """All rows; none before the first is written."""
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """All rows that may count; none before the first is written."""
+        checkpoint, saves = self._listed()
+        return self._read([*([checkpoint] if checkpoint else []), *saves])
+
+    def _read(self, names: list[str]) -> DataFrame:
+        if not names:
             return self.spark.createDataFrame([], self.schema)
+        read = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return read.parquet(*[f"{self.path}/{n}" for n in names]).select(self.schema.names)
 
     def _append(self, rows: DataFrame) -> None:
         # A folder for each save: two jobs that append to one folder at the same time clear away
         # each other's temporary files.
         folder = f"{self.path}/save={uuid.uuid4().hex}"
         rows.select(self.schema.names).write.partitionBy("pipeline").parquet(folder)
+        try:
+            self._compact()
+        except Exception as e:  # the save is done; another job may have been at the same checkpoint
+            _logger.warning("checkpoint of %s left to a later save: %s", self.path, e)
+
+    def _compact(self) -> None:
+        """Write a checkpoint if enough saves have come since the last one."""
+        last, saves = self._listed()
+        taken = set(self._covered(last))
+        if len(set(saves) - taken) < CHECKPOINT:
+            return
+        name = f"{TAKEN}{time.time_ns():020d}"
+        kept = self._kept(self._read([*([last] if last else []), *saves]))
+        kept.hint("rebalance", "pipeline").write.partitionBy("pipeline").parquet(f"{self.path}/{name}")
+        write_new(self.spark, f"{self.path}/{name}/_covered", json.dumps(saves))
+        for old in children(self.spark, self.path):
+            if old in taken or (old.startswith(TAKEN) and last and old < last):
+                delete(self.spark, f"{self.path}/{old}")
+
+    def _covered(self, checkpoint: str | None) -> list[str]:
+        """Saves that a checkpoint took in, as far as it came to say so."""
+        note = f"{self.path}/{checkpoint}/_covered"
+        return json.loads(read_text(self.spark, note)) if checkpoint and exists(self.spark, note) else []
 
     def _append_row(self, **values: Any) -> None:
         row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -107,6 +155,9 @@ class IngestState(_Log):
 
     schema = STATE_SCHEMA
 
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, ["pipeline", "resource"], ["version"])  # what is cleared stays known as cleared
+
     def save(self, pipeline: str, resource: str, state: dict[str, Any]) -> None:
         at, version = _now()
         self._append_row(
@@ -154,6 +205,9 @@ class RunLog(_Log):
 
     schema = RUN_SCHEMA
 
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        return current_runs(rows)
+
     def set(self, pipeline: str, state: str, mode: str = "batch", metadata: dict | None = None) -> None:
         if state not in (RUNNING, PAUSED, STOPPED, COMPLETED, FAILED):
             raise ValueError(f"unknown run state {state!r}")
@@ -171,10 +225,19 @@ class RunLog(_Log):
 
 
 class Reports(_Log):
-    """What every load did, one row each; the newest per resource tells where things stand."""
+    """What every load did, one row each; the newest per resource tells where things stand.
+
+    Checkpoints keep every report.
+    """
 
     schema = REPORT_SCHEMA
 
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        return rows.distinct()
+
+    def log(self) -> DataFrame:
+        return super().log().distinct()
+
     def add(self, rows: DataFrame) -> None:
         self._append(rows)
 

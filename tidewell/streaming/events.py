@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..model.specs import CHAT
 from ..operators.events import MESSAGE_EVENT, classify_events, drop_handshake, event_kind
+from ..operators.files import exists
 from ..operators.incremental import high_water_marks, latest_per_key
 from ..sources.events import stream_envelopes
 
@@ -76,8 +79,10 @@ def start_event_stream(
         own = _run(batch.sparkSession), batch_id
         rows = batch.hint("rebalance", "channel_id", "message_ts").withColumns({"run": F.lit(own[0]), "batch_id": F.lit(batch_id)})
         rows = rows.sortWithinPartitions("processing_date", "channel_id")
-        _overwrite(rows, f"{sink}/events", "processing_date", "run", "batch_id")
-        landed = _landed(spark, sink).where((F.col("run") == own[0]) & (F.col("batch_id") == batch_id))
+        seen = Observation()
+        days = F.collect_set("processing_date").alias("days")  # a batch is of a day or a few
+        _overwrite(rows.observe(seen, days), f"{sink}/events", "processing_date", "run", "batch_id")
+        landed = _landed(spark, sink, [f"processing_date={_folder(d)}/run={own[0]}/batch_id={batch_id}" for d in seen.get["days"]])
         messages = landed.where((F.col("event_type") == MESSAGE_EVENT) & (F.col("channel_id") != ""))
         marks = high_water_marks(messages, "channel_id", "message_ts")
         before = _totals(spark, f"{sink}/marks", MARKS_SCHEMA, but=own)
@@ -130,9 +135,28 @@ def _overwrite(rows: DataFrame, folder: str, *by: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
 
 
-def _landed(spark: SparkSession, sink: str) -> DataFrame:
+def _folder(day: str) -> str:
+    """A day as its folder is named; anything but digits and dashes would be written otherwise."""
+    if not re.fullmatch("[0-9-]+", day):
+        raise ValueError(f"a load date is digits and dashes, not {day!r}")
+    return day
+
+
+def _landed(spark: SparkSession, sink: str, folders: list[str] | None = None) -> DataFrame:
+    """Landed events; of these folders only, without a look at any other."""
     schema = EVENTS.struct().add("run", "string").add("batch_id", "long")
-    return spark.read.schema(schema).parquet(f"{sink}/events")
+    if folders is None:
+        return spark.read.schema(schema).parquet(f"{sink}/events")
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{sink}/events").parquet(*[f"{sink}/events/{f}" for f in folders])
+
+
+def read_days(spark: SparkSession, sink: str, days: list[str]) -> DataFrame:
+    """Landed live events of some days, one row per envelope within them; lists no other day's folders."""
+    there = [f"processing_date={_folder(d)}" for d in days]
+    there = [f for f in there if exists(spark, f"{sink}/events/{f}")]
+    return latest_per_key(_landed(spark, sink, there).select(EVENTS.names), ["envelope_id"], [])
 
 
 def read_events(spark: SparkSession, sink: str) -> DataFrame:
