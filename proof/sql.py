@@ -380,3 +380,36 @@ ORACLE["maintained_counts"] = f"""
     SELECT 'Case', "Status", "Priority", "Origin", "Type", case_count FROM ({ORACLE["case_analysis"]}) UNION ALL
     SELECT 'engagements', hs_engagement_type, hs_engagement_source, NULL, NULL, engagement_count FROM ({ORACLE["engagement_summary"]}) UNION ALL
     SELECT 'tickets', hs_ticket_priority, hs_ticket_category, hs_pipeline_stage, NULL, ticket_count FROM ({ORACLE["ticket_analysis"]})"""
+ORACLE["scan_by_suffix"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
+ORACLE["column_catalog"] = """
+    SELECT 'bronze_columns_' || t AS "table", c AS name, k AS type, n AS rows
+    FROM (VALUES ('region', 'r_regionkey', 'bigint'), ('region', 'r_name', 'string'), ('nation', 'n_nationkey', 'bigint'),
+                 ('nation', 'n_name', 'string'), ('nation', 'n_regionkey', 'bigint'), ('customer', 'c_name', 'string'),
+                 ('customer', 'c_acctbal', 'double'), ('customer', 'c_custkey', 'bigint'), ('customer', 'active', 'int'),
+                 ('customer', 'tags', 'string')) x(t, c, k)
+    JOIN (SELECT 'region' AS t, COUNT(*) AS n FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation
+          UNION ALL SELECT 'customer', COUNT(*) FROM customer) USING (t)"""
+ORACLE["table_overview"] = """
+    SELECT 'bronze_overview_region' AS name, 'table' AS type, COUNT(*) AS rows FROM region UNION ALL
+    SELECT 'bronze_overview_nation', 'table', COUNT(*) FROM nation UNION ALL
+    SELECT 'bronze_overview_customer', 'table', COUNT(*) FROM customer UNION ALL
+    SELECT 'v_overview_region', 'view', NULL"""
+ORACLE["family_statistics"] = """
+    SELECT 'bronze_chat_users' AS name, 'table' AS type, COUNT(*) AS rows FROM customer UNION ALL
+    SELECT 'bronze_chat_channels', 'table', COUNT(*) FROM nation UNION ALL
+    SELECT 'bronze_chat_messages', 'table', COUNT(*) FROM events UNION ALL
+    SELECT 'bronze_chat_realtime_events', 'table', 0"""
+ORACLE["truncate_and_reload"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'"
+ORACLE["file_attachments"] = f"""
+    SELECT {_CHANNEL} AS channel_id, {_TS} AS ts, CAST(k - 1 AS INTEGER) AS position, 'F' || event_id::VARCHAR || '-' || k::VARCHAR AS id,
+           event_type || '.txt' AS name, CAST(length(props) * k AS INTEGER) AS size
+    FROM (SELECT *, unnest(range(1, event_id % 4 + 1)) AS k FROM events WHERE event_id % 4 > 1)"""
+ORACLE["run_states"] = """
+    SELECT r_name AS pipeline, CASE WHEN r_regionkey % 2 = 1 THEN 'live' ELSE 'batch' END AS mode,
+           CASE r_regionkey WHEN 3 THEN 'running' WHEN 4 THEN 'failed' ELSE 'completed' END AS state
+    FROM region"""
+ORACLE["feed_pause_resume"] = """
+    SELECT 'stopped' AS state, false AS running,
+           CASE event_type WHEN 'view' THEN 'message' WHEN 'click' THEN 'reaction_added'
+                           WHEN 'signup' THEN 'member_joined_channel' ELSE event_type END AS event_type, COUNT(*) AS events
+    FROM events GROUP BY 3"""

@@ -253,3 +253,12 @@ def test_late_replies_and_odd_values(lake, write_lines, tmp_path):
     assert ingest.backfill_chat(lake, D3, messages=str(tmp_path / "m3"), replies=str(tmp_path / "r3"))["records"] == 1
     got = {r["message_ts"]: r["reply_count"] for r in lake.bronze("chat", "messages").collect()}
     assert got == {"10": 2, "11": 0, "12": 0, "13": 0, "14": 0, "soon": 0, "later": 0} and empty
+
+
+def test_a_bounded_extract_goes_on_where_it_ended(lake, write_lines):
+    records = [{"Id": f"a{i}", "Name": "n", "LastModifiedDate": f"2024-01-{10 + i}"} for i in range(7)]
+    pages = write_lines("in/bounded", [{"records": records[::-1]}])
+    taken = [ingest.ingest_entity(lake, "sales", "Account", pages, date(2024, 2, d), max_records=3)["records"] for d in (1, 2, 3)]
+    assert taken == [3, 3, 3]  # the last of each load is taken again
+    assert lake.bronze("sales", "Account").count() == 7
+    assert ingest.ingest_entity(lake, "sales", "Account", pages, date(2024, 2, 4))["records"] == 1

@@ -192,6 +192,7 @@ def ingest_entity(
     load_date: date,
     *,
     record_schema: T.StructType | None = None,
+    max_records: int | None = None,
 ) -> dict[str, Any]:
     """Load one sales object or marketing resource; returns ``records`` moved now and ``path``.
 
@@ -200,6 +201,10 @@ def ingest_entity(
     removes the rest. The time is the raw record's, whether or not the table declares it; a
     record without one is always taken, as it may have changed. A resource already completed
     for ``load_date`` is left alone.
+
+    ``max_records`` bounds an extract, which is off by default: of the records due, those modified first
+    are taken (undated ones before), so the next load goes on where this one ended. It must exceed the number of
+    records that share a modification time, which are taken together with those after them.
     """
     spec = lake.spec(family, entity)
     path = lake.dataset(spec)
@@ -217,7 +222,10 @@ def ingest_entity(
     mark = last.get("last_modified")
     columns = tuple((name, TEXT if spec.as_text else kind) for name, kind in spec.columns)
     stored = dataclasses.replace(spec, columns=(*columns, (MODIFIED, TEXT)))
-    rows = coerce(modified_since(records, (MODIFIED,), mark, inclusive=True), stored)
+    due = modified_since(records, (MODIFIED,), mark, inclusive=True)
+    if max_records is not None:
+        due = due.orderBy(F.col(MODIFIED).asc_nulls_first(), spec.key).limit(max_records)
+    rows = coerce(due, stored)
     rows = rows.withColumns(_partition_values(lake, family, load_date))
     done = land_folder(rows, f"{path}/load={load}", PARTITIONS[family], [spec.key], {"newest": F.max(MODIFIED)})
 
