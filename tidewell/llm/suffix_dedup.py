@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import text as T
+from tidewell.operators.files import delete
 from tidewell.operators.joins import join_on
 from tidewell.session import scratch
 
@@ -244,10 +245,14 @@ def _anchor_rows(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "text").mapInArrow(run, ROWS)
 
 
-def _saved(df: DataFrame, label: str) -> DataFrame:
+def _written(df: DataFrame, label: str) -> str:
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def _saved(df: DataFrame, label: str) -> DataFrame:
+    return df.sparkSession.read.parquet(_written(df, label))
 
 
 def _context_bytes(keyed: DataFrame, numbers: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -318,10 +323,12 @@ def _count_strings(contexts: DataFrame) -> DataFrame:
 
 def repeats(keyed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(h, ctx, low, high): what repeats around each context; the places (h, ctx, row, pos) of all contexts; (row, key) of the documents."""
-    found = _saved(_anchor_rows(keyed), "anchors")
-    rows, numbers = found.filter("key is null").drop("key"), found.filter("key is not null").select("row", "key")
+    spark, written = keyed.sparkSession, _written(_anchor_rows(keyed), "anchors")
+    found = spark.read.parquet(written)
+    rows, numbers = found.filter("key is null").drop("key"), _saved(found.filter("key is not null").select("row", "key"), "documents")
     often = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     places = _saved(join_on(rows, often, ["h"], "inner"), "repeated-anchors")
+    delete(spark, written)  # nothing reads it again
     place = F.struct("row", "pos", "before", "after")
     contexts = places.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     contexts = _saved(contexts, "contexts")
@@ -329,12 +336,15 @@ def repeats(keyed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     whole = whole.select("h", "ctx", (-F.col("place.before")).cast("int").alias("low"), F.col("place.after").cast("int").alias("high"))
     several = contexts.groupBy("h").agg(F.count("*").alias("different")).filter("different > 1")
     wanted = join_on(contexts, several, ["h"], "inner").select("h", "ctx", "different", "place")
-    mixed = _saved(_context_bytes(keyed, numbers, wanted).dropDuplicates(["h", "ctx"]), "context-bytes")
+    written = _written(_context_bytes(keyed, numbers, wanted).dropDuplicates(["h", "ctx"]), "context-bytes")
+    mixed = spark.read.parquet(written)
     few, many = mixed.filter(F.col("different") <= GROUP), mixed.filter(F.col("different") > GROUP)
     covers = whole.unionAll(_search(few, max(1, few.count() // BUCKET)))
     if many.limit(1).count():
         covers = covers.unionAll(_count_strings(many))
-    return _saved(covers, "repeats"), places, numbers
+    covers = _saved(covers, "repeats")
+    delete(spark, written)
+    return covers, places, numbers
 
 
 def remove(docs: DataFrame) -> DataFrame:
