@@ -207,7 +207,8 @@ def audit(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, block: int =
     vocabulary = counted.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs")
     vocabulary = saved(vocabulary, "terms")
     langs = vocabulary.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("n_lang"))
-    dealt = vocabulary.join(langs, "lang").withColumn("block", F.expr(f"cast(pmod(xxhash64(term), ceil(v / {block})) as int)"))
+    dealt = join_on(vocabulary, langs, ["lang"], "inner").withColumn("block", F.expr(f"cast(pmod(xxhash64(term), ceil(v / {block})) as int)"))
+    dealt = dealt.repartition("lang", "block")  # a language's terms would stay together as they were joined
     numbers = dealt.withColumn("number", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1)
     kept = join_on(counted.select("lang", "source", "term", "n"), numbers.select("lang", "term", "total", "block", "number"), ["lang", "term"], "inner")
     kept = saved(kept, "kept-terms")
