@@ -20,7 +20,9 @@ import pyarrow as pa
 from tidewell.llm import text as T
 
 #: How many distinct pieces a worker keeps before it drops those not met lately.
-KEPT = 400_000
+KEPT = 160_000
+#: Bytes of pieces compared with their first ones at once.
+COMPARED = 1 << 18
 SPACE, OTHER_SPACE, LETTER, NUMBER, REST = 0, 1, 2, 3, 4
 
 
@@ -170,12 +172,14 @@ class Encoder:
         """Rows with a piece that isn't byte for byte the first one of its hash."""
         same = size == size[twin]
         later = np.flatnonzero((twin != np.arange(len(twin))) & same)
-        n = size[later]
-        total = np.concatenate([[0], np.cumsum(n)])
-        k = np.arange(total[-1]) - np.repeat(total[:-1], n)
-        differ = data[np.repeat(starts[later], n) + k] != data[np.repeat(starts[twin[later]], n) + k]
-        if differ.any():
-            same[later] &= np.add.reduceat(differ, total[:-1]) == 0
+        total = np.concatenate([[0], np.cumsum(size[later])])
+        cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, total[-1], COMPARED)), len(later))).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            some, ends = later[a:b], total[a : b + 1] - total[a]
+            k = np.arange(ends[-1]) - np.repeat(ends[:-1], size[some])
+            differ = data[np.repeat(starts[some], size[some]) + k] != data[np.repeat(starts[twin[some]], size[some]) + k]
+            if differ.any():
+                same[some] &= np.add.reduceat(differ, ends[:-1], dtype=np.int64) == 0
         wrong = np.flatnonzero(~same)
         return np.unique(np.searchsorted(bounds, wrong, "right") - 1).tolist()
 
