@@ -20,7 +20,7 @@ import pyarrow as pa
 from tidewell.llm import text as T
 
 #: How many distinct pieces a worker keeps before it drops those not met lately.
-KEPT = 160_000
+KEPT = 280_000
 #: Bytes of pieces compared with their first ones at once.
 COMPARED = 1 << 18
 SPACE, OTHER_SPACE, LETTER, NUMBER, REST = 0, 1, 2, 3, 4
