@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import state as st
 from ..streaming import events as ev
+from ..streaming import threads as th
 from .ingest import Lake
 
 PIPELINE, MODE = "chat", "live"
@@ -19,12 +20,15 @@ PIPELINE, MODE = "chat", "live"
 class LiveFeed:
     """Event landing and event counters over one source folder, kept in a lake.
 
+    ``threads`` adds the join of replies with their parents; it holds options of that stream, such
+    as ``keep`` and ``wait``.
+
     Where the feed stands is in the streams' checkpoints, so pausing is stopping: a new
     object, also in another session, goes on where the last one ended.
     """
 
-    def __init__(self, lake: Lake, source: str, **options):
-        self.lake, self.source, self.options = lake, source, options
+    def __init__(self, lake: Lake, source: str, threads: dict[str, Any] | None = None, **options):
+        self.lake, self.source, self.threads, self.options = lake, source, threads, options
         self.queries: list[StreamingQuery] = []
         self.started: float | None = None
 
@@ -32,6 +36,10 @@ class LiveFeed:
     def _counters(self) -> str:
         return f"{self.lake.live}_counters"
 
+    @property
+    def _threads(self) -> str:
+        return f"{self.lake.live}_threads"
+
     def _start(self, **options) -> None:
         checkpoints = f"{self.lake.root}/_checkpoints"
         shared = {k: v for k, v in options.items() if k in ("interval", "max_files", "max_bytes")}
@@ -39,6 +47,9 @@ class LiveFeed:
             ev.start_event_stream(self.lake.spark, self.source, self.lake.live, f"{checkpoints}/events", **options),
             ev.start_event_counters(self.lake.spark, self.source, self._counters, f"{checkpoints}/counters", **shared),
         ]
+        if self.threads is not None:
+            own = self.threads | shared
+            self.queries.append(th.start_thread_stream(self.lake.spark, self.source, self._threads, f"{checkpoints}/threads", **own))
 
     @property
     def running(self) -> bool:
@@ -75,6 +86,10 @@ class LiveFeed:
     def marks(self) -> DataFrame:
         return ev.read_marks(self.lake.spark, self.lake.live)
 
+    def replies(self) -> DataFrame:
+        """Live replies with their parents; what the live feed did not hold is looked up in the history."""
+        return th.settle_orphans(th.read_thread_replies(self.lake.spark, self._threads), self.lake.bronze("chat", "messages"))
+
     def status(self) -> dict[str, Any]:
         spark = self.lake.spark
         totals = {"total_events": 0, "total_messages": 0, "total_flushes": 0}
