@@ -17,15 +17,17 @@ from datetime import date
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch, epoch_key, epoch_text, first_filled
+from ..model.payloads import page_field
 from ..model.specs import CHAT, DOUBLE, INT, LONG, SALES, TEXT, TableSpec, find_spec
 from ..operators import state as st
 from ..operators.buckets import MergeTable
 from ..operators.coerce import coerce
+from ..operators.files import delete, exists
 from ..operators.flatten import flatten_channels, flatten_properties, flatten_users
 from ..operators.infer import spec_from_schema
 from ..operators.incremental import high_water_marks, latest_per_key, modified_since, newer_than
@@ -34,7 +36,7 @@ from ..operators.landing import land_folder, replace
 from ..operators.messages import normalize_messages, thread_replies
 from ..operators.reports import run_summary
 from ..sources.landed import load_bronze, read_landed
-from ..sources.pages import infer_record, read_pages
+from ..sources.pages import REJECTED, infer_record, read_pages, rescue_pages
 from ..streaming.events import read_events
 
 #: Folders below that of the load.
@@ -193,6 +195,7 @@ def ingest_entity(
     *,
     record_schema: T.StructType | None = None,
     max_records: int | None = None,
+    rescue: bool = False,
 ) -> dict[str, Any]:
     """Load one sales object or marketing resource; returns ``records`` moved now and ``path``.
 
@@ -205,6 +208,9 @@ def ingest_entity(
     ``max_records`` bounds an extract, which is off by default: of the records due, those modified first
     are taken (undated ones before), so the next load goes on where this one ended. It must exceed the number of
     records that share a modification time, which are taken together with those after them.
+
+    With ``rescue`` (off by default), a page or record that can't be read does not fail the load: it goes to the table's
+    quarantine (:func:`quarantined`), is counted as ``rejected``, and can be repaired and replayed (:func:`replay`).
     """
     spec = lake.spec(family, entity)
     path = lake.dataset(spec)
@@ -214,7 +220,22 @@ def ingest_entity(
     if last.get("completed") and last.get("load_date") == load_date.isoformat():
         return {"records": 0, "path": path}
 
-    records = read_pages(lake.spark, source, family, entity, record_schema=record_schema)
+    return _load_records(lake, spec, source, load_date, last, (first, load), record_schema, max_records, rescue)
+
+
+def _load_records(
+    lake: Lake, spec: TableSpec, source: str, load_date: date, last: dict[str, Any], span: tuple[int, int],
+    record_schema: T.StructType | None, max_records: int | None = None, rescue: bool = False, replayed: int | None = None,
+) -> dict[str, Any]:
+    """Land the records of ``source`` as a load; of rejected records that are replayed, all that are not outdated."""
+    (first, load), family, entity, path = span, spec.family, spec.entity, lake.dataset(spec)
+    rejects = Observation()
+    if rescue:
+        read = rescue_pages(lake.spark, source, family, entity, record_schema=record_schema)
+        observed = read.observe(rejects, F.count_if(F.col(REJECTED).isNotNull()).alias("n"))
+        records = observed.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    else:
+        records = read_pages(lake.spark, source, family, entity, record_schema=record_schema)
     if family == "marketing":
         records = flatten_properties(records)
     times = [F.col(f"`{m}`").cast("string") for m in spec.modified if m in records.columns]
@@ -222,27 +243,86 @@ def ingest_entity(
     mark = last.get("last_modified")
     columns = tuple((name, TEXT if spec.as_text else kind) for name, kind in spec.columns)
     stored = dataclasses.replace(spec, columns=(*columns, (MODIFIED, TEXT)))
-    due = modified_since(records, (MODIFIED,), mark, inclusive=True)
+    due = records if replayed is not None else modified_since(records, (MODIFIED,), mark, inclusive=True)
     if max_records is not None:
         due = due.orderBy(F.col(MODIFIED).asc_nulls_first(), spec.key).limit(max_records)
     rows = coerce(due, stored)
+    if replayed is not None:
+        rows = _not_outdated(rows, lake._loads(spec, first, load), spec.keys)
     rows = rows.withColumns(_partition_values(lake, family, load_date))
     done = land_folder(rows, f"{path}/load={load}", PARTITIONS[family], [spec.key], {"newest": F.max(MODIFIED)})
+    moved = {"records": done["rows"], "path": path}
+    aside = f"{_quarantine(lake, spec)}/load={load}"
+    if rescue:
+        moved["rejected"] = rejects.get["n"]
+    if moved.get("rejected"):  # read again for these only
+        why = read.where(F.col(REJECTED).isNotNull()).select(f"{REJECTED}.*", F.lit(load_date.isoformat()).alias("load_date"))
+        why.write.mode("overwrite").parquet(aside)
+    elif exists(lake.spark, aside):
+        delete(lake.spark, aside)  # of a load that died
+
+    newest = done["newest"] if replayed is None else None  # a replay is no extract and moves no mark
+    saved = {
+        "completed": True if replayed is None else last.get("completed", False),
+        "load_date": load_date.isoformat() if replayed is None else last.get("load_date"),
+        "records": done["rows"],
+        "path": path,
+        "loads": load + 1,
+        "since": first,
+        "last_modified": max(filter(None, (mark, newest)), default=None),
+    }
+    if replayed is not None or "replayed" in last:
+        saved["replayed"] = replayed if replayed is not None else last["replayed"]
+    lake.state.save(family, entity, saved)
+    return moved
 
-    lake.state.save(
-        family,
-        entity,
-        {
-            "completed": True,
-            "load_date": load_date.isoformat(),
-            "records": done["rows"],
-            "path": path,
-            "loads": load + 1,
-            "since": first,
-            "last_modified": max(filter(None, (mark, done["newest"])), default=None),
-        },
-    )
-    return {"records": done["rows"], "path": path}
+
+def _not_outdated(rows: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows at least as new as the landed ones of their key; without a time, those whose key has not landed."""
+    held = latest_per_key(landed.select(*keys, MODIFIED, "load"), keys, ["load", MODIFIED])
+    held = held.select(*keys, F.struct(MODIFIED).alias("_held"))
+    newer = F.col("_held").isNull() | F.coalesce(F.col(MODIFIED) >= F.col("_held")[MODIFIED], F.lit(False))
+    return join_on(rows, held, keys, "left").where(newer).select(rows.columns)
+
+
+def _quarantine(lake: Lake, spec: TableSpec) -> str:
+    return f"{lake.root}/_quarantine/{spec.family}/{spec.entity}"
+
+
+def quarantined(lake: Lake, family: str, entity: str, *, all_loads: bool = False) -> DataFrame:
+    """What loads rejected and no replay took up yet: ``file, place, reason, text, load_date, load``.
+
+    ``place`` is the record's in its page, -1 for a whole page. ``all_loads`` shows those that were replayed too.
+    """
+    spec = lake.spec(family, entity)
+    first, following = lake.span(family, entity, last := lake.state.load(family, entity))
+    shape = "file string, place int, reason string, text string, load_date string, load int"
+    if not exists(lake.spark, _quarantine(lake, spec)):
+        return lake.spark.createDataFrame([], shape)
+    since = first if all_loads else max(first, (last or {}).get("replayed", first))
+    rows = lake.spark.read.schema(shape).parquet(_quarantine(lake, spec))
+    return rows.where((F.col("load") >= since) & (F.col("load") < following))
+
+
+def replay(lake: Lake, family: str, entity: str, repair: Callable[[Column], Column], load_date: date) -> dict[str, Any]:
+    """Load the repaired texts of the quarantine, each once.
+
+    ``repair`` turns a rejected text into that of a record or a page; null leaves it out for good. What can't be
+    read after it is quarantined again, by the number of this load. Records older than what has landed of their key since are
+    left out. The state says in one save that the load counts and what it replayed, so a replay that died is repeated.
+    """
+    spec = lake.spec(family, entity)
+    last = lake.state.load(family, entity) or {}
+    first, load = lake.span(family, entity, last or None)
+    field = page_field(family, entity)
+    mended = quarantined(lake, family, entity).select("place", repair(F.col("text")).alias("text")).where("text IS NOT NULL")
+    flat = F.regexp_replace("text", "[\r\n]+", " ")  # a page is a line; within JSON texts line ends are escaped
+    page = F.when(F.col("place") < 0, flat).otherwise(F.concat(F.lit(f'{{"{field}":['), flat, F.lit("]}")))
+    source = f"{lake.root}/_quarantine/_replays/{family}/{entity}/load={load}"
+    mended.select(page.alias("value")).write.mode("overwrite").text(source)
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys([*spec.names, *spec.modified])])
+    shape = texts if spec.as_text else None
+    return _load_records(lake, spec, source, load_date, last, (first, load), shape, rescue=True, replayed=load)
 
 
 def ingest_custom(lake: Lake, entity: str, source: str, load_date: date, *, key: str = "Id") -> dict[str, Any]:
