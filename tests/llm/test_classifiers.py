@@ -63,6 +63,42 @@ def test_ordered_grades_share_weights():
     assert w[0] > w[1] > max(abs(w[2]), abs(w[3])) and t[0] < t[1] < t[2]
 
 
+def graded_docs(spark, n, grades):
+    """Clean texts, with documents at the given ids that say worse words the higher their grade."""
+    grade = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in grades.items() for x in pair]), F.col("id").cast("int")), F.lit(0))
+    noise = F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(300)).cast("string")) for k in range(20)])
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(noise, F.repeat(F.lit(" vilest rotten scum"), grade * 3)).alias("text"), grade.alias("toxic"))
+    return docs.drop("toxic"), docs.select("doc_id", "toxic")
+
+
+def test_rare_toxic_texts_are_learned(spark):
+    docs, labels = graded_docs(spark, 20_000, {int(i): 1 for i in range(7, 20_000, 2_500)})
+    drawn = toxicity._drawn(labels, 1_000, 200).groupBy("toxic").agg(F.count("*"), F.max("rate")).collect()
+    assert {r[0]: (r[1], r[2]) for r in drawn}[1] == (8, 1.0) and sum(r[1] for r in drawn) < 1_200
+    got = toxicity.score(docs, toxicity.fit(docs, labels, sample_rows=1_000, rare_rows=200)).join(labels, "doc_id")
+    flagged = got.filter(F.col("toxic_probability") >= toxicity.THRESHOLD)
+    assert sorted(r["toxic"] for r in flagged.collect()) == [1] * 8
+    assert got.agg(F.avg("toxic_probability")).first()[0] < 0.01  # not the share in the sample but that in the labels
+
+
+def test_base_rates_are_those_of_all_labels():
+    grade = np.repeat([0, 1, 2], [60, 30, 10])
+    rate = np.array([0.001, 0.1, 1.0])[grade]
+    shift = toxicity.base_shift(grade, rate)
+    odds = lambda p: np.log(p / (1 - p))
+    assert np.allclose(shift, [odds(40 / 100) - odds(310 / 60_310), odds(10 / 100) - odds(10 / 60_310)])
+    assert not toxicity.base_shift(grade, np.full(100, 0.3)).any()
+
+
+def test_labels_without_a_model_warn(spark, messy):
+    for rows in ([], [(4, 0), (5, 0)], [(4, 1)], [(999, 1), (998, 0)]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        with pytest.warns(UserWarning, match="severity 0"):
+            assert toxicity.fit(messy, labels) is None
+    labels = spark.createDataFrame([(4, 2_000_000_000), (5, -3), (10, 0), (7, 1)], "doc_id long, toxic int")
+    assert len(toxicity.fit(messy, labels).thresholds) == toxicity.HIGHEST
+
+
 def test_toxicity_edge_cases(spark, messy, empty):
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, 0), (10, 0, 1), (7, 0, 1), (None, 1, 1), (9, None, 1)], "doc_id long, toxic int, quality int")
     model = toxicity.fit(messy, labels)

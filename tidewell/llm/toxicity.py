@@ -5,9 +5,15 @@ and hashed. One weight vector is shared by all thresholds: the chance that a tex
 exceeds k is ``sigmoid(w x - t_k)`` with ordered thresholds t. The result is the chance of each
 grade and with it the expected severity.
 
-The model is fitted on the driver from a bounded sample, at most about ``sample_rows`` labelled
-documents drawn by a hash of the id; features are first cut to the ``features`` most telling
-ones. Where the labels have several ordered values, those are the grades. Where they are only 0
+The model is fitted on the driver from a bounded sample, drawn by a hash of the id: about
+``sample_rows`` labelled documents, and more of the rare grades, so that up to ``rare_rows`` are
+toxic, shared evenly among the grades above 0. Where that makes a grade more frequent than it is,
+the thresholds are moved back by the logarithm of the odds, so chances are those of all labels.
+Labels count as grades 0 to 16. Features are first cut to the ``keep`` most telling ones. Labels
+without a toxic or without a clean document that has a text give no model and a warning.
+
+A text is toxic from a chance of 0.3 on (:data:`THRESHOLD`), a fixed value: toxic texts that are let
+through are held to be worse than clean ones that are looked at twice. Where the labels have several ordered values, those are the grades. Where they are only 0
 and 1, the toxic texts of the sample are divided into three grades by how many telling features
 they have per word (thirds), so that severity says how thick the toxicity lies. All texts are
 scored whole, in one pass without a shuffle.
@@ -19,6 +25,7 @@ everything has severity 0. Other columns stay untouched in ``reject`` and are no
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,6 +40,8 @@ BITS = 18
 PREFIXES = (4, 5, 6)
 #: A text counts as toxic from this chance of any toxicity on.
 THRESHOLD = 0.3
+#: Labels above this grade count as this one.
+HIGHEST = 16
 SEPARATORS = np.ones(256, bool)
 SEPARATORS[0x41:0x5B] = SEPARATORS[0x61:0x7B] = SEPARATORS[0x80:] = False
 
@@ -91,13 +100,37 @@ def ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, width: int
     return w, first + np.concatenate([[0], np.cumsum(gaps)])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int = 8192) -> Model | None:
-    """Fit on labelled documents; ``labels`` has doc_id and the ordered number ``toxic``."""
+def _drawn(labels: DataFrame, sample_rows: int, rare_rows: int) -> DataFrame | None:
+    """doc_id, toxic and the share of its grade that was drawn; of no labels, nothing."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
-    n = marked.count()
+    graded = marked.groupBy("doc_id").agg(F.least(F.greatest(F.max("toxic"), F.lit(0)), F.lit(HIGHEST)).alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in graded.groupBy("toxic").count().collect()}  # at most HIGHEST + 1 rows
+    if not counts:
+        return None
+    even, floor = min(1.0, sample_rows / sum(counts.values())), rare_rows / max(len(counts.keys() - {0}), 1)
+    rates = {grade: max(even, min(1.0, floor / n)) if grade else even for grade, n in counts.items()}
+    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("toxic"))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("doc_id")), F.lit(1 << 30))
-    sample = marked.filter(draw < int((1 << 30) * min(1.0, sample_rows / max(n, 1)))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most about sample_rows
+    return graded.withColumn("rate", rate).filter(draw < F.floor(F.col("rate") * (1 << 30)))
+
+
+def base_shift(grade: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """How far each threshold moves so that a model of the sample has the base rates of all labels."""
+    if (rate == rate[0]).all():
+        return np.zeros(int(grade.max()))
+    weight = 1 / rate
+    above = [grade > k for k in range(int(grade.max()))]
+    return np.array([np.log(a.sum() / (~a).sum()) - np.log(weight[a].sum() / weight[~a].sum()) for a in above])
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int = 8192, rare_rows: int = 1_000) -> Model | None:
+    """Fit on labelled documents; ``labels`` has doc_id and the ordered number ``toxic``."""
+    sample = _drawn(labels, sample_rows, rare_rows)
+    if sample is None:
+        warnings.warn("no labels: every text has severity 0", stacklevel=2)
+        return None
+    # at most about sample_rows + rare_rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,13 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int
                 pairs = np.unique(rows << BITS | numbers)
                 bounds = np.searchsorted(pairs, np.arange(len(offsets)) << BITS)
                 for i, part in enumerate(T.slices(pairs & ((1 << BITS) - 1), bounds)):
-                    out.append((batch.column("doc_id")[at + i].as_py(), batch.column("toxic")[at + i].as_py(), int(words[i]), part.astype(np.int32).tobytes()))
+                    known = [batch.column(c)[at + i].as_py() for c in ("doc_id", "toxic", "rate")]
+                    out.append((*known, int(words[i]), part.astype(np.int32).tobytes()))
                 at += len(offsets) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["doc_id", "toxic", "words", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.binary()))], names=["doc_id", "toxic", "rate", "words", "x"])
 
-    got = sorted(texts.mapInArrow(extract, "doc_id long, toxic int, words long, x binary").collect())
-    grade = np.maximum(np.array([r["toxic"] for r in got], np.int64), 0)
+    got = sorted(texts.mapInArrow(extract, "doc_id long, toxic int, rate double, words long, x binary").collect())
+    grade, rate = np.array([r["toxic"] for r in got], np.int64), np.array([r["rate"] for r in got])
     if not len(got) or not grade.any() or grade.all():
+        warnings.warn(f"of {len(got)} labelled texts {int((grade > 0).sum())} are toxic: every text has severity 0", stacklevel=2)
         return None
     columns = np.concatenate([np.frombuffer(r["x"], np.int32) for r in got]).astype(np.int64)
     rows = np.repeat(np.arange(len(got)), [len(r["x"]) // 4 for r in got])
@@ -134,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, keep: int
         low, high = np.quantile(thick[toxic], [1 / 3, 2 / 3])
         grade = np.where(toxic, 1 + (thick > low) + (thick > high), 0)
     weights, thresholds = ordinal(rows, columns, grade, len(best))
-    return Model(index, weights, thresholds)
+    return Model(index, weights, np.maximum.accumulate(thresholds + base_shift(grade, rate)))
 
 
 def chances(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
