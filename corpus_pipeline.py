@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fit the severity model on the labelled documents and drop those more likely toxic than not."""
+    """Fit the severity model on the labelled documents and drop those toxic with a chance of 0.3 or more."""
     return toxicity.reject(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
