@@ -255,7 +255,7 @@ def _load_records(
     aside = f"{_quarantine(lake, spec)}/load={load}"
     if rescue:
         moved["rejected"] = rejects.get["n"]
-    if moved.get("rejected"):  # read again for these only
+    if moved.get("rejected"):  # the pages are read again, for these
         why = read.where(F.col(REJECTED).isNotNull()).select(f"{REJECTED}.*", F.lit(load_date.isoformat()).alias("load_date"))
         why.write.mode("overwrite").parquet(aside)
     elif exists(lake.spark, aside):
