@@ -132,6 +132,58 @@ def test_runs_of_the_given_table_and_edge_cases(spark, messy, empty):
     assert line_dedup.remove_runs(empty.drop("removed_chunks")).count() == 0
 
 
+def rolled(text):
+    """First byte, end and hash of the chunks of a text."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    _, hashed, begin, end = line_dedup.rolled_chunks(raw, np.array([0, len(raw)]))
+    return list(zip(begin.tolist(), end.tolist(), hashed.tolist()))
+
+
+def test_chunks_of_both_rules_depend_on_their_own_lines():
+    rng = np.random.default_rng(8)
+    lines = [f"line {i} é" for i in range(300)]
+    whole = "\n".join(lines)
+    chunks = rolled(whole)
+    sizes = [len(whole.encode()[a:b].split(b"\n")) for a, b, _ in chunks]
+    assert min(sizes) == 2 and 3.5 < np.mean([n for n in sizes if n > 2]) < 5
+    two = {whole.encode()[a:b].decode() for (a, b, _), n in zip(chunks, sizes) if n == 2}
+    assert two == {f"{a}\n{b}" for a, b in zip(lines, lines[1:])}  # each by one of the rules
+    named = {whole.encode()[a:b]: h for a, b, h in chunks}
+    for _ in range(20):  # anything may stand before and after
+        a, b = sorted(rng.integers(0, 300, 2).tolist())
+        body = "\n".join([*(f"other {i}" for i in range(int(rng.integers(0, 9)))), *lines[a:b], "more", "still more"])
+        inside = {body.encode()[x:y]: h for x, y, h in rolled(body) if b"other" not in body.encode()[x:y] and b"more" not in body.encode()[x:y]}
+        assert all(named[x] == h for x, h in inside.items())
+        wanted = {x for x in named if set(x.decode().split("\n")) <= set(lines[a : min(b, 299)])}
+        assert wanted <= set(inside)
+    assert max(len(("a\n" * 500).encode()[a:b].split(b"\n")) for a, b, _ in rolled("a\n" * 500)) == line_dedup.MOST_LINES
+    assert rolled("") == rolled("one line") == rolled("\n\n") == rolled("one\n\n") == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 40), st.integers(1, 12)), max_size=30))
+def test_few_chunks_cover_the_same(spans):
+    places = sorted((a, a + n, 0) for a, n in spans)
+    kept = line_dedup.cover(places)
+    assert set(kept) <= set(places)
+    assert {x for a, b, _ in kept for x in range(a, b)} == {x for a, b, _ in places for x in range(a, b)}
+    assert all(c[0] > a[1] for a, c in zip(kept, kept[2:]))  # no byte in three
+
+
+def test_lines_that_repeat_without_end(spark):
+    docs = [(i, "a\n" * (400 + i) + f"own {i}\n" + "b\nc\n" * (150 + i)) for i in range(6)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_runs(docs)[0]
+
+
+def test_repeated_rows_are_spread(spark):
+    """Half of the rows are one; the join that cuts them is one whose keys may be split."""
+    docs = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("x "), "id", F.lit("\ntwo\nlines"))).otherwise("two\nlines\nmore").alias("text"))
+    out = line_dedup.remove_runs(docs)
+    assert out.filter("text = 'two\\nlines\\nmore'").count() == 200  # one document by id and text, and the first of all
+    assert out.filter("doc_id IS NOT NULL AND removed_bytes > 0").count() == 200
+
+
 def test_a_hot_chunk(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a\nb\nc\nd\ne\nf\ng\nh\n"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("own "), "id")).otherwise("")).alias("text"))
     rows = line_dedup.dedup(docs).filter("removed_bytes > 0")
