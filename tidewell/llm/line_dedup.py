@@ -24,7 +24,7 @@ bytes were compared with those of the first.
 
 Chunks travel as hashes in both; they are counted before the shuffle, so a chunk that a third of the
 documents share is one row a task. The first places' bytes travel too, to the documents
-that repeat them. AQE splits a hot chunk's rows in the join.
+that repeat them, and texts travel as zstandard frames. AQE splits a hot chunk's rows in the join.
 
 Rows with the same id and text count as one document and are treated alike. Null text stays
 null, text without a line feed is one line. Both keep every column and row, and replace
@@ -37,6 +37,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +94,23 @@ def _places(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "hash long, did long, rid long, at long, end long")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The same with each text as a zstandard frame, for the shuffles that move whole texts."""
+    kinds = ", ".join(f"{f.name} {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            frames = [press.compress(x.as_buffer()) if x.is_valid else None for x in batch.column("text")]
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(frames, pa.binary()))
+
+    return docs.mapInArrow(run, kinds)
+
+
+def _unpacked(frame: pa.Scalar) -> bytes | None:
+    return zstandard.ZstdDecompressor().decompress(frame.as_buffer()) if frame.is_valid else None
+
+
 def _first_bytes(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """hash and bytes of the chunks' first places."""
 
@@ -100,13 +118,13 @@ def _first_bytes(docs: DataFrame, firsts: DataFrame) -> DataFrame:
         for batch in batches:
             hashes, parts = [], []
             for text, places in zip(batch.column("text"), batch.column("places").to_pylist()):
-                raw = text.as_buffer().to_pybytes()
+                raw = _unpacked(text)
                 hashes.extend(p["hash"] for p in places)
                 parts.extend(raw[p["at"] : p["end"]] for p in places)
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(parts, pa.binary())], names=["hash", "bytes"])
 
     wanted = firsts.groupBy("did", "rid").agg(F.collect_list(F.struct("hash", "at", "end")).alias("places"))  # a document's own chunks
-    distinct = join_on(docs.select("did", "rid", "text"), wanted, ["did", "rid"], "inner").select("text", "places")
+    distinct = join_on(_packed(docs.select("did", "rid", "text")), wanted, ["did", "rid"], "inner").select("text", "places")
     return distinct.mapInArrow(run, "hash long, bytes binary").groupBy("hash").agg(F.first("bytes").alias("bytes"))
 
 
@@ -222,7 +240,7 @@ def remove_runs(docs: DataFrame) -> DataFrame:
             texts, runs_gone, bytes_gone = [], [], []
             for text, places_gone in zip(batch.column("text"), batch.column("gone")):
                 runs: list[list[int]] = []
-                raw = text.as_buffer().to_pybytes() if places_gone.is_valid else b""
+                raw = _unpacked(text)
                 for p in places_gone.as_py() or ():
                     if raw[p["at"] : p["end"]] != p["bytes"]:
                         continue
@@ -238,7 +256,7 @@ def remove_runs(docs: DataFrame) -> DataFrame:
                         at = end
                     texts.append(b"".join([*kept, raw[at:]]).decode())
                 else:
-                    texts.append(text.as_py())
+                    texts.append(None if raw is None else raw.decode())
                 runs_gone.append(len(runs))
                 bytes_gone.append(sum(end - begin for begin, end in runs))
             yield pa.RecordBatch.from_arrays(
@@ -251,7 +269,7 @@ def remove_runs(docs: DataFrame) -> DataFrame:
 
 def _restored(keyed: DataFrame, gone: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], columns: list[str]) -> DataFrame:
     """Every document cut by ``run``, with its columns in their order."""
-    joined = join_on(keyed, gone, ["did", "rid"], "left").select("text", "gone", "_rest")
+    joined = join_on(_packed(keyed), gone, ["did", "rid"], "left").select("text", "gone", "_rest")
     cleaned = joined.mapInArrow(run, f"_rest {keyed.schema['_rest'].dataType.simpleString()}, _text string, _chunks int, _bytes long")
     restored = [F.col("_text").alias("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in columns]
     return cleaned.select(*restored, F.col("_chunks").alias("removed_chunks"), F.col("_bytes").alias("removed_bytes"))
@@ -276,7 +294,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts, chunks_gone, bytes_gone = [], [], []
             for text, places_gone in zip(batch.column("text"), batch.column("gone")):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else None
+                raw = _unpacked(text)
                 kept, at, n, size = [], 0, 0, 0
                 for p in places_gone.as_py() or ():
                     if raw[p["at"] : p["end"]] == p["bytes"]:
