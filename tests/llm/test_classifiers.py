@@ -162,13 +162,31 @@ def test_matches_are_those_of_brute_force(spark, shard_items):
     docs += [(90, "a SHORT one b"), (91, None), (92, "")]
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, (50, None), (51, " ")], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(*frames, shard_items=shard_items).collect()}
-    if shard_items == 1000:
-        assert got == brute_matches(docs, items, decontamination.build(items), 0.6, 0.75)
+    assert got == brute_matches(docs, items, decontamination.build(items), 0.6, 0.75)
     assert {(i, i % 40) for i in range(60, 90) if i % 3 == 2} <= got and {(90, 40), (90, 41)} <= got
     clean = {r["doc_id"] for r in decontamination.decontaminate(*frames, shard_items=shard_items).collect()}
     assert clean == {i for i, _ in docs} - {d for d, _ in got}
 
 
+def test_the_division_into_shards_changes_nothing(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    n = items.count()
+    leaks = items.select((F.col("item_id") + 10**6).alias("doc_id"), F.concat(F.lit("before it "), "text", F.lit(" and after")).alias("text"))
+    docs = docs.select("doc_id", "text").unionAll(leaks)
+    again = items.unionAll(items.limit(5))  # items of one id, in different shards
+    one, many = (sorted(decontamination.matches(docs, again, shard_items=k).collect()) for k in (10 * n, n // 3))
+    assert one == many and len(one) >= n  # scores and overlaps too
+
+
+def test_items_are_numbered_and_counted(spark):
+    items = spark.createDataFrame([(i % 3, f"common w{i} w{i % 5} common") for i in range(40)] + [(None, "x"), (7, None), (8, " ?")], "item_id long, text string").repartition(7)
+    counted, totals = decontamination._counted(items)
+    assert totals == (40, 4.0, 4)
+    assert sorted(r["number"] for r in counted.collect()) == list(range(40))
+    assert {max(t["n"] for t in r["terms"]) for r in counted.collect()} == {40}
+    assert decontamination._counted(items.limit(0))[1].items == 0
+
+
 def test_verbatim_items_of_every_length_match(spark):
     rng = np.random.default_rng(3)
     words = [f"v{i}" for i in range(3000)]

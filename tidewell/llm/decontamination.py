@@ -17,8 +17,9 @@ as a run in which not more than 1 - ``overlap`` of its words are edited. The ans
 last sentence, or its last third where no sentence ends, and five words at least; shorter items
 than ten words are judged as a whole, and those under five words must be there as they are.
 
-The index goes to the tasks in shards of ``shard_items`` items, one pass over the documents for
-each shard, so what is sent is bounded whatever the benchmark's size. Documents are never shuffled.
+The number of items, their mean and largest length, and in how many items each term occurs are counted over the whole
+benchmark in Spark, and written with the items' terms. The index goes to the tasks in shards of ``shard_items`` items, one pass over the documents for
+each shard, so what is sent is bounded whatever the benchmark's size, and how the items are divided changes no score and no match. Documents are never shuffled.
 
 Null or wordless texts and items, and items without an id, match nothing. Items with the same text are all reported.
 Repeated rows are reported each. Empty tables give no rows. ``decontaminate`` keeps all columns.
@@ -31,10 +32,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import text as T
+from tidewell.operators.joins import join_on
+from tidewell.session import scratch
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
@@ -104,8 +107,18 @@ def _split(text: str, starts: np.ndarray) -> int:
     return max(SHINGLE, min(2 * len(starts) // 3, len(starts) - SHINGLE))
 
 
-def build(items: list[tuple[int, str]]) -> Index | None:
-    """The index of some items; None if none has a word."""
+class Totals(NamedTuple):
+    items: int  # with a word
+    mean: float  # words in one
+    longest: int
+
+
+def build(items: list[tuple[int, str]], totals: Totals | None = None, counts: tuple[np.ndarray, np.ndarray] | None = None) -> Index | None:
+    """The index of some items; None if none has a word.
+
+    ``counts`` are hashes of terms, all of these items', and the numbers of items that have them. Without it and ``totals``
+    the items are all there are.
+    """
     names, lists, parts = [], [], []
     for name, text in items:
         starts, hashes = _text_words(text or "")
@@ -122,9 +135,14 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     item = np.repeat(np.arange(len(lists)), lengths)
     pairs, tf = np.unique(term.astype(np.int64) * len(lists) + item, return_counts=True)
     term, item = pairs // len(lists), pairs % len(lists)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((len(lists) - df + 0.5) / (df + 0.5))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / lengths.mean()))
+    if totals is None:
+        totals = Totals(len(lists), float(lengths.mean()), int(lengths.max()))
+        df = np.bincount(term, minlength=len(terms))
+    else:
+        df = np.zeros(len(terms), np.int64)
+        df[np.searchsorted(terms, counts[0])] = counts[1]
+    idf = np.log1p((totals.items - df + 0.5) / (df + 0.5))
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / totals.mean))
     weight /= np.bincount(item, weight)[item]
     most = np.zeros(len(terms))
     np.maximum.at(most, term, weight)
@@ -135,7 +153,7 @@ def build(items: list[tuple[int, str]]) -> Index | None:
         np.maximum.reduceat(weight, first), np.append(first, len(item)), (item % ITEMS_IN_BLOCK).astype(np.int64), weight,
         [shingles(q, shingle_size(len(q))) for q, _ in parts], [shingles(a, shingle_size(len(a))) for _, a in parts],
         [(shingle_size(len(q)), shingle_size(len(a))) for q, a in parts],
-        [[x for x in (q, a) if len(x) >= SHINGLE and shingle_size(len(x)) <= 2] for q, a in parts], max(32, int(lengths.max())),
+        [[x for x in (q, a) if len(x) >= SHINGLE and shingle_size(len(x)) <= 2] for q, a in parts], max(32, totals.longest),
     )
 
 
@@ -199,20 +217,40 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: float
 MATCHES = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
+def _counted(benchmark: DataFrame) -> tuple[DataFrame, Totals]:
+    """number (from 0, gapless), item_id, text, terms (hash, items that have it) of every item with a word, and the totals."""
+    spark = benchmark.sparkSession
+    texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [_text_words(x.as_py())[1] for x in batch.column("text")]
+            terms = pa.array([np.unique(x).view(np.int64) for x in hashes], pa.list_(pa.int64()))
+            whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(x) for x in hashes], pa.int64()), terms], names=["item_id", "text", "words", "terms"])
+            yield whole.filter(pa.array([len(x) > 0 for x in hashes], pa.bool_()))
+
+    path, counted_path = scratch(spark, "items"), scratch(spark, "item-terms")
+    texts.mapInArrow(run, "item_id long, text string, words long, terms array<long>").select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("key")).write.parquet(path)
+    items = spark.read.parquet(path)
+    n, words, longest = items.agg(F.count("*"), F.sum("words"), F.max("words")).first()
+    parts = items.groupBy("part").agg(F.min("key").alias("least"), F.count("*").alias("n"))  # a row a task that wrote
+    before = parts.select("part", "least", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    each = items.select("key", F.explode("terms").alias("term"))
+    known = join_on(each, each.groupBy("term").agg(F.count("*").alias("n")), ["term"], "inner")
+    terms = known.groupBy("key").agg(F.collect_list(F.struct("term", "n")).alias("terms"))  # an item's own terms
+    numbered = items.drop("terms").join(before, "part").join(terms, "key")
+    numbered.select((F.col("before") + F.col("key") - F.col("least")).alias("number"), "item_id", "text", "terms").write.parquet(counted_path)
+    return spark.read.parquet(counted_path), Totals(n, words / n if n else 0.0, longest or 0)
+
+
 def shards(benchmark: DataFrame, shard_items: int) -> Iterator[Index]:
-    """Indexes of so many items each; the next shard is read by item id when the last is done."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
-    done = None
-    while True:
-        rest = items if done is None else items.filter(F.col("item_id") > done)
-        got = rest.orderBy("item_id").limit(shard_items).collect()  # all items, a shard at a time
-        if not got:
-            return
-        if len(got) == shard_items:  # an id's items stay together
-            got = items.filter((F.col("item_id") <= got[-1]["item_id"]) & (F.col("item_id") >= got[0]["item_id"])).collect()
-        done = got[-1]["item_id"] if len(got) < shard_items else max(r["item_id"] for r in got)
-        if (index := build([(r["item_id"], r["text"]) for r in got])) is not None:
-            yield index
+    """Indexes of so many items each; the next is read when the last is done."""
+    items, totals = _counted(benchmark)
+    for first in range(0, totals.items, shard_items):
+        rows = items.filter(F.col("number").between(first, first + shard_items - 1)).orderBy("number").toArrow()  # a shard of all items
+        known = rows.column("terms").combine_chunks().flatten()
+        counts = tuple(known.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        yield build(list(zip(rows.column("item_id").to_pylist(), rows.column("text").to_pylist())), totals, (counts[0].view(np.uint64), counts[1]))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.75, shard_items: int = 20_000) -> DataFrame:
