@@ -27,7 +27,7 @@ from tidewell.sources.pages import read_pages, within
 from tidewell.streaming import events as live
 
 from . import adapters as a
-from . import catalog, maintained, rescue, threads
+from . import catalog, clustered, maintained, rescue, threads
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -768,7 +768,7 @@ for _query in (
     maintained.channel_activity_increments, maintained.user_activity_increments, maintained.distinct_companies,
     catalog.scan_by_suffix, catalog.column_catalog, catalog.table_overview, catalog.family_statistics, catalog.truncate_and_reload,
     catalog.file_attachments, catalog.run_states, catalog.feed_pause_resume, *threads.QUERIES.values(),
-    *rescue.QUERIES.values(),
+    *rescue.QUERIES.values(), *clustered.QUERIES.values(),
 ):
     proof(_query)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import rescue, threads
+from . import clustered, rescue, threads
 from .queries import TABLES
 
 # Seconds since 2024-01-01 as text, and the channel of an event.
@@ -414,4 +414,4 @@ ORACLE["feed_pause_resume"] = """
            CASE event_type WHEN 'view' THEN 'message' WHEN 'click' THEN 'reaction_added'
                            WHEN 'signup' THEN 'member_joined_channel' ELSE event_type END AS event_type, COUNT(*) AS events
     FROM events GROUP BY 3"""
-ORACLE |= threads.ORACLE | rescue.ORACLE
+ORACLE |= threads.ORACLE | rescue.ORACLE | clustered.oracle(_CHANNEL, _TS)
