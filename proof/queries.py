@@ -386,7 +386,7 @@ def unify_history_and_live(spark, sf_dir):
             F.lit("message").alias("event_type"),
             a.channel_of().alias("channel_id"),
             F.lit("").alias("channel_name"),
-            a.seconds_text().alias("message_ts"),
+            a.message_id().alias("message_ts"),
             F.col("user_id").cast("string").alias("user_id"),
             F.col("props").alias("text"),
             F.lit("").alias("thread_ts"),
@@ -403,7 +403,7 @@ def unify_history_and_live(spark, sf_dir):
     )
     stream = msg.live_messages(part(events.where(F.col("ts") >= since), "realtime"))
     return msg.unify_messages(history, stream).select(
-        "channel_id", "message_ts", "user_id", "text", "reply_count", "ingestion_mode"
+        "channel_id", a.message_time("message_ts"), "user_id", "text", "reply_count", "ingestion_mode"
     )
 
 

@@ -1,5 +1,8 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import os
+
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -31,3 +34,21 @@ def test_query(spark, duck, name):
         assert len(ours) > 0
         return
     assert compare(ours, duck.execute(SQL[name]).df()) is None
+
+
+@pytest.fixture(scope="module")
+def repeated(tmp_path_factory):
+    """The smallest tables with every event three times, under keys of its own."""
+    folder = tmp_path_factory.mktemp("repeated")
+    for name in os.listdir(SF_DIR):
+        if name != "events.parquet":
+            os.symlink(f"{SF_DIR}/{name}", folder / name)
+    copies = f"SELECT * REPLACE (event_id + k * 1000000 AS event_id) FROM '{SF_DIR}/events.parquet', range(3) r(k)"
+    duckdb.sql(f"COPY ({copies}) TO '{folder}/events.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["unify_history_and_live"])
+def test_events_of_one_channel_and_microsecond_are_several_messages(spark, repeated, name):
+    ours = QUERIES[name](spark, repeated).toPandas()
+    assert compare(ours, connect(repeated).execute(SQL[name]).df()) is None
