@@ -692,9 +692,9 @@ def chat_backfill(spark, sf_dir):
     """Chat history in two loads that overlap, with thread replies, read as bronze."""
     root = scratch(spark, "backfill")
     lake = ingest.Lake(spark, root)
-    raw = a.load(spark, sf_dir, "events").select(
-        a.channel_of().alias("channel_id"), a.seconds_text().alias("ts"), F.col("user_id").cast("string").alias("user"),
-        F.col("props").alias("text"), "event_type", F.col("ts").alias("at"),
+    raw = a.numbered_messages(a.load(spark, sf_dir, "events")).select(
+        "channel_id", F.col("message_ts").alias("ts"), F.col("user_id").cast("string").alias("user"),
+        F.col("props").alias("text"), "event_type", F.col("ts").alias("at"), "reply_ts",
     )
     history = raw.withColumn("reply_count", F.when(F.col("event_type") == "view", 1))
     history = history.withColumn("thread_ts", F.when(F.col("event_type") == "view", F.col("ts")))
@@ -707,13 +707,13 @@ def chat_backfill(spark, sf_dir):
         return f"{root}/in/{folder}"
 
     thread = history.where("event_type = 'view'").drop("reply_count")
-    reply = thread.withColumn("ts", F.concat("ts", F.lit("5"))).withColumn("text", F.lit("reply"))
+    reply = thread.withColumn("ts", F.col("reply_ts")).withColumn("text", F.lit("reply"))
     replies = pages(thread.unionByName(reply), "replies")
     for day, rows in (("first", history.where(F.col("at") < cut)), ("second", history)):
         load_date = date(2024, 2, 1) if day == "first" else date(2024, 2, 2)
         ingest.backfill_chat(lake, load_date, messages=pages(rows, day), replies=replies)
     return lake.bronze("chat", "messages").select(
-        "channel_id", "message_ts", "user_id", "text", "thread_ts", "reply_count", "processing_date"
+        a.told_channel("channel_id"), a.told_time("message_ts"), "user_id", "text", a.told_time("thread_ts"), "reply_count", "processing_date"
     )
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from proof import adapters as a
 from tools.check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,7 +49,16 @@ def repeated(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["unify_history_and_live"])
+@pytest.mark.parametrize("name", ["unify_history_and_live", "chat_backfill"])
 def test_events_of_one_channel_and_microsecond_are_several_messages(spark, repeated, name):
     ours = QUERIES[name](spark, repeated).toPandas()
     assert compare(ours, connect(repeated).execute(SQL[name]).df()) is None
+
+
+def test_messages_beyond_the_digits_of_a_time_are_told_apart(spark):
+    events = spark.range(250).selectExpr("id AS event_id", "timestamp_ntz'2024-01-02 00:00:00.5' AS ts", "7L AS user_id", "'view' AS event_type", "'{}' AS props")
+    told = a.numbered_messages(events)
+    assert told.select("channel_id", "message_ts").distinct().count() == 250
+    assert told.select("channel_id").distinct().count() == 3
+    for column, want in (("message_ts", "86400.500000"), ("reply_ts", "86400.5000005")):
+        assert [tuple(r) for r in told.select(a.told_channel("channel_id"), a.told_time(column)).distinct().collect()] == [("C7", want)]
