@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
-from tidewell.operators import files
+from tidewell.operators import buckets, files
 from tidewell.operators.buckets import MergeTable
 from tidewell.operators.distinct import DistinctCounts
 from tidewell.operators.rollups import MaintainedRollup, Rollup
@@ -47,6 +47,21 @@ def test_upserts_against_a_dictionary(spark, tmp_path):
     assert t.merge() == []
 
 
+def test_a_large_bucket_is_written_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "SLICE_ROWS", 100, raising=False)
+    t = table(spark, tmp_path, buckets=2)
+    rest = [(None, "same", 1.0, 1)] * 300  # equal rows without a key are one bucket's
+    t.upsert(frame(spark, [(f"k{i}", "g", 1.0, 1) for i in range(3000)] + rest))
+    t.upsert(frame(spark, [(f"k{i}", "h", 2.0, 2) for i in range(2900, 3100)]))
+    for gen in t.manifest().merges:
+        files = spark.read.parquet(str(tmp_path / "t" / "base" / f"gen={gen}")).groupBy(F.input_file_name()).count()
+        assert files.agg(F.max("count")).first()[0] < 900
+    assert {r[0]: r[1] for r in rows(t.read()) if r[0]} == {f"k{i}": "g" if i < 2900 else "h" for i in range(3100)}
+    assert t.read().where("key IS NULL").count() == 300
+    t.append(frame(spark, [("k7", "i", 3.0, 3)]))
+    assert t.read().count() == 3400 and rows(t.lookup(key="k7")) == [("k7", "i", 3.0, 3)]
+
+
 def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     t = table(spark, tmp_path)
     t.upsert(frame(spark, [(f"k{i}", "g", 1.0, 1) for i in range(200)]))

@@ -15,12 +15,13 @@ replaced, so of two writers at once the second fails and changes nothing. What n
 writer that died left, goes with ``vacuum``.
 
 A read of merged buckets is a scan: no shuffle, pruned to one bucket for a given key, and files are sorted by
-key, so a range of keys skips row groups. Only buckets with pending deltas are compared with these. Rows
+key, so a range of keys skips pages of them. Only buckets with pending deltas are compared with these. Rows
 without a key are all kept, spread over the buckets by their other columns.
 
-A merge shuffles the touched buckets and the deltas once, by bucket; a bucket is written by one task, so choose
-``buckets`` for some hundred megabytes each. A key that fills a load sends one row per task, as loads are reduced to
-one row per key first.
+A merge shuffles the touched buckets and the deltas once, by bucket and, where a bucket has many rows or bytes, by slices of its
+keys: a task sorts a few slices at most, so its memory does not grow with the table, and a bucket has a file per slice and kind.
+Rows are counted before, from the files' footers. ``buckets`` says how little a merge of few keys rewrites. A
+key that fills a load sends one row per task, as loads are reduced to one row per key first.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import json
 import secrets
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
@@ -38,6 +40,8 @@ from .files import children, delete, read_text, write_new
 from .incremental import _keyless, latest_per_key
 
 SAME, NEW, OLD = "same", "new", "old"
+#: What a slice of a bucket holds; a task gets some slices.
+SLICE_ROWS, SLICE_BYTES = 100_000, 16 << 20
 #: Generations that attempts at one manifest may choose from.
 TRIES = 1_000_000
 
@@ -133,16 +137,31 @@ class MergeTable:
         paths = [f"{self.path}/delta/gen={gen}" for gen, _ in now.pending]
         return self.spark.read.schema(shape).option("basePath", f"{self.path}/delta").parquet(*paths)
 
+    def _slices(self, parts: list[DataFrame]) -> int:
+        """Into how many slices each bucket is cut, by the rows and bytes of the largest."""
+        found = [p.select("bucket", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")) for p in parts if p.inputFiles()]
+        if not found:
+            return 1
+        files = reduce(DataFrame.unionAll, found).groupBy("bucket", "file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
+        need = F.greatest(F.sum("rows") / SLICE_ROWS, F.sum("size") / SLICE_BYTES)
+        most = files.groupBy("bucket").agg(F.ceil(need).alias("need")).agg(F.max("need")).first()[0]
+        return max(1, most or 1)
+
     def _ranked(self, now: Manifest) -> DataFrame:
         """Rows of the dirty buckets and the deltas with their rank in their key; ``_from`` is 0 for the base."""
-        base = self._base(now, sorted(now.dirty)).drop("gen", "kind").withColumn("_from", F.lit(0).cast("long"))
-        rows = base.unionByName(self._delta(now).withColumnRenamed("gen", "_from"))
+        base, delta = self._base(now, sorted(now.dirty)), self._delta(now)
+        slices = self._slices([base, delta])
+        rows = base.drop("gen", "kind").withColumn("_from", F.lit(0).cast("long")).unionByName(delta.withColumnRenamed("gen", "_from"))
         keyless = _keyless(rows, self.keys)
         own = F.lit(None).cast("long") if keyless is None else F.when(keyless, F.monotonically_increasing_id())
         order = [*[F.col(f"`{v}`").desc_nulls_last() for v in self.version], F.col("_from").desc()]
-        window = W.partitionBy("bucket", *self.keys, "_own").orderBy(*order)
-        # one shuffle, by bucket, serves the window and the write
-        return rows.withColumn("_own", own).repartition("bucket").withColumn("_rank", F.row_number().over(window)).drop("_own")
+        rows = rows.withColumn("_own", own)
+        # the bucket took the hash modulo the buckets; the slice needs another one
+        at = F.pmod(F.xxhash64(F.lit(1), *[F.col(f"`{k}`") for k in self.keys], "_own"), F.lit(slices)).cast("int")
+        window = W.partitionBy("bucket", "_slice", *self.keys, "_own").orderBy(*order)
+        # one shuffle serves the window and the write; small buckets may share a task
+        dealt = ["bucket", "_slice"] if slices == 1 else [slices * len(now.dirty), "bucket", "_slice"]
+        return rows.withColumn("_slice", at).repartition(*dealt).withColumn("_rank", F.row_number().over(window)).drop("_own", "_slice")
 
     def merge(self) -> list[int]:
         """Take the pending deltas in; returns the buckets that were rewritten."""
