@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontamination, line_dedup, minhash, packing, toxicity
-from tidewell.session import scratch
+from tidewell.session import bound_batches, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +22,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fit the severity model on the labelled documents and drop those toxic with a chance of 0.3 or more."""
+    bound_batches(spark)
     return toxicity.reject(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove repeated runs of lines; a document of which nothing is left goes, one that was empty stays."""
+    bound_batches(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     cleaned = line_dedup.remove_runs(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(c) for c in others]).alias("others")))
     kept = cleaned.filter((F.col("removed_chunks") == 0) | F.col("text").rlike(r"\S"))
@@ -45,11 +47,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    bound_batches(spark)
     return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the token ids of what is left into windows of 2048."""
+    bound_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048)
 
 

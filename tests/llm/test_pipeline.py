@@ -1,4 +1,7 @@
+import re
+
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +35,28 @@ def test_stages_on_nothing(spark, tmp_path):
         assert now.count() == 0
 
 
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
+def test_long_texts_travel_in_batches_of_few_bytes(spark, tmp_path, stage):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stage(spark, docs, SF).write.parquet(str(tmp_path / "out"))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    long = spark.range(600, numPartitions=1).select(F.repeat(F.lit("a word "), 5_000).alias("text"))
+    assert long.mapInArrow(run, "n long").agg(F.max("n")).first()[0] < 8 << 20  # of 21 MB
+
+
+def test_rejecting_sends_each_text_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.toxicity.reject(docs, None)
+    assert kept.columns == docs.columns and kept.exceptAll(docs).isEmpty() and kept.count() == docs.count()
+    sent = kept._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1].split("Project")[1].split("\n")[0]
+    assert len(re.findall(r"\btext#", sent)) == 1
+
+
 def test_planted_cases(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 150").first()["text"]

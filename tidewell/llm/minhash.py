@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import text as T
 from tidewell.llm.graph import components
 from tidewell.operators.joins import join_on
-from tidewell.session import scratch
+from tidewell.session import bound_batches, scratch
 
 SHINGLE, REGISTERS, BAND = 5, 128, 4
 #: The sketch: base of the scale, rate of the exponentials, largest register.
@@ -252,6 +252,7 @@ def _between(buckets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
+    bound_batches(docs.sparkSession)
     sketches = _saved(_sketches(docs), "sketches")
     full = sketches.filter("n > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))

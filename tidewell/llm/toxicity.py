@@ -185,6 +185,7 @@ def score(docs: DataFrame, model: Model | None, extra: list[str] | None = None)
     """doc_id, severity (expected grade), grade (most likely), toxic_probability; then ``extra`` columns."""
     extra = extra or []
     names = [f"_e{i}" for i in range(len(extra))]
+    read = names[extra.index("text")] if "text" in extra else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,14 +193,14 @@ def score(docs: DataFrame, model: Model | None, extra: list[str] | None = None)
             if model is None:
                 above = [np.zeros((batch.num_rows, 1))]
             else:
-                above = [chances(model, data, offsets) for _, data, offsets in T.blocks(*T.column(batch.column("_text")))] or above
+                above = [chances(model, data, offsets) for _, data, offsets in T.blocks(*T.column(batch.column(read)))] or above
             p = np.concatenate(above)
             full = np.concatenate([np.ones((len(p), 1)), p, np.zeros((len(p), 1))], 1)
             grade = (full[:, :-1] - full[:, 1:]).argmax(1)
             columns = [batch.column("doc_id"), pa.array(p.sum(1)), pa.array(grade.astype(np.int32)), pa.array(p[:, 0].copy())]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(x) for x in names], names=["doc_id", "severity", "grade", "toxic_probability", *names])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *[F.col(c).alias(n) for c, n in zip(extra, names)])
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).alias(n) for c, n in zip([*extra, *([] if "text" in extra else ["text"])], [*names, "_text"])])
     kinds = ", ".join(["doc_id long, severity double, grade int, toxic_probability double", *(f"{n} {source.schema[n].dataType.simpleString()}" for n in names)])
     scored = source.mapInArrow(run, kinds)
     return scored.select("doc_id", "severity", "grade", "toxic_probability", *[F.col(n).alias(c) for c, n in zip(extra, names)])
@@ -207,5 +208,8 @@ def score(docs: DataFrame, model: Model | None, extra: list[str] | None = None)
 
 def reject(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, all columns, whose chance of any toxicity is below the threshold."""
-    scored = score(docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_all")), model, ["_all"])
-    return scored.filter(F.col("toxic_probability") < threshold).select("_all.*")
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != "text"]).alias("_rest")
+    # the text travels once: it is scored and comes back
+    scored = score(docs.select("doc_id", "text", rest), model, ["_rest", "text"])
+    kept = scored.filter(F.col("toxic_probability") < threshold)
+    return kept.select(*["text" if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])

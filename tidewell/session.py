@@ -46,3 +46,18 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared root."""
     return f"{shared_root(spark)}/tidewell/{label}-{uuid.uuid4().hex}"
+
+
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session does so itself.
+
+    Spark bounds them by rows alone, so that long texts make large batches, of which a task
+    holds several, in Spark's process and in Python's.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
